@@ -19,7 +19,7 @@ def state_of(part: Column) -> Column:
 
 def comma_parts(text: Column | str) -> Column:
     """Trimmed non-blank parts between commas."""
-    return F.filter(F.transform(F.split(col(text), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col(text), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_location(raw: Column | str, country: str = "United States") -> Column:
@@ -40,7 +40,7 @@ def parse_location(raw: Column | str, country: str = "United States") -> Column:
 
 def extract_state(location: Column | str) -> Column:
     """The state of the last comma part that names one."""
-    found = F.filter(F.transform(F.reverse(F.transform(F.split(col(location), ","), F.trim)), state_of),
+    found = F.filter(F.transform(F.reverse(F.transform(F.split(col(location), ","), lambda x: F.trim(x))), state_of),
                      lambda x: x.isNotNull())
     return F.get(found, 0)
 

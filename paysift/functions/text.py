@@ -42,7 +42,7 @@ def split_clean(text: Column | str, separator: str = ",") -> Column:
 
 def split_joined(text: Column | str, separator: str = ";", unknown: str = "Unknown") -> Column:
     """Undo a `'; '` join; the unknown label gives an empty list."""
-    parts = F.filter(F.transform(F.split(col(text), separator), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(col(text), separator), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(col(text).isNull() | (col(text) == unknown), F.array().cast("array<string>")).otherwise(parts)
 
 
@@ -69,7 +69,7 @@ def is_ascii(text: Column | str) -> Column:
 
 def parse_itemset(text: Column | str) -> Column:
     """`'b, a'` as a sorted list of distinct items."""
-    parts = F.filter(F.transform(F.split(col(text), ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(col(text), ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_sort(F.array_distinct(parts))
 
 

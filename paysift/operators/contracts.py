@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import values_hash
 from ..functions.values import annualise, fixed_tier, present_mean, lookup
-from ..scale import col, grouped_quantiles, md5_number, ordinal
+from ..scale import col, grouped_quantiles, md5_number, ordinal, with_row
 from .. import constants as K
 
 
@@ -108,8 +108,7 @@ def describe_number(df: DataFrame, value: Column | str) -> DataFrame:
     quartiles = grouped_quantiles(df, value, [0.25, 0.5, 0.75], names=["q25", "q50", "q75"])
     stats = df.agg(F.count(col(value)).alias("n"), F.avg(col(value)).alias("mean"), F.stddev_samp(col(value)).alias("std"),
                    F.min(col(value)).alias("minimum"), F.max(col(value)).alias("maximum"))
-    q = quartiles.select(F.struct("q25", "q50", "q75")).scalar()
-    return stats.select("*", q["q25"].alias("q25"), q["q50"].alias("q50"), q["q75"].alias("q75"))
+    return with_row(stats, quartiles)
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -141,8 +140,7 @@ def annualisation_audit(raw: DataFrame, cleaned: DataFrame, id: str = "job_id",
                  .agg(F.count(F.lit(1)).alias("cleaned_rows"), F.count_if(F.col("__raw").isNull()).alias("cleaned_missing_raw"),
                       F.count_if(F.abs(F.col(salary) - F.col("__raw")) > tolerance).alias("salary_mismatches"),
                       F.count_if(~fixed_tier(salary).eqNullSafe(F.col(tier))).alias("tier_mismatches")))
-    left = rawside.select(F.struct("*")).scalar()
-    return cleanside.select(*[left[c].alias(c) for c in rawside.columns], "*")
+    return with_row(cleanside, rawside)
 
 
 def formula_mismatch_by_period(raw: DataFrame, salary: str = "normalized_salary", low: str = "min_salary",

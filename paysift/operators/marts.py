@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.dates import is_recent
 from ..functions.values import share, strict_bool, tier_code
-from ..scale import grouped_quantiles, null_safe, top_per_key
+from ..scale import grouped_quantiles, null_safe, top_per_key, with_row
 from .aggregates import histogram, top_members
 from .contracts import ContractError
 from .graph import related_titles
@@ -139,11 +139,11 @@ def key_numbers(postings: DataFrame, published: str, fetched: Column, company: s
     """Postings, recent share, companies, and the largest employer with its share."""
     counts = postings.groupBy(company).agg(F.count(F.lit(1)).alias("c"))
     largest = counts.filter(F.col(company).isNotNull()).orderBy(F.col("c").desc(), company).limit(1).select(
-        F.struct(F.col(company).alias("name"), F.col("c").alias("c"))).scalar()
+        F.col(company).alias("top_company"), F.col("c").alias("__c"))
     stats = postings.agg(F.count(F.lit(1)).alias("postings"), F.avg(is_recent(published, fetched).cast("int")).alias("recent_share"),
                          F.countDistinct(company).alias("companies"), F.min(published).alias("first_published"),
                          F.max(published).alias("last_published"))
-    return stats.withColumns({"top_company": largest["name"], "top_company_share": share(largest["c"], "postings")})
+    return with_row(stats, largest).withColumn("top_company_share", share("__c", "postings")).drop("__c")
 
 
 def source_reference(sources: Mapping[str, DataFrame], words: str, items: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import masked_template, normalise_text, normalised_description, pair_key
 from ..functions.values import share
-from ..scale import col, grouped_quantiles, materialise, md5_number, null_safe, value_positions
+from ..scale import col, grouped_quantiles, materialise, md5_number, null_safe, value_positions, with_row
 from .aggregates import overlap_report
 
 
@@ -97,19 +97,17 @@ def split_statistics(df: DataFrame, role: str, group: str, label: str, descripti
                   *[F.count_if(side & (F.col(label) == c)).alias(f"{name}_{c.lower()}")
                     for name, side in (("train", train), ("test", test)) for c in labels])
     groups = df.groupBy(group).agg(F.count(F.lit(1)).alias("c"), F.count_if(train).alias("tr"), F.count_if(test).alias("te"))
-    stats = groups.agg(F.struct(F.count_if(F.col("tr") > 0).alias("train_groups"), F.count_if(F.col("te") > 0).alias("test_groups"),
-                                F.count_if((F.col("tr") > 0) & (F.col("te") > 0)).alias("shared_groups"),
-                                F.count(F.lit(1)).alias("groups_total"), F.max("c").alias("largest_group"))).scalar()
-    sizes = grouped_quantiles(groups, "c", [0.5, 0.9, 0.99, 1.0], names=["q50", "q90", "q99", "q100"])
-    q = sizes.select(F.struct("q50", "q90", "q99", "q100")).scalar()
-    out = rows.select("*", *[stats[c].alias(c) for c in ("train_groups", "test_groups", "shared_groups", "groups_total", "largest_group")],
-                      *[q[c].alias(f"group_size_{c}") for c in ("q50", "q90", "q99", "q100")])
+    stats = groups.agg(F.count_if(F.col("tr") > 0).alias("train_groups"), F.count_if(F.col("te") > 0).alias("test_groups"),
+                       F.count_if((F.col("tr") > 0) & (F.col("te") > 0)).alias("shared_groups"),
+                       F.count(F.lit(1)).alias("groups_total"), F.max("c").alias("largest_group"))
+    sizes = grouped_quantiles(groups, "c", [0.5, 0.9, 0.99, 1.0], names=[f"group_size_{q}" for q in ("q50", "q90", "q99", "q100")])
+    out = with_row(with_row(rows, stats), sizes)
     out = out.withColumn("largest_group_share", share("largest_group", F.col("train_rows") + F.col("test_rows")))
     if description is None:
         return out
     shared = df.groupBy(description).agg(F.count_if(train).alias("tr"), F.count_if(test).alias("te")).filter((F.col("tr") > 0) & (F.col("te") > 0))
-    d = shared.agg(F.struct(F.count(F.lit(1)).alias("g"), F.coalesce(F.sum("te"), F.lit(0)).alias("r"))).scalar()
-    return out.withColumns({"shared_description_groups": d["g"], "test_rows_sharing_description": d["r"]})
+    return with_row(out, shared.agg(F.count(F.lit(1)).alias("shared_description_groups"),
+                                    F.coalesce(F.sum("te"), F.lit(0)).alias("test_rows_sharing_description")))
 
 
 def compare_splits(df: DataFrame, old_role: str, new_role: str) -> DataFrame:

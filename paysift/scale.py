@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from .session import shared_dir
 
-# Buckets per factor e in `order_bucket`, and equal-width cells inside one bucket.
-BUCKETS_PER_E = 256
-CELLS_PER_BUCKET = 4096
+# Buckets per factor e in the order-preserving bucket of a number.
+BUCKETS_PER_E = 16_384
 
 
 def col(value: Column | str) -> Column:
@@ -88,107 +87,74 @@ def ordinal(df: DataFrame, order: Sequence[Column | str], name: str, start: int
             .drop("__range", "__offset", "__start"))
 
 
-def order_bucket(value: Column) -> Column:
-    """An order-preserving bucket of a number: finer near zero, at most some 20,000 in all."""
-    scaled = F.log1p(F.abs(value) * F.lit(1e4)) * F.lit(float(BUCKETS_PER_E))
-    return F.floor(F.signum(value) * scaled).cast("int")
+def _bucket(value: str) -> str:
+    """SQL for an order-preserving bucket: relative width 1/16384, so some half a million per group at most."""
+    return f"CAST(floor(signum({value}) * log1p(abs({value}) * 1e4D) * {BUCKETS_PER_E}) AS BIGINT)"
 
 
-def _cell(value: Column, low: Column, high: Column) -> Column:
-    """Equal-width cell of `value` inside [low, high]; 0 when the range is a point."""
-    ratio = F.try_divide(value - low, high - low)
-    return F.coalesce(F.least(F.floor(ratio * F.lit(float(CELLS_PER_BUCKET))),
-                              F.lit(CELLS_PER_BUCKET - 1)), F.lit(0)).cast("int")
+def _names(columns: Sequence[str], prefix: str = "") -> list[str]:
+    return [f"{prefix}`{c}`" for c in columns]
 
 
-def _running(partition: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+def _over(keys: Sequence[str], order: str) -> str:
+    partition = f"PARTITION BY {', '.join(keys)} " if keys else ""
+    return f"({partition}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
 
 def grouped_quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = (),
                       names: Sequence[str] | None = None, count: str | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) per group, NULL values ignored.
 
-    A two-step selection instead of a sort or a per-group buffer: count values by
-    `order_bucket`, find the buckets that hold the wanted ranks, count equal-width
-    cells inside those, and only order the distinct values of the cells hit.  Every
-    step combines on the map side, so one group may hold most of the rows.
+    A selection instead of a sort or a per-group buffer: count values per order-preserving
+    bucket, find the buckets that hold the wanted ranks, and order only the distinct values
+    of those.  Both passes combine on the map side, so one group may hold most of the rows.
     """
-    by, names = list(by), list(names or [f"q{i}" for i in range(len(probs))])
-    keys = by or ["__all"]
-    base = df.select(*by, *([] if by else [F.lit(0).alias("__all")]), col(value).cast("double").alias("__v"))
-    base = base.filter(F.col("__v").isNotNull())
-    bucketed = base.withColumn("__b", order_bucket(F.col("__v")))
-
-    whole = Window.partitionBy(*keys)
-    coarse = (bucketed.groupBy(*keys, "__b")
-              .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-              .withColumn("__n", F.sum("__c").over(whole))
-              .withColumn("__before", F.coalesce(F.sum("__c").over(_running(keys, ["__b"])), F.lit(0))))
-    position = [F.lit(float(p)) * (F.col("__n") - 1) for p in probs]
-    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(p), F.ceil(p)) for p in position])))
-    inside = lambda before, size: F.filter(F.col("__ranks"), lambda r: (r >= before) & (r < before + size))
-    coarse = (coarse.withColumn("__ranks", ranks)
-              .withColumn("__ranks", inside(F.col("__before"), F.col("__c")))
-              .filter(F.size("__ranks") > 0).drop("__c"))
-    # Without groups at most two rows per probability remain; with groups Spark sizes the join itself.
-    small = (lambda d: d) if by else F.broadcast
-
-    hit = null_safe(bucketed, small(coarse), [*keys, "__b"], "inner")
-    fine = (hit.withColumn("__cell", _cell(F.col("__v"), F.col("__lo"), F.col("__hi")))
-            .groupBy(*keys, "__b", "__cell")
-            .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
-                 F.first("__n").alias("__n"), F.first("__before").alias("__before"), F.first("__ranks").alias("__ranks"))
-            .withColumn("__before", F.col("__before") + F.coalesce(
-                F.sum("__c").over(_running([*keys, "__b"], ["__cell"])), F.lit(0)))
-            .withColumn("__ranks", inside(F.col("__before"), F.col("__c")))
-            .filter(F.size("__ranks") > 0).drop("__c", "__cell")
-            .withColumnRenamed("__lo", "__clo").withColumnRenamed("__hi", "__chi"))
-
-    chosen = null_safe(bucketed, small(fine), [*keys, "__b"], "inner").filter(F.col("__v").between(F.col("__clo"), F.col("__chi")))
-    values = (chosen.groupBy(*keys, "__b", "__clo", "__v")
-              .agg(F.count(F.lit(1)).alias("__c"), F.first("__n").alias("__n"),
-                   F.first("__before").alias("__before"), F.first("__ranks").alias("__ranks"))
-              .withColumn("__before", F.col("__before") + F.coalesce(
-                  F.sum("__c").over(_running([*keys, "__b", "__clo"], ["__v"])), F.lit(0)))
-              .withColumn("__ranks", inside(F.col("__before"), F.col("__c")))
-              .filter(F.size("__ranks") > 0))
-
-    outputs = []
-    for name, p in zip(names, position):
-        low = F.max(F.when(F.array_contains("__ranks", F.floor(p)), F.col("__v")))
-        high = F.max(F.when(F.array_contains("__ranks", F.ceil(p)), F.col("__v")))
-        fraction = F.max(p - F.floor(p))
-        outputs.append((low + (high - low) * fraction).alias(name))
+    base = df.select(*by, col(value).cast("double").alias("__v"))
+    keys, names = _names(by), list(names or [f"q{i}" for i in range(len(probs))])
+    listed = lambda columns: "".join(f"{c}, " for c in columns)
+    matched = " AND ".join([f"b.{k} <=> h.{k}" for k in keys] + ["b.__b = h.__b"])
+    whole = f"(PARTITION BY {', '.join(keys)})" if keys else "()"
+    positions = [f"({float(p)!r}D * (__n - 1))" for p in probs]
+    ranks = ", ".join(f"floor({p}), ceil({p})" for p in positions)
+    pick = lambda rank: f"max(CASE WHEN {rank} >= __at AND {rank} < __at + __c THEN __v END)"
+    outputs = [f"{pick(f'floor({p})')} + ({pick(f'ceil({p})')} - {pick(f'floor({p})')}) * max({p} - floor({p})) AS `{name}`"
+               for name, p in zip(names, positions)]
     if count:
-        outputs.append(F.max("__n").alias(count))
-    return values.groupBy(*keys).agg(*outputs).drop("__all")
+        outputs.append(f"max(__n) AS `{count}`")
+    group = f"GROUP BY {', '.join(keys)}" if keys else ""
+    # Without groups the hit list has at most two rows per probability; with groups Spark sizes the join itself.
+    hint = "" if keys else "/*+ BROADCAST(h) */"
+    return df.sparkSession.sql(f"""
+        WITH base AS (SELECT {listed(keys)} __v, {_bucket('__v')} AS __b FROM {{base}} WHERE __v IS NOT NULL),
+        counted AS (SELECT {listed(keys)} __b, count(*) AS __c FROM base GROUP BY {listed(keys)} __b),
+        placed AS (SELECT *, sum(__c) OVER {whole} AS __n, coalesce(sum(__c) OVER {_over(keys, '__b')}, 0) AS __before FROM counted),
+        hits AS (SELECT {listed(keys)} __b, __n, __before FROM placed
+                 WHERE exists(array({ranks}), r -> r >= __before AND r < __before + __c)),
+        valued AS (SELECT {hint} {listed(_names(by, 'b.'))} b.__b, b.__v, count(*) AS __c, first(h.__n) AS __n, first(h.__before) AS __before
+                   FROM base b JOIN hits h ON {matched} GROUP BY {listed(_names(by, 'b.'))} b.__b, b.__v),
+        ordered AS (SELECT *, __before + coalesce(sum(__c) OVER {_over([*keys, '__b'], '__v')}, 0) AS __at FROM valued)
+        SELECT {listed(keys)} {', '.join(outputs)} FROM ordered {group}""", base=base)
 
 
 def value_positions(df: DataFrame, value: Column | str, by: Sequence[str] = (),
                     weight: Column | str | None = None) -> DataFrame:
     """Distinct values per group with their weight `w`, the weight `before` them and the group's `total`.
 
-    The running total is split by `order_bucket` and equal-width cell: a window orders
-    cells, never all rows of a group.
+    The running total is split by bucket: one window orders buckets, another the distinct
+    values of each bucket, never all rows of a group.
     """
-    by = list(by)
-    keys = by or ["__all"]
-    w = F.lit(1) if weight is None else col(weight)
-    base = df.select(*by, *([] if by else [F.lit(0).alias("__all")]), col(value).cast("double").alias("value"), w.alias("w"))
-    distinct = (base.filter(F.col("value").isNotNull()).groupBy(*keys, "value").agg(F.sum("w").alias("w"))
-                .withColumn("__b", order_bucket(F.col("value"))))
-    spans = distinct.groupBy(*keys, "__b").agg(F.min("value").alias("__lo"), F.max("value").alias("__hi"))
-    placed = (null_safe(distinct, spans, [*keys, "__b"], "inner")
-              .withColumn("__cell", _cell(F.col("value"), F.col("__lo"), F.col("__hi"))).drop("__lo", "__hi"))
-    cells = (placed.groupBy(*keys, "__b", "__cell").agg(F.sum("w").alias("__cw"))
-             .withColumn("total", F.sum("__cw").over(Window.partitionBy(*keys)))
-             .withColumn("__start", F.coalesce(F.sum("__cw").over(_running(keys, ["__b", "__cell"])), F.lit(0)))
-             .drop("__cw"))
-    inner = F.coalesce(F.sum("w").over(_running([*keys, "__b", "__cell"], ["value"])), F.lit(0))
-    return (null_safe(placed, cells, [*keys, "__b", "__cell"], "inner")
-            .withColumn("before", F.col("__start") + inner)
-            .drop("__b", "__cell", "__start", "__all"))
+    base = df.select(*by, col(value).cast("double").alias("value"), (F.lit(1) if weight is None else col(weight)).alias("w"))
+    keys = _names(by)
+    listed = lambda columns: "".join(f"{c}, " for c in columns)
+    matched = " AND ".join([f"d.{k} <=> s.{k}" for k in keys] + ["d.__b = s.__b"])
+    whole = f"(PARTITION BY {', '.join(keys)})" if keys else "()"
+    return df.sparkSession.sql(f"""
+        WITH distinct_values AS (SELECT {listed(keys)} value, sum(w) AS w, {_bucket('value')} AS __b FROM {{base}}
+                                 WHERE value IS NOT NULL GROUP BY {listed(keys)} value),
+        buckets AS (SELECT {listed(keys)} __b, sum(w) AS __w FROM distinct_values GROUP BY {listed(keys)} __b),
+        starts AS (SELECT {listed(keys)} __b, sum(__w) OVER {whole} AS total, coalesce(sum(__w) OVER {_over(keys, '__b')}, 0) AS __start FROM buckets)
+        SELECT {listed(_names(by, 'd.'))} value, w, total, __start + coalesce(sum(w) OVER {_over([*_names(by, 'd.'), 'd.__b'], 'value')}, 0) AS before
+        FROM distinct_values d JOIN starts s ON {matched}""", base=base)
 
 
 def one_row(df: DataFrame, *columns: str) -> Column:
@@ -196,6 +162,12 @@ def one_row(df: DataFrame, *columns: str) -> Column:
     return df.select(F.struct(*columns)).scalar()
 
 
+def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row (one scalar subquery)."""
+    kept = [c for c in df.columns if c not in row.columns]
+    return df.select(*kept, row.select(F.struct(*row.columns)).scalar().alias("__row")).select(*kept, "__row.*")
+
+
 def md5_number(*parts: Column | str) -> Column:
     """A reproducible 32-bit number from the parts; the same formula works in any SQL engine."""
     text = F.concat_ws("|", *[col(p).cast("string") for p in parts])

@@ -43,7 +43,7 @@ def write_sorted_gzip(df: DataFrame, path: str, key: str, files: int | None = No
 
 def file_fingerprints(spark, path: str) -> DataFrame:
     """Bytes and SHA-256 of each file."""
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"),
                         F.sha2("content", 256).alias("sha256"))
 
