@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.values import lookup, share
-from ..scale import grouped_quantiles, materialise, null_safe, top_per_key
+from ..scale import grouped_quantiles, materialise, null_safe, top_per_key, with_row
 from .contracts import seeded_sample
 from .neighbours import silhouette
 
@@ -89,10 +89,10 @@ def davies_bouldin(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     centres = materialise(centroids(kept, "v", "c"))
     spread = kept.join(centres.select("c", "centroid"), "c").groupBy("c").agg(F.avg(_distance(F.col("v"), F.col("centroid"))).alias("s"))
     stats = centres.join(spread, "c").select("c", "centroid", "s")
-    every = stats.agg(F.collect_list(F.struct("c", "centroid", "s"))).scalar()  # one entry per cluster
+    every = stats.agg(F.collect_list(F.struct("c", "centroid", "s")).alias("every"))  # one entry per cluster
     rival = lambda o: F.try_divide(F.col("s") + o["s"], _distance(F.col("centroid"), o["centroid"]))
-    ratios = F.transform(F.filter(every, lambda o: o["c"] != F.col("c")), rival)
-    worst = stats.select(F.array_max(ratios).alias("r"))
+    ratios = F.transform(F.filter("every", lambda o: o["c"] != F.col("c")), rival)
+    worst = with_row(stats, every).select(F.array_max(ratios).alias("r"))
     return worst.agg(F.avg("r").alias("davies_bouldin"))
 
 
@@ -249,8 +249,8 @@ def pca_coordinates(df: DataFrame, features: str = "features", k: int = 2, outpu
     """Centred principal coordinates (array column) and the share of variance they explain."""
     model = PCA(k=k, inputCol=features, outputCol="__pc").fit(df)
     raw = model.transform(df).withColumn("__a", vector_to_array("__pc"))
-    means = raw.agg(F.array(*[F.avg(F.get("__a", F.lit(i))) for i in range(k)])).scalar()
-    centred = raw.withColumn(output, F.transform("__a", lambda x, i: x - F.get(means, i))).drop("__pc", "__a")
+    means = raw.agg(F.array(*[F.avg(F.get("__a", F.lit(i))) for i in range(k)]).alias("__means"))
+    centred = with_row(raw, means).withColumn(output, F.transform("__a", lambda x, i: x - F.get("__means", i))).drop("__pc", "__a", "__means")
     return centred, float(sum(model.explainedVariance))
 
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scale import grouped_quantiles, materialise, null_safe, ordinal
+from ..scale import grouped_quantiles, materialise, null_safe, ordinal, with_row
 from .neighbours import as_matrix, blocked, squared_distances
 from .splits import star_components
 
@@ -181,9 +181,9 @@ def dbscan_sets(df: DataFrame, id: str, items: str, eps: float, min_samples: int
     border = links.filter("border").select(F.col("u").alias("sid"), F.col("v").alias("t")).join(
         labelled_core.select(F.col("sid").alias("t"), "cluster"), "t").groupBy("sid").agg(F.min("cluster").alias("border_cluster"))
     by_size = labelled_core.filter(F.col("size") < h).groupBy("size").agg(F.min("cluster").alias("c")).agg(
-        F.collect_list(F.struct("size", "c"))).scalar()  # fewer than h entries
-    small = F.array_min(F.transform(F.filter(by_size, lambda x: x["size"] <= F.lit(h) - F.col("size")), lambda x: x["c"]))
-    joined = (marked.join(labelled_core.select("sid", "cluster"), "sid", "left").join(border, "sid", "left")
+        F.collect_list(F.struct("size", "c")).alias("by_size"))  # fewer than h entries
+    small = F.array_min(F.transform(F.filter("by_size", lambda x: x["size"] <= F.lit(h) - F.col("size")), lambda x: x["c"]))
+    joined = (with_row(marked, by_size).join(labelled_core.select("sid", "cluster"), "sid", "left").join(border, "sid", "left")
               .withColumn("cluster", F.coalesce("cluster", F.least("border_cluster", small), F.lit(-1))).select("sid", "cluster", "core"))
     rows = members.join(joined, "sid").select(F.col("row").alias(id), "cluster", "core")
     return df.select(id).join(rows, id, "left").withColumns({

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions.values import share
-from ..scale import col, md5_number, top_per_key
+from ..scale import col, md5_number, top_per_key, with_row
 
 # A matcher's patterns travel with every task; larger vocabularies use `match_terms`.
 MAX_MATCHER_SIZE = 5_000
@@ -153,11 +153,11 @@ def rank_for_display(df: DataFrame, items: str, vocabulary: DataFrame, last: Seq
     """
     entry = F.struct(F.when(F.col("skill").isin(list(last)), 1).otherwise(0).alias("late"),
                      F.when(F.col("forced"), 0).otherwise(1).alias("plain"), F.col("job_count").alias("n"))
-    table = vocabulary.agg(F.map_from_entries(F.collect_list(F.struct("skill", entry)))).scalar()
+    listed = with_row(df, vocabulary.agg(F.map_from_entries(F.collect_list(F.struct("skill", entry))).alias("__table")))
     default = F.struct(F.lit(0).alias("late"), F.lit(1).alias("plain"), F.lit(0).cast("bigint").alias("n"))
-    keyed = F.transform(items, lambda s, i: F.struct(F.coalesce(F.try_element_at(table, s), default).alias("k"),
+    keyed = F.transform(items, lambda s, i: F.struct(F.coalesce(F.try_element_at("__table", s), default).alias("k"),
                                                      i.alias("i"), s.alias("s")))
-    return df.withColumn(items, F.transform(F.array_sort(keyed), lambda x: x["s"]))
+    return listed.withColumn(items, F.transform(F.array_sort(keyed), lambda x: x["s"])).drop("__table")
 
 
 def coverage(df: DataFrame, items: str, technical: Sequence[str]) -> DataFrame:
@@ -186,7 +186,7 @@ def context_audit(df: DataFrame, id: str, text: str, items: str, patterns: DataF
                 .orderBy(F.col("jobs").desc(), "skill").limit(top))
     drawn = top_per_key(exploded.join(frequent, "skill"), ["skill"], [md5_number(id, "skill", F.lit(seed)), F.col(id)], samples)
     texts = drawn.join(df.select(id, F.lower(text).alias("__t")), id).join(patterns.select("skill", "pattern"), "skill")
-    snippet = F.regexp_extract("__t", F.concat(F.lit(f"(?s).{{0,{width}}}(?:"), F.col("pattern"), F.lit(f").{{0,{width}}}")), 0)
+    snippet = F.regexp_substr("__t", F.concat(F.lit(f"(?s).{{0,{width}}}(?:"), F.col("pattern"), F.lit(f").{{0,{width}}}")))
     return texts.select("skill", "jobs", id, snippet.alias("snippet"))
 
 

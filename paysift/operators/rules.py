@@ -55,7 +55,7 @@ def generate_rules(itemsets: DataFrame, min_confidence: float = K.MIN_CONFIDENCE
     joins with the itemset table, keyed by the itemset.
     """
     longer = itemsets.filter(F.col("length") > 1)
-    mask = F.explode(F.sequence(F.lit(1), F.shiftleft(F.lit(1).cast("bigint"), F.col("length")) - 2)).alias("mask")
+    mask = F.explode(F.sequence(F.lit(1).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("length")) - 2)).alias("mask")
     part = lambda bit: F.filter("itemset", lambda _, i: F.getbit(F.col("mask"), i) == bit)
     splits = longer.select("itemset", "freq", "n", mask).select(
         "itemset", "freq", "n", part(1).alias("antecedent"), part(0).alias("consequent"))
