@@ -31,6 +31,8 @@ def blocked(queries: DataFrame, refs: DataFrame, key: str, query_id: str, ref_id
     q = queries.join(sizes, key).withColumn("__q", cut(queries, query_id, "__nq")).withColumn("__r", every("__nr")).drop("__nq", "__nr")
     r = refs.join(sizes, key).withColumn("__r", cut(refs, ref_id, "__nr")).withColumn("__q", every("__nq")).drop("__nq", "__nr")
     groups = [key, "__q", "__r"]
+    # Fresh column identities: both sides may come from the same frame.
+    r = r.select([F.col(c).alias(c) for c in r.columns])
     return q.groupBy(*groups).cogroup(r.groupBy(*groups)).applyInPandas(kernel, schema)
 
 

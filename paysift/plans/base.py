@@ -66,9 +66,9 @@ def cuts(df: DataFrame, salary: str = "salary") -> DataFrame:
     return grouped_quantiles(df, salary, [1 / 3, 2 / 3], names=["p33", "p66"])
 
 
-def with_tier(df: DataFrame, salary: str = "salary", tier: str = "tier") -> DataFrame:
-    """Add the tier by exact thirds of the frame's own salaries."""
-    placed = with_row(df, cuts(df, salary))
+def with_tier(df: DataFrame, salary: str = "salary", tier: str = "tier", thresholds: DataFrame | None = None) -> DataFrame:
+    """Add the tier by exact thirds of the frame's own salaries, or by given thresholds."""
+    placed = with_row(df, cuts(df, salary) if thresholds is None else thresholds)
     return placed.withColumn(tier, tier_between(salary, F.col("p33"), F.col("p66"))).drop("p33", "p66")
 
 
@@ -85,8 +85,8 @@ def order_tiers(t: Tables) -> DataFrame:
 
 
 def jobs(t: Tables) -> DataFrame:
-    """Postings with tier and items."""
-    return with_tier(postings(t)).join(baskets(t), "job_id")
+    """Postings with tier and items; the thresholds come from the orders alone."""
+    return with_tier(postings(t), thresholds=cuts(t.orders, "o_totalprice")).join(baskets(t), "job_id")
 
 
 def mining_jobs(t: Tables) -> DataFrame:
