@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import prepare
 
 MODULES = ["cleaning", "checks", "joining", "starschema", "summaries", "ranking", "vocabularies", "mining", "networks", "splitting",
-           "classifying", "grouping"]
+           "classifying", "grouping", "publishing", "storing"]
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import html_to_text, word_count
 from ..functions.values import blank_missing
 from ..scale import col
 
@@ -103,6 +104,17 @@ def scan_json_pages(spark: SparkSession, path: str, schema: T.StructType = PAGE_
             .withColumnRenamed("col", "posting"))
 
 
+def flatten_postings(pages: DataFrame, posting: str = "posting") -> DataFrame:
+    """Nested postings as columns: struct fields, lists of names, visible text of the contents and its word count."""
+    p = F.col(posting)
+    names = lambda field: F.coalesce(F.transform(p[field], lambda x: x["name"]), F.array().cast("array<string>"))
+    rest = [c for c in pages.columns if c != posting]
+    flat = pages.select(*rest, p["id"].alias("id"), p["name"].alias("name"), p["company"]["name"].alias("company"), names("locations").alias("locations"),
+                        html_to_text(p["contents"]).alias("description"), names("levels").alias("levels"), names("categories").alias("categories"),
+                        p["publication_date"].alias("publication_date"), p["refs"]["landing_page"].alias("landing_page"))
+    return flat.withColumn("description_words", word_count("description"))
+
+
 def parse_list_column(text: Column | str) -> Column:
     """A list literal or JSON array as an array; both quote styles are accepted."""
     return F.from_json(col(text), "array<string>")
