@@ -20,8 +20,8 @@ from .rules import basket_items, with_metrics
 
 
 def index_groups(sums: DataFrame, group: str) -> tuple[DataFrame, int]:
-    """Group sums with a dense index `g` in group order, and the number of groups."""
-    indexed = materialise(ordinal(sums, [group], "g"))
+    """Group sums with a dense index `__g` in group order, and the number of groups."""
+    indexed = materialise(ordinal(sums, [group], "__g"))
     return indexed, indexed.count()
 
 
@@ -30,8 +30,8 @@ def draw_weights(df: DataFrame, groups: int, replicates: int, seed: int) -> Data
     draws = df.sparkSession.range(replicates * groups)
     replicate = F.floor(F.col("id") / groups).cast("int")
     number = md5_number(F.lit(seed), replicate, F.col("id") % groups)
-    return (draws.select(replicate.alias("replicate"), F.pmod(number, F.lit(groups)).alias("g"))
-            .groupBy("replicate", "g").agg(F.count(F.lit(1)).alias("w")))
+    return (draws.select(replicate.alias("replicate"), F.pmod(number, F.lit(groups)).alias("__g"))
+            .groupBy("replicate", "__g").agg(F.count(F.lit(1)).alias("__w")))
 
 
 def interval_rows(values: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -50,8 +50,8 @@ def prediction_replicates(df: DataFrame, group: str, actual: str, predicted: str
     """Accuracy, macro and per-class F1 of every replicate."""
     sums = df.groupBy(group).agg(*confusion_cells(actual, predicted, labels))
     indexed, n = index_groups(sums, group)
-    weighted = draw_weights(df, n, replicates, seed).join(indexed, "g").groupBy("replicate").agg(
-        *[F.sum(F.col("w") * F.col(c)).alias(c) for _, _, c in cell_names(labels)])
+    weighted = draw_weights(df, n, replicates, seed).join(indexed, "__g").groupBy("replicate").agg(
+        *[F.sum(F.col("__w") * F.col(c)).alias(c) for _, _, c in cell_names(labels)])
     chosen = {k: v for k, v in metrics_of_cells(labels).items() if k in ("accuracy", "macro_f1") or k.startswith("f1_")}
     return weighted.select("replicate", *[v.alias(prefix + k) for k, v in chosen.items()])
 
@@ -79,9 +79,9 @@ def auc_bootstrap(df: DataFrame, group: str, actual: str, scores: Mapping[str, s
     long = df.select(group, rows.alias("r")).groupBy(group, "r.label", "r.value").agg(
         F.count(F.lit(1)).alias("n"), F.sum("r.pos").alias("p"))
     indexed, n = index_groups(df.select(group).distinct(), group)
-    drawn = draw_weights(df, n, replicates, seed).join(long.join(indexed, group), "g")
+    drawn = draw_weights(df, n, replicates, seed).join(long.join(indexed, group), "__g")
     weights = materialise(drawn.groupBy("replicate", "label", "value").agg(
-        F.sum(F.col("w") * F.col("n")).alias("n"), F.sum(F.col("w") * F.col("p")).alias("p")))
+        F.sum(F.col("__w") * F.col("n")).alias("n"), F.sum(F.col("__w") * F.col("p")).alias("p")))
     ranks = value_positions(weights, "value", ["replicate", "label"], "n")
     joined = ranks.join(weights.select("replicate", "label", "value", "p"), ["replicate", "label", "value"])
     p, t = F.sum("p").cast("double"), F.max("total").cast("double")
@@ -102,8 +102,8 @@ def rule_replicates(df: DataFrame, items: str, group: str, rules: DataFrame, rep
         F.count(F.lit(1)).alias("c"))
     indexed, n = index_groups(baskets.groupBy(group).agg(F.count(F.lit(1)).alias("rows")), group)
     weights = materialise(draw_weights(df, n, replicates, seed))
-    totals = weights.join(indexed, "g").groupBy("replicate").agg(F.sum(F.col("w") * F.col("rows")).alias("n"))
-    counted = weights.join(held.join(indexed.select(group, "g"), group), "g").groupBy("replicate", "set").agg(F.sum(F.col("w") * F.col("c")).alias("c"))
+    totals = weights.join(indexed, "__g").groupBy("replicate").agg(F.sum(F.col("__w") * F.col("rows")).alias("n"))
+    counted = weights.join(held.join(indexed.select(group, "__g"), group), "__g").groupBy("replicate", "set").agg(F.sum(F.col("__w") * F.col("c")).alias("c"))
     grid = sides.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     side = lambda s, name: F.coalesce(F.max(F.when(F.col("side") == s, F.col("c"))), F.lit(0)).alias(name)
     wide = grid.join(counted, ["replicate", "set"], "left").groupBy("antecedents", "consequents", "replicate").agg(
