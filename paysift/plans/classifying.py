@@ -54,7 +54,7 @@ def top_categories(t: Tables):
     return t.spark.createDataFrame([("state", s) for s in top["states"]] + [("industry", i) for i in top["industries"]], "kind string, name string")
 
 
-@query("K-0 K-3 K-5", f"""
+@query("K-0 K-3 K-5 U5", f"""
     WITH {FRAME}, top_states AS (SELECT state FROM frame WHERE state IS NOT NULL GROUP BY state ORDER BY count(*) DESC, state LIMIT 20), top_industries AS (SELECT industry FROM links GROUP BY industry ORDER BY count(*) DESC, industry LIMIT 15),
     items AS (SELECT DISTINCT l_orderkey AS job_id, p_brand AS item FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
     other AS (SELECT f.job_id FROM frame f LEFT JOIN links USING (job_id) GROUP BY 1 HAVING count(links.industry) = 0 OR count(*) FILTER (links.industry NOT IN (SELECT industry FROM top_industries)) > 0)

@@ -13,7 +13,7 @@ from .base import (BASKET, EVENT_POSTS, POSTINGS, RAW_LISTS, RAW_PAY, SNAPSHOTS,
 from .registry import Tables, query
 
 
-@query("C1 C33", """
+@query("C1 C33 S-22", """
     SELECT doc_id, md5(norm) AS norm_md5, length(text) AS n_chars,
            CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS n_words
     FROM (SELECT doc_id, text, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS norm FROM documents)""")

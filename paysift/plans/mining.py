@@ -93,7 +93,7 @@ def scored(name: str, where: str) -> str:
 METRICS = """round(fb / n, 6) AS support, round(fb / nullif(fa, 0), 6) AS confidence, round((fb * n) / nullif(fa * fc, 0), 6) AS lift"""
 
 
-@query("J6 J11 E15", f"""
+@query("J6 J11 E15 S-16", f"""
     WITH {MASKS},{FIXED},{scored('s', 'true')}
     SELECT antecedents, consequents, fa AS antecedent_count, fc AS consequent_count, fb AS itemset_count, n, {METRICS}, round(n / nullif(fc, 0), 6) AS max_lift, round(hi / nullif(fb, 0), 6) AS high_tier_rate,
            round((hi / nullif(fb, 0)) / (all_hi / n), 6) AS high_tier_lift FROM s""")
