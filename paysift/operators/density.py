@@ -49,16 +49,15 @@ def _posted(sets: DataFrame, h: int) -> DataFrame:
 def _overlaps(q: pd.DataFrame, r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(distance, ours): symmetric-difference sizes, and whether the rarest common item lies in this group."""
     group, width = int(q["item_group"].iloc[0]), int(q["width"].iloc[0])
-    used = np.unique(np.concatenate([*q["r"], *r["r"]]))
-    place = {x: i for i, x in enumerate(used)}
+    flat = [np.concatenate(list(side["r"])).astype(np.int64) for side in (q, r)]
+    used = np.unique(np.concatenate(flat))
 
-    def hot(sets: pd.Series) -> np.ndarray:
-        m = np.zeros((len(sets), len(used)), dtype=np.float32)
-        for i, s in enumerate(sets):
-            m[i, [place[x] for x in s]] = 1.0
+    def hot(side: pd.DataFrame, items: np.ndarray) -> np.ndarray:
+        m = np.zeros((len(side), len(used)), dtype=np.float32)
+        m[np.repeat(np.arange(len(side)), side["size"].to_numpy()), np.searchsorted(used, items)] = 1.0
         return m
 
-    a, b = hot(q["r"]), hot(r["r"])
+    a, b = hot(q, flat[0]), hot(r, flat[1])
     low, high = np.searchsorted(used, group * width), np.searchsorted(used, (group + 1) * width)
     common = a @ b.T
     earlier = a[:, :low] @ b[:, :low].T if low else np.zeros_like(common)
@@ -124,19 +123,19 @@ def eps_candidates(k_distances: DataFrame, low: float = 0.1, high: float = 0.9)
 def _local_links(near: np.ndarray, q_ids: np.ndarray, r_ids: np.ndarray, q_core: np.ndarray) -> pd.DataFrame:
     """Links of one block: core rows of a local component all point at its smallest id, and a
     border row points at each local component it touches."""
-    core = near & q_core[:, None]
-    labels_r = np.array(r_ids)
+    rows, cols = np.nonzero(near & q_core[:, None])
+    labels_q, labels_r = np.full(len(q_ids), np.iinfo(np.int64).max), np.array(r_ids, dtype=np.int64)
     while True:
-        masked = np.where(core, labels_r[None, :], np.iinfo(np.int64).max)
-        labels_q = np.minimum(masked.min(1, initial=np.iinfo(np.int64).max), np.iinfo(np.int64).max)
-        back = np.where(core, labels_q[:, None], np.iinfo(np.int64).max).min(0, initial=np.iinfo(np.int64).max)
-        updated = np.minimum(labels_r, back)
+        np.minimum.at(labels_q, rows, labels_r[cols])
+        updated = labels_r.copy()
+        np.minimum.at(updated, cols, labels_q[rows])
         if (updated == labels_r).all():
             break
         labels_r = updated
-    touched = core.any(1)
+    touched = np.unique(rows)
+    moved = labels_r != r_ids  # a row that is its own smallest id needs no link
     frames = [pd.DataFrame({"u": q_ids[touched], "v": labels_q[touched], "border": False}),
-              pd.DataFrame({"u": r_ids, "v": labels_r, "border": False})]
+              pd.DataFrame({"u": r_ids[moved], "v": labels_r[moved], "border": False})]
     rows, cols = np.nonzero(near & ~q_core[:, None])
     if len(rows):
         frames.append(pd.DataFrame({"u": q_ids[rows], "v": labels_r[cols], "border": True}).drop_duplicates())

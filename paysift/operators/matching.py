@@ -24,6 +24,8 @@ class PhraseMatcher:
     def __init__(self, entries: Sequence[tuple[str, str, Sequence[str]]], exclusions: Mapping[str, str]):
         self.entries = [(skill, pattern, tuple(forms or ())) for skill, pattern, forms in entries]
         self.exclusions = dict(exclusions)
+        special = {*K.SENSE_PHRASES, "organization"}
+        self.plain = {skill for skill, pattern, _ in self.entries if skill not in special and pattern.startswith("(?<![a-z0-9])(?:")}
         self._ready = None
 
     def __getstate__(self):
@@ -37,9 +39,7 @@ class PhraseMatcher:
         nested.sort(key=lambda s: -max(map(len, forms[s])))
         rest = [skill for skill in compiled if skill not in set(nested)]
         # A text without the longest word of any spelling cannot match a pattern built from spellings.
-        built = {skill: pattern.startswith("(?<![a-z0-9])(?:") and skill not in K.SENSE_PHRASES and skill != "organization"
-                 for skill, pattern, _ in self.entries}
-        hints = {skill: tuple({max(re.split(r"[\s\-]+", f), key=len) for f in forms[skill]}) if built[skill] else None
+        hints = {skill: tuple({max(re.split(r"[\s\-]+", f), key=len) for f in forms[skill]}) if skill in self.plain else None
                  for skill in compiled}
         excluded = {skill: re.compile(p) for skill, p in self.exclusions.items() if skill in compiled}
         self._ready = compiled, nested, rest, hints, excluded

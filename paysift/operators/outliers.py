@@ -19,6 +19,7 @@ from .windows import group_zscore
 
 TREES = 300
 SAMPLE = 256
+POOL = 2.0
 
 
 def outlier_features(df: DataFrame, items: str, vocabulary: Sequence[str], experience: str, salary: str, output: str = "x") -> DataFrame:
@@ -71,16 +72,21 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple[int
 def fit_forest(df: DataFrame, id: str, features: str, trees: int = TREES, sample: int = SAMPLE, seed: int = 42) -> tuple[list, int]:
     """(trees, sample size): each tree is grown on its own seeded sample, one group per tree.
 
-    A row joins a tree's pool by hash with a probability a little above what the sample
-    needs; the tree then takes the smallest hashes, so a group never exceeds its pool.
+    A pool row joins a tree by hash with a probability a little above what its sample
+    needs; the tree then takes the smallest hashes, so a group stays near the sample size.
     """
+    whole = 0x100000000
+    number = lambda *parts: F.pmod(F.xxhash64(*parts, F.lit(seed)), F.lit(whole))
+    # A seeded pool a few times the trees' needs; only its rows are hashed once per tree.
     total = df.count()
-    size = min(sample, total)
-    rate = min(1.0, (size + 6.0 * math.sqrt(size) + 6) / max(total, 1))
-    bar = int(rate * 0xFFFFFFFF)
+    share = min(1.0, POOL * trees * sample / max(total, 1))
+    pool = materialise(df.filter(number(F.col(id), F.lit("pool")) < int(share * whole)).select(F.col(id).alias("id"), F.col(features).alias("x")))
+    rows = pool.count()
+    size = min(sample, rows)
+    bar = int(min(1.0, (size + 6.0 * math.sqrt(size) + 6) / max(rows, 1)) * whole)
     hashes = F.filter(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.pmod(F.xxhash64(F.col(id), t, F.lit(seed)), F.lit(0x100000000)).alias("hash"))), lambda p: p["hash"] <= bar)
-    pools = df.select(F.col(features).alias("x"), F.explode(hashes).alias("p")).select("p.tree", "p.hash", "x")
+        t.alias("tree"), number(F.col("id"), t).alias("hash"))), lambda p: p["hash"] < bar)
+    pools = pool.select("x", F.explode(hashes).alias("p")).select("p.tree", "p.hash", "x")
     limit = max(1, math.ceil(math.log2(max(size, 2))))
 
     def grow(pool: pd.DataFrame) -> pd.DataFrame:

@@ -11,7 +11,7 @@ from .. import constants as K
 from ..functions.senses import sense_patterns
 from ..functions.text import clean_form, form_pattern, is_ascii, item_key, split_clean
 from ..functions.values import lookup
-from ..scale import first_per_key, with_group_stats
+from ..scale import first_per_key, materialise, with_group_stats
 
 
 def plain_key(text: str) -> str:
@@ -36,7 +36,8 @@ def spelling_groups(lists: DataFrame, items: str, synonyms: Mapping[str, str] =
     keyed = keyed.withColumn("group", group)
     if excluded:
         keyed = keyed.filter(~F.col("group").isin([plain_key(t) for t in excluded]))
-    forms = keyed.groupBy("group", "form").agg(F.sum("n").alias("job_count"))
+    # Distinct spellings only from here on; the lists are read once.
+    forms = materialise(keyed.groupBy("group", "form").agg(F.sum("n").alias("job_count")))
     shared = with_group_stats(forms, ["group"], group_count=F.sum("job_count"))
     return shared.withColumn("searched", (F.col("job_count") >= F.col("group_count") * K.MIN_VARIANT_SHARE) & is_ascii("form"))
 

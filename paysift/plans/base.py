@@ -53,12 +53,17 @@ basket AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey)"""
 
 
+def item_lists(t: Tables, **columns: str) -> DataFrame:
+    """Sorted distinct values of part columns per order, from one pass over the lines; orders without lines have empty lists."""
+    lists = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+             .groupBy(F.col("l_orderkey").alias("job_id")).agg(*[F.array_sort(F.collect_set(c)).alias(name) for name, c in columns.items()]))
+    joined = t.orders.select(F.col("o_orderkey").alias("job_id")).join(lists, "job_id", "left")
+    return joined.withColumns({name: F.coalesce(name, F.array().cast("array<string>")) for name in columns})
+
+
 def baskets(t: Tables, item: str = "p_brand", name: str = "items") -> DataFrame:
     """Sorted distinct items of every order; orders without lines have an empty list."""
-    lists = (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-             .groupBy(F.col("l_orderkey").alias("job_id")).agg(F.array_sort(F.collect_set(item)).alias(name)))
-    return (t.orders.select(F.col("o_orderkey").alias("job_id")).join(lists, "job_id", "left")
-            .withColumn(name, F.coalesce(name, F.array().cast("array<string>"))))
+    return item_lists(t, **{name: item})
 
 
 def cuts(df: DataFrame, salary: str = "salary") -> DataFrame:

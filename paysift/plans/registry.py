@@ -17,6 +17,10 @@ TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "li
                "benchmark", "labels", "conversations"]
 
 
+# Tables of long texts: work per row is heavy, so a table in fewer files than cores is spread over all cores.
+LONG_TEXTS = ("documents", "pages")
+
+
 class Tables:
     """The given tables of one folder, as attributes."""
 
@@ -26,7 +30,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if name in LONG_TEXTS and len(df.inputFiles()) < cores else df
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import warehouse as w
 from ..scale import materialise
-from .base import JOBS, baskets, order_tiers, postings, r6
+from .base import JOBS, cuts, item_lists, postings, r6, with_tier
 from .cleaning import PLACES, place_text
 from .registry import Tables, query
 
@@ -15,11 +15,12 @@ KINDS = {"matched_skills": "extracted", "skills_list": "category"}
 
 def star_jobs(t: Tables):
     """Postings with brands as extracted items, part types as categories, and a missing company for partial orders."""
-    p = postings(t).select("job_id", F.when(F.col("status") != "P", F.col("company_id")).alias("company_id"), "company_name", "city", "industry",
-                           "experience_level", F.col("salary").alias("normalized_salary"), F.col("posted").alias("date"))
-    located = p.join(t.nation.select(F.col("n_name").alias("city"), place_text(F.col("n_nationkey")).alias("location")), "city").drop("city")
-    tiers = order_tiers(t).select("job_id", F.col("tier").alias("salary_tier"))
-    return located.join(tiers, "job_id").join(baskets(t, "p_brand", "matched_skills"), "job_id").join(baskets(t, "p_type", "skills_list"), "job_id")
+    placed = with_tier(postings(t), tier="salary_tier", thresholds=cuts(t.orders, "o_totalprice"))
+    nations = t.nation.select(F.col("n_name").alias("city"), place_text(F.col("n_nationkey")).alias("place"))
+    p = placed.join(nations, "city").select(
+        "job_id", F.when(F.col("status") != "P", F.col("company_id")).alias("company_id"), "company_name", "industry", "experience_level",
+        F.col("salary").alias("normalized_salary"), F.col("posted").alias("date"), F.col("place").alias("location"), "salary_tier")
+    return p.join(item_lists(t, matched_skills="p_brand", skills_list="p_type"), "job_id")
 
 
 def star(t: Tables):

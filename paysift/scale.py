@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .session import shared_dir
+from .session import scratch_path
 
 # Buckets per factor e in the order-preserving bucket of a number.
 BUCKETS_PER_E = 16_384
@@ -24,12 +24,14 @@ def col(value: Column | str) -> Column:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and continue from there.
+    """Write `df` as a table in the shared checkpoint folder and continue from there.
 
-    A lost executor then costs a re-read, and a plan used twice is computed once.
+    A lost executor then costs a re-read, a plan used twice is computed once, later steps
+    read only their columns, and the optimiser knows the table's size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

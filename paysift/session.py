@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
@@ -30,7 +32,11 @@ def build_session(app: str = "paysift", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings results depend on, on a session made elsewhere."""
+    """Pin the runtime settings results depend on, on a session made elsewhere.
+
+    Functions sent to Python workers are pickled by value, so executors need not have this package.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
