@@ -73,7 +73,7 @@ def registry_scan(t: Tables):
 
 
 def write_pages(t: Tables) -> str:
-    """Orders as nested result pages, one page per day; returns the path."""
+    """Orders as nested result pages of at most fifty postings; returns the path."""
     p = postings(t)
     named = lambda *cols: F.array(*[F.struct(c.alias("name")) for c in cols])
     company = F.when(F.col("status") != "P", F.struct(F.col("company_name").alias("name")))
@@ -82,8 +82,7 @@ def write_pages(t: Tables) -> str:
                        named(F.col("industry")).alias("categories"), F.concat(F.date_format("posted", "yyyy-MM-dd"), F.lit("T00:00:00Z")).alias("publication_date"),
                        F.struct(F.concat(F.lit("https://example.org/"), F.col("job_id").cast("string")).alias("landing_page")).alias("refs"))
     path = scratch_path(t.spark, "pages")
-    # A page holds one day's postings of one nation.
-    pages = p.groupBy("posted", "city").agg(F.collect_list(posting).alias("results")).select("results", F.lit(1).alias("page_count"), F.size("results").alias("total"))
+    pages = p.groupBy(F.floor(F.col("job_id") / 50)).agg(F.collect_list(posting).alias("results")).select("results", F.lit(1).alias("page_count"), F.size("results").alias("total"))
     pages.write.json(path)
     return path
 
