@@ -174,7 +174,7 @@ def salary_lineage(retained: DataFrame, raw: DataFrame, id: str, repost_keys: Se
 
     `fields` are exact texts; amounts are compared as decimals.
     """
-    numbered = ordinal(raw.select(id, order, *dict.fromkeys([*repost_keys, *fields])), [order, id], "source_record", 1)
+    numbered = ordinal(raw.select(*dict.fromkeys([id, order, *repost_keys, *fields])), [order, id], "source_record", 1)
     grouped = repost_stats(numbered, repost_keys, id)
     source = grouped.select(id, "source_record", "repost_group", "group_size", "representative",
                             *[F.col(f).cast("string").alias(f"source_{f}") for f in fields])
