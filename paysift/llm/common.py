@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import prepare, shared_dir
 
@@ -33,7 +34,7 @@ def over_texts(df: DataFrame, keep: Sequence[str], text: str, schema: str,
     `df` other than `keep` are not read, so names cannot clash.
     """
     begin(df.sparkSession)
-    own = [c for c, _ in columns_of(schema)]
+    own = StructType.fromDDL(schema).names
     if clash := set(own) & set(keep):
         raise ValueError(f"columns {sorted(clash)} would be there twice")
     kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
@@ -51,16 +52,6 @@ def over_texts(df: DataFrame, keep: Sequence[str], text: str, schema: str,
     return rows.mapInArrow(run, types).toDF(*keep, *own)
 
 
-def columns_of(schema: str) -> list[tuple[str, str]]:
-    """(name, type) of a flat schema text."""
-    return [tuple(part.strip().split(" ", 1)) for part in schema.split(",")]
-
-
-def lower_ascii(texts: pa.Array) -> pa.Array:
-    """A-Z in lower case, all other characters as they are."""
-    return pa.array([t.encode().lower().decode() for t in texts.to_pylist()], pa.string())
-
-
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of a batch of texts.
 
@@ -112,3 +103,20 @@ def mix(values: np.ndarray) -> np.ndarray:
     values *= np.uint64(0x94D049BB133111EB)
     values ^= values >> np.uint64(31)
     return values
+
+
+def sum_chunks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add up chunks of the same keys: rows stream through a task, which holds one chunk per key."""
+    schema = "chunk long, part long, body binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for chunk, part, body in zip(*(c.to_pylist() for c in batch.columns)):
+                key = (chunk, part if "part" in keys else 0)
+                values = np.frombuffer(body, np.int64)
+                held[key] = held[key] + values if key in held else values
+        for (chunk, part), values in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([values.tobytes()], pa.binary())], names=["chunk", "part", "body"])
+
+    return df.repartition(*keys).mapInArrow(run, schema)

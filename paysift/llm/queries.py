@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, packing, pages, rules
+from . import classifier, licenses, mixing, nearjoin, packing, pages, personal, rules, topk
 from .common import begin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,16 +45,44 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+@query()
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return nearjoin.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("""
+    WITH parts AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda c: isfinite(c)))),
+    v AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+               FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM placed WHERE place <= 10""")
+def op5_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 @query()
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge_quality(table(spark, folder, "documents"))
 
 
+@query()
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query()
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.find_personal(table(spark, folder, "documents"))
+
+
 @query()
 def op10_page_texts(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(table(spark, folder, "pages"))
