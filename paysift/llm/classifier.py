@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scale import materialise
-from .common import Words, begin, over_texts, sum_chunks
+from .common import Words, begin, chunk_row, over_texts, sum_chunks, widened
 
 # Words and shapes fall into BUCKETS rows of DIM numbers; an index vector has NONZERO entries of 1 or -1.
 BUCKETS, DIM, NONZERO, WINDOW = 1 << 14, 32, 4, 2
@@ -106,14 +106,14 @@ def word_vectors(df: DataFrame, text: str = "text") -> np.ndarray:
         for batch in batches:
             accumulate(batch.column(0).cast(pa.string()), index, sums)
         chunks = sums.reshape(BUCKETS // CHUNK, -1)
-        part = int(np.abs(sums).sum() % 64)  # any even spread will do
+        part = int(np.abs(sums).sum() % 16)  # any even spread will do
         for chunk in np.flatnonzero(np.abs(chunks).sum(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([chunks[chunk].tobytes()], pa.binary())], names=["chunk", "part", "body"])
+            yield chunk_row(chunk, part, chunks[chunk])
 
     parts = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t")).mapInArrow(run, "chunk long, part long, body binary")
     whole = np.zeros((BUCKETS // CHUNK, CHUNK * (DIM + 1)), np.int64)
-    for row in sum_chunks(sum_chunks(parts, ["chunk", "part"]), ["chunk"]).collect():
-        whole[row["chunk"]] += np.frombuffer(row["body"], np.int64)
+    for row in sum_chunks(parts, CHUNK * (DIM + 1)).collect():
+        whole[row["chunk"]] = widened(row["body"], CHUNK * (DIM + 1))
     return whole.reshape(BUCKETS, DIM + 1)
 
 

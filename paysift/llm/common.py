@@ -105,18 +105,37 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def sum_chunks(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add up chunks of the same keys: rows stream through a task, which holds one chunk per key."""
+def narrow(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes, in as few bytes each as the largest needs."""
+    most = int(np.abs(values).max(initial=0))
+    return values.astype(f"<i{next(n for n in (1, 2, 4, 8) if most < 1 << 8 * n - 1)}").tobytes()
+
+
+def widened(body: bytes, cells: int) -> np.ndarray:
+    return np.frombuffer(body, f"<i{len(body) // cells}").astype(np.int64)
+
+
+def sum_chunks(df: DataFrame, cells: int) -> DataFrame:
+    """Add up rows (chunk, part, body) per chunk, each body holding `cells` whole numbers from `narrow`.
+
+    First per chunk and part, so that many tasks share the work, then per chunk.  Rows stream through a task, which holds one
+    sum per key.
+    """
+    def adder(by_part: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple, np.ndarray] = {}
+            for batch in batches:
+                for chunk, part, body in zip(*(c.to_pylist() for c in batch.columns)):
+                    key = (chunk, part if by_part else 0)
+                    held[key] = held.get(key, 0) + widened(body, cells)
+            for (chunk, part), values in held.items():
+                yield chunk_row(chunk, part, values)
+        return run
+
     schema = "chunk long, part long, body binary"
+    first = df.repartition("chunk", "part").mapInArrow(adder(True), schema)
+    return first.repartition("chunk").mapInArrow(adder(False), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            for chunk, part, body in zip(*(c.to_pylist() for c in batch.columns)):
-                key = (chunk, part if "part" in keys else 0)
-                values = np.frombuffer(body, np.int64)
-                held[key] = held[key] + values if key in held else values
-        for (chunk, part), values in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([values.tobytes()], pa.binary())], names=["chunk", "part", "body"])
-
-    return df.repartition(*keys).mapInArrow(run, schema)
+
+def chunk_row(chunk: int, part: int, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([narrow(values)], pa.binary())], names=["chunk", "part", "body"])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scale import materialise
-from .common import Words, begin, mix, over_texts, sum_chunks
+from .common import Words, begin, chunk_row, mix, over_texts, sum_chunks, widened
 
 SHINGLE, SIMILARITY = 5, 75  # words; percent
 # A token is a hash of 48 bits of a shingle, kept in six bytes.
@@ -20,7 +20,7 @@ TOKEN_BITS, TOKEN_BYTES = 48, 6
 # Counters of how often tokens occur, in a table of a fixed size; a token above HOT times the mean load is frequent.
 COUNTERS, COUNTER_CHUNK, HOT = 1 << 20, 1 << 14, 4
 # Bits of a signature per token, sets below a node of a signature tree, sets of a block that meet in one task, rounds of star pairs.
-SIGNATURE_BITS, FANOUT, BLOCK, ROUNDS = 2, 8, 512, 3
+SIGNATURE_BITS, FANOUT, BLOCK, ROUNDS = 1, 16, 512, 2
 # A table of a fixed size that tells which sets are wanted; false hits are dropped by the join that follows.
 WANTED_BITS = 1 << 23
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -85,14 +85,14 @@ def token_classes(sets: DataFrame) -> np.ndarray:
         for _, own in fresh_sets(batches):
             counts += np.bincount((np.concatenate(own) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         rows = counts.reshape(-1, COUNTER_CHUNK)
-        part = int(counts.sum() % 64)
+        part = int(counts.sum() % 16)  # any even spread will do
         for chunk in np.flatnonzero(rows.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int64()), pa.array([rows[chunk].tobytes()], pa.binary())], names=["chunk", "part", "body"])
+            yield chunk_row(chunk, part, rows[chunk])
 
     parts = sets.select("set_id", "tokens").mapInArrow(run, "chunk long, part long, body binary")
     counts = np.zeros((COUNTERS // COUNTER_CHUNK, COUNTER_CHUNK), np.int64)
-    for row in sum_chunks(sum_chunks(parts, ["chunk", "part"]), ["chunk"]).collect():
-        counts[row["chunk"]] += np.frombuffer(row["body"], np.int64)
+    for row in sum_chunks(parts, COUNTER_CHUNK).collect():
+        counts[row["chunk"]] = widened(row["body"], COUNTER_CHUNK)
     load = counts.ravel() / max(1.0, counts.mean())
     return np.where(load >= HOT, np.log2(np.maximum(load, 1)).astype(np.int64) - int(np.log2(HOT)) + 1, 0).astype(np.uint8)
 
@@ -106,7 +106,7 @@ def prefix(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def shared_tokens(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame:
-    """(token, set_id) for prefix tokens that stand in two different sets or more.
+    """(token, set_id, other): a row per set for each prefix token of three sets or more; for one of two sets the pair, without token.
 
     Prefix tokens travel packed, one row per batch and part of the token range; a part holds a share of them that does not
     grow with the input, since the number of parts does.
@@ -136,14 +136,18 @@ def shared_tokens(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame
         tokens, sets_ = tokens[order], sets_[order]
         first = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (sets_[1:] != sets_[:-1])])  # one row per token and set
         tokens, sets_ = tokens[first], sets_[first]
-        same = tokens[1:] == tokens[:-1]
-        both = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        for at in range(0, int(both.sum()), 100_000):
-            cut = np.flatnonzero(both)[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[cut].astype(np.int64)), pa.array(sets_[cut])], names=["token", "set_id"])
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(tokens)]]))
+        at = starts[sizes == 2]
+        duos = np.unique(np.stack([sets_[at], sets_[at + 1]], axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(duos), pa.int64()), pa.array(np.ascontiguousarray(duos[:, 0])), pa.array(np.ascontiguousarray(duos[:, 1]))], names=["token", "set_id", "other"])
+        many = np.flatnonzero(np.repeat(sizes, sizes) > 2)
+        for at in range(0, len(many), 100_000):
+            cut = many[at:at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[cut].astype(np.int64)), pa.array(sets_[cut]), pa.nulls(len(cut), pa.int64())], names=["token", "set_id", "other"])
 
     dealt = sets.select("set_id", "tokens").mapInArrow(deal, "part long, tokens binary, owners binary")
-    return dealt.repartition("part").mapInArrow(share, "token long, set_id long")
+    return dealt.repartition("part").mapInArrow(share, "token long, set_id long, other long")
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -245,17 +249,27 @@ def block_pairs(rows: DataFrame) -> DataFrame:
 
 
 def joined_block(block: pa.Table) -> pa.RecordBatch:
-    """The pairs of one block: a chunk with itself, or two chunks with each other."""
-    sides, bodies = block.column("side").to_numpy(), block.column("signature").to_pylist()
-    words = min(map(len, bodies)) // 8
-    bitmaps = np.stack([folded(b, words) for b in bodies])
+    """The pairs of one block: a chunk with itself, or two chunks with each other.
+
+    Sets that link differ in size by a third at most, so their bitmaps are equally wide or one is twice the other; trees
+    are grown per width, and the wider ones folded once more to meet the next narrower.
+    """
+    bodies = block.column("signature").to_pylist()
+    widths, sides = np.array([len(b) // 8 for b in bodies]), block.column("side").to_numpy()
     columns = [block.column(c).to_numpy() for c in ("set_id", "component", "n_shingles")]
-    trees = [SignatureTree(*(c[sides == side] for c in columns), bitmaps[sides == side]) for side in (0, 1) if (sides == side).any()]
-    left, right = block.column("left")[0].as_py(), block.column("right")[0].as_py()
-    if left == right:
-        a, b = trees[0].pairs(trees[0])
-    else:
-        a, b = trees[0].pairs(trees[1]) if len(trees) == 2 else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    alone = block.column("left")[0].as_py() == block.column("right")[0].as_py()
+
+    def tree(own: int, side: int, width: int) -> SignatureTree | None:
+        rows = np.flatnonzero((widths == own) & (sides == side))
+        return SignatureTree(*(c[rows] for c in columns), np.stack([folded(bodies[r], width) for r in rows])) if len(rows) else None
+
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for width in np.unique(widths).tolist():
+        same = {side: tree(width, side, width) for side in (0, 1)}
+        wide = {side: tree(2 * width, side, width) for side in (0, 1)}
+        meet = [(same[0], same[0]), (same[0], wide[0])] if alone else [(same[0], same[1]), (same[0], wide[1]), (wide[0], same[1])]
+        found += [one.pairs(two) for one, two in meet if one and two]
+    a, b = (np.concatenate(c) for c in zip(*found))
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
@@ -304,9 +318,9 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 met.add(id)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    chosen = (sets.where("set_id IS NOT NULL").select("set_id", "tokens", spot.alias("spot")).mapInArrow(choose, "set_id long, tokens binary")
-              .join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.first("tokens").alias("tokens")))
-    chosen = materialise(chosen)
+    # Copies of a set that lie in several tasks are reduced to one before they meet the pairs.
+    chosen = (sets.select("set_id", "tokens", spot.alias("spot")).mapInArrow(choose, "set_id long, tokens binary")
+              .groupBy("set_id").agg(F.first("tokens").alias("tokens")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -339,14 +353,15 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def star_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): each set with the smallest set that has the same smallest token under one of a few hashes."""
-    rounds = None
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """(a, b): sets that share a token with each other alone, and each set with the smallest one that has the same smallest token under one of a few hashes."""
+    rounds = shared.where("other IS NOT NULL").select(F.col("set_id").alias("a"), F.col("other").alias("b"))
+    groups = shared.where("other IS NULL")
     for r in range(ROUNDS):
-        keyed = shared.groupBy("set_id").agg(F.min(F.xxhash64("token", F.lit(r))).alias("key"))
+        keyed = groups.groupBy("set_id").agg(F.min(F.xxhash64("token", F.lit(r))).alias("key"))
         centres = keyed.groupBy("key").agg(F.min("set_id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
         pairs = keyed.join(centres, "key").where("set_id <> centre").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b"))
-        rounds = pairs if rounds is None else rounds.union(pairs)
+        rounds = rounds.union(pairs)
     return rounds.distinct()
 
 
@@ -355,7 +370,7 @@ def open_blocks(shared: DataFrame, labels: DataFrame, signatures: DataFrame) ->
 
     Tokens of one passage have the same sets, and one of them is enough.  A large block is cut into chunks that meet in pairs.
     """
-    placed = shared.join(labels, "set_id", "left").select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
+    placed = shared.where("other IS NULL").join(labels, "set_id", "left").select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
     blocks = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
                                          F.bit_xor(F.xxhash64("set_id")).alias("x"), F.sum(F.hash("set_id").cast("long")).alias("y"))
               .where("low <> high").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
@@ -371,8 +386,8 @@ def open_blocks(shared: DataFrame, labels: DataFrame, signatures: DataFrame) ->
 def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     """(links found, component labels) of all sets.
 
-    Prefix tokens shared by two sets name the blocks.  Star pairs first join the bulk of each group of copies; what stays in
-    different components meets in signature trees, block by block, and is compared exactly.
+    Prefix tokens name the blocks of sets that may link.  Blocks of two and star pairs, which join the bulk of each group of
+    copies, come first; what stays in different components meets in signature trees, block by block, and is compared exactly.
     """
     shared = materialise(shared_tokens(sets, token_classes(sets), parts))
 
@@ -382,9 +397,9 @@ def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
                                              names=["set_id", "n_shingles", "signature"])
 
     signed = sets.select("set_id", "tokens").mapInArrow(sign, "set_id long, n_shingles long, signature binary")
-    holders = shared.select("set_id").distinct()
+    holders = shared.select("set_id").union(shared.where("other IS NOT NULL").select("other")).distinct()
     signatures = materialise(signed.join(holders, "set_id", "left_semi").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    stars = materialise(verified(materialise(possible(star_pairs(shared), signatures)), sets))
+    stars = materialise(verified(materialise(possible(first_pairs(shared), signatures)), sets))
     labels = components(stars)
     candidates = materialise(block_pairs(open_blocks(shared, labels, signatures)).distinct())
     links = materialise(stars.union(verified(candidates, sets)).distinct())
