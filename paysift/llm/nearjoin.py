@@ -19,8 +19,10 @@ SHINGLE, SIMILARITY = 5, 75  # words; percent
 TOKEN_BITS, TOKEN_BYTES = 48, 6
 # Counters of how often tokens occur, in a table of a fixed size; a token above HOT times the mean load is frequent.
 COUNTERS, COUNTER_CHUNK, HOT = 1 << 20, 1 << 14, 4
-# Bits of a signature per token, sets below a node of a signature tree, sets of a block that meet in one task, rounds of star pairs.
-SIGNATURE_BITS, FANOUT, BLOCK, ROUNDS = 1, 16, 512, 2
+# Bits of the smallest signature, sets below a node of a signature tree, sets of a block that meet in one task, rounds of star pairs.
+LEAST_BITS, FANOUT, BLOCK, ROUNDS = 1024, 16, 512, 2
+# Joining turns go on while at least one in so many compared pairs links.
+SETTLED = 20
 # A table of a fixed size that tells which sets are wanted; false hits are dropped by the join that follows.
 WANTED_BITS = 1 << 23
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -151,8 +153,8 @@ def shared_tokens(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    """A bitmap with about SIGNATURE_BITS bits per token, its size a power of two."""
-    bits = max(64, 1 << int(SIGNATURE_BITS * len(tokens) - 1).bit_length())
+    """A bitmap with at least one bit per token, its size a power of two."""
+    bits = max(LEAST_BITS, 1 << (len(tokens) - 1).bit_length())
     marked = np.zeros(bits, np.uint8)
     marked[(tokens % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(marked, bitorder="little").tobytes()
@@ -365,12 +367,29 @@ def first_pairs(shared: DataFrame) -> DataFrame:
     return rounds.distinct()
 
 
-def open_blocks(shared: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
+def with_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """(token, set_id, component) of all tokens of three sets or more."""
+    placed = shared.where("other IS NULL").join(labels, "set_id", "left")
+    return placed.select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
+
+
+def joining_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """(a, b): each set with one set of the component that most sets of its token are in, for every token, if it is in another one.
+
+    The one is drawn by a hash of token, set and turn, so a set meets many members of a large group without meeting all.
+    """
+    draw = F.min(F.struct(F.xxhash64("set_id", "token", F.lit(turn)).alias("draw"), F.col("set_id").alias("member")))
+    counted = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), draw.alias("drawn"))
+    largest = counted.groupBy("token").agg(F.max(F.struct("n", "component", "drawn.member")).alias("top")).where("top.n > 1")
+    pairs = placed.join(largest, "token").where("component <> top.component")
+    return pairs.select(F.least("set_id", "top.member").alias("a"), F.greatest("set_id", "top.member").alias("b")).distinct()
+
+
+def open_blocks(placed: DataFrame, signatures: DataFrame) -> DataFrame:
     """Rows of `block_pairs`: the sets of every token that stands in several components, once per distinct block.
 
     Tokens of one passage have the same sets, and one of them is enough.  A large block is cut into chunks that meet in pairs.
     """
-    placed = shared.where("other IS NULL").join(labels, "set_id", "left").select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
     blocks = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
                                          F.bit_xor(F.xxhash64("set_id")).alias("x"), F.sum(F.hash("set_id").cast("long")).alias("y"))
               .where("low <> high").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
@@ -386,8 +405,9 @@ def open_blocks(shared: DataFrame, labels: DataFrame, signatures: DataFrame) ->
 def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     """(links found, component labels) of all sets.
 
-    Prefix tokens name the blocks of sets that may link.  Blocks of two and star pairs, which join the bulk of each group of
-    copies, come first; what stays in different components meets in signature trees, block by block, and is compared exactly.
+    Prefix tokens name the blocks of sets that may link.  Blocks of two and star pairs come first; then, while that finds links,
+    sets meet members of the largest component of their blocks, which joins large groups of copies without all their pairs.
+    What stays in different components meets in signature trees, block by block, and is compared exactly.
     """
     shared = materialise(shared_tokens(sets, token_classes(sets), parts))
 
@@ -399,10 +419,19 @@ def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     signed = sets.select("set_id", "tokens").mapInArrow(sign, "set_id long, n_shingles long, signature binary")
     holders = shared.select("set_id").union(shared.where("other IS NOT NULL").select("other")).distinct()
     signatures = materialise(signed.join(holders, "set_id", "left_semi").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    stars = materialise(verified(materialise(possible(first_pairs(shared), signatures)), sets))
-    labels = components(stars)
-    candidates = materialise(block_pairs(open_blocks(shared, labels, signatures)).distinct())
-    links = materialise(stars.union(verified(candidates, sets)).distinct())
+    links = materialise(verified(materialise(possible(first_pairs(shared), signatures)), sets))
+    labels, turn = components(links), 0
+    while True:
+        pairs = materialise(possible(joining_pairs(with_components(shared, labels), turn), signatures))
+        more = materialise(verified(pairs, sets))
+        met, found, turn = pairs.count(), more.count(), turn + 1
+        if found:
+            links = materialise(links.union(more).distinct())
+            labels = components(links)
+        if found * SETTLED < met or not found:
+            break
+    candidates = materialise(block_pairs(open_blocks(with_components(shared, labels), signatures)).distinct())
+    links = materialise(links.union(verified(candidates, sets)).distinct())
     return links, components(links)
 
 
