@@ -16,11 +16,8 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.values import lookup, share
 from ..scale import grouped_quantiles, materialise, null_safe, top_per_key, with_row
-from .contracts import seeded_sample
-from .neighbours import silhouette
 
 MAX_GRAM_ITEMS = 5_000
-SILHOUETTE_SAMPLE = 10_000
 
 
 def multi_hot(df: DataFrame, items: str, vocabulary: Sequence[str], output: str = "features") -> DataFrame:
@@ -41,12 +38,12 @@ def fit_kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_it
 
 
 def kmeans_sweep(df: DataFrame, id: str, ks: Sequence[int] = range(3, 11), restarts: int = 10, seed: int = 42,
-                 features: str = "features", sample: int = SILHOUETTE_SAMPLE) -> tuple[DataFrame, dict]:
-    """Inertia, silhouette (on one fixed sample of rows) and Davies-Bouldin for each k, and the models."""
+                 features: str = "features") -> tuple[DataFrame, dict]:
+    """Inertia, silhouette and Davies-Bouldin of all rows for each k, and the models."""
     rows, models = [], {}
     for k in ks:
         models[k] = fit_kmeans(df, k, restarts, seed, features=features)
-        scores = clustering_scores(models[k].transform(df), id, features, "cluster", sample, seed)
+        scores = clustering_scores(models[k].transform(df), id, features, "cluster")
         rows.append((k, float(models[k].summary.trainingCost), scores["silhouette"], scores["davies_bouldin"]))
     table = df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, davies_bouldin double")
     return table, models
@@ -57,16 +54,19 @@ def best_k(sweep: DataFrame) -> int:
     return sweep.orderBy(F.col("silhouette").desc_nulls_last(), "k").first()["k"]
 
 
-def clustering_scores(labelled: DataFrame, id: str, features: str, cluster: str, sample: int = SILHOUETTE_SAMPLE, seed: int = 42) -> dict:
-    """Silhouette on a seeded sample and Davies-Bouldin on all clustered rows."""
-    arrays = labelled.filter(F.col(cluster) >= 0).select(id, cluster, vector_to_array(F.col(features)).alias("__v"))
-    drawn = seeded_sample(arrays, id, sample, seed)
-    return {"silhouette": silhouette(drawn, id, "__v", cluster).first()[0],
+def clustering_scores(labelled: DataFrame, id: str, features: str, cluster: str) -> dict:
+    """Squared-Euclidean silhouette and Davies-Bouldin on all clustered rows."""
+    kept = labelled.filter(F.col(cluster) >= 0)
+    arrays = kept.select(id, cluster, vector_to_array(F.col(features)).alias("__v"))
+    return {"silhouette": fast_silhouette(kept, features, cluster),
             "davies_bouldin": davies_bouldin(arrays, "__v", cluster).first()[0]}
 
 
-def fast_silhouette(labelled: DataFrame, features: str = "features", cluster: str = "cluster", cosine: bool = False) -> float:
-    """Squared-Euclidean or cosine silhouette of all rows in linear time."""
+def fast_silhouette(labelled: DataFrame, features: str = "features", cluster: str = "cluster", cosine: bool = False) -> float | None:
+    """Squared-Euclidean or cosine silhouette of all rows in linear time; None with fewer than two clusters."""
+    if labelled.select(cluster).distinct().limit(2).count() < 2:
+        return None
+    labelled = labelled.select(features, F.col(cluster).cast("int").alias(cluster))
     return ClusteringEvaluator(featuresCol=features, predictionCol=cluster, distanceMeasure="cosine" if cosine else "squaredEuclidean"
                                ).evaluate(labelled)
 
@@ -240,7 +240,7 @@ def compare_representations(df: DataFrame, id: str, items: str, vocabulary: Sequ
     hot = materialise(multi_hot(df, items, vocabulary))
     dense = materialise(vector_column(svd_rows(df, id, items), "coordinates"))
     for name, frame in (("multi-hot", hot), ("tf-idf, svd, unit length", dense)):
-        scores = clustering_scores(fit_kmeans(frame, k, restarts, seed).transform(frame), id, "features", "cluster", seed=seed)
+        scores = clustering_scores(fit_kmeans(frame, k, restarts, seed).transform(frame), id, "features", "cluster")
         rows.append((name, k, scores["silhouette"], scores["davies_bouldin"]))
     return df.sparkSession.createDataFrame(rows, "representation string, k int, silhouette double, davies_bouldin double")
 
@@ -269,25 +269,24 @@ def adjusted_rand_index(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def robustness_grid(df: DataFrame, id: str, items: str, vocabulary: Sequence[str], ks: Sequence[int] = (3, 5, 7), seeds: Sequence[int] = (42, 43, 44),
-                    components: int = 32, sample_rows: int = 6_000, score_rows: int = 1_000, max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(runs, summary): both representations, each k and seed, on one seeded sample of non-empty rows."""
+                    components: int = 32, max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
+    """(runs, summary): both representations, each k and seed, on all non-empty rows."""
     spark = df.sparkSession
-    drawn = materialise(seeded_sample(df.filter(F.size(items) > 0), id, sample_rows, 42).select(id, items))
+    drawn = materialise(df.filter(F.size(items) > 0).select(id, items))
     binary = materialise(multi_hot(drawn, items, vocabulary))
-    original = binary.select(id, vector_to_array("features").alias("original"))
+    original = binary.select(id, F.col("features").alias("original"))
     width = max(1, min(components, len(vocabulary) - 1))
     dense = materialise(vector_column(svd_rows(drawn, id, items, width, tfidf=False), "coordinates"))
-    scored = materialise(seeded_sample(drawn.select(id), id, score_rows, 43))
     runs, agreement = [], []
     for name, frame in (("binary", binary), ("svd_l2", dense)):
         for k in ks:
             labels = {}
             for seed in seeds:
                 model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="cluster").fit(frame)
-                labels[seed] = materialise(model.transform(frame).select(id, "cluster", vector_to_array("features").alias("v")))
+                labels[seed] = materialise(model.transform(frame).select(id, "cluster", F.col("features").alias("v")))
                 sizes = [r["n"] for r in labels[seed].groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()]
-                part = materialise(labels[seed].join(scored, id).join(original, id))
-                scores = [silhouette(part, id, v, "cluster", m).first()[0] for v, m in (("original", "cosine"), ("v", "cosine"), ("v", "euclidean"))]
+                part = materialise(labels[seed].join(original, id))
+                scores = [fast_silhouette(part, v, "cluster", cosine) for v, cosine in (("original", True), ("v", True), ("v", False))]
                 runs.append((name, k, seed, *scores, min(sizes) / sum(sizes), max(sizes) / sum(sizes), model.summary.numIter))
             for s, t in combinations(seeds, 2):
                 joined = labels[s].select(id, F.col("cluster").alias("x")).join(labels[t].select(id, F.col("cluster").alias("y")), id)

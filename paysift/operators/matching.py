@@ -24,7 +24,7 @@ class PhraseMatcher:
     def __init__(self, entries: Sequence[tuple[str, str, Sequence[str]]], exclusions: Mapping[str, str]):
         self.entries = [(skill, pattern, tuple(forms or ())) for skill, pattern, forms in entries]
         self.exclusions = dict(exclusions)
-        special = {*K.SENSE_PHRASES, "organization"}
+        special = set(K.SENSE_PATTERNS)
         self.plain = {skill for skill, pattern, _ in self.entries if skill not in special and pattern.startswith("(?<![a-z0-9])(?:")}
         self._ready = None
 
@@ -100,11 +100,13 @@ TOKEN = r"[\p{L}\p{N}+#]+"
 
 
 def match_terms(df: DataFrame, id: str, text: Column | str, terms: DataFrame, form: str = "form", term: str = "term",
-                max_words: int = 4) -> DataFrame:
+                max_words: int | None = None) -> DataFrame:
     """Distinct (id, term) found by joining word n-grams to spellings; for plain vocabularies of any size.
 
-    A match inside a longer match does not count.  Spellings are words joined by one blank.
+    A match inside a longer match does not count.  Spellings are words joined by one blank; n-grams are as long as the
+    longest of them, unless `max_words` says otherwise.
     """
+    max_words = max_words or terms.agg(F.max(F.size(F.split(form, " ")))).first()[0] or 1
     words = F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0))
     tokens = df.select(id, words.alias("__w"))
     lengths = lambda i: F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("__w") - i))

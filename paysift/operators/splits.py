@@ -137,7 +137,7 @@ def leakage_report(df: DataFrame, text: str, company: str, title: str, is_train:
     return reduce(DataFrame.unionByName, parts)
 
 
-def connected_groups(df: DataFrame, id: str, keys: Sequence[str], component: str = "component", max_rounds: int = 60) -> DataFrame:
+def connected_groups(df: DataFrame, id: str, keys: Sequence[str], component: str = "component") -> DataFrame:
     """Rows that share any (non-NULL) key value, directly or through others, get the smallest id as component.
 
     Rows with the same key are linked to that key's smallest id (a star, never all pairs).
@@ -149,17 +149,17 @@ def connected_groups(df: DataFrame, id: str, keys: Sequence[str], component: str
         firsts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(id).alias("v"))
         parts.append(df.select(F.col(id).alias("u"), key).join(firsts, key).select("u", "v"))
     edges = reduce(DataFrame.unionByName, parts)
-    labels = star_components(edges, max_rounds)
+    labels = star_components(edges)
     return (df.join(labels.select(F.col("u").alias(id), F.col("root").alias(component)), id, "left")
             .withColumn(component, F.coalesce(F.col(component), F.col(id))))
 
 
-def star_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def star_components(edges: DataFrame) -> DataFrame:
     """Component root (smallest node) of every node of an undirected edge list (`u`, `v`)."""
     links = materialise(edges.filter(F.col("u") != F.col("v"))
                         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = None
-    for _ in range(max_rounds):
+    while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: every larger neighbour is linked to the smallest node around.
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
@@ -176,8 +176,6 @@ def star_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = links.select("u", F.col("v").alias("root"))
     tops = edges.select(F.explode(F.array("u", "v")).alias("u")).distinct().join(links.select("u"), "u", "left_anti")
     return roots.unionByName(tops.select("u", F.col("u").alias("root")))

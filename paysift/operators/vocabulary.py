@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.senses import sense_patterns
 from ..functions.text import clean_form, form_pattern, is_ascii, item_key, split_clean
 from ..functions.values import lookup
 from ..scale import first_per_key, materialise, with_group_stats
@@ -89,7 +88,7 @@ def add_forced(vocabulary: DataFrame, top_n: int, forced: Sequence[str] = tuple(
 
 def with_patterns(vocabulary: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
     """Add the regex of each skill: the override, else one built from its spellings."""
-    overrides = sense_patterns() if overrides is None else overrides
+    overrides = K.SENSE_PATTERNS if overrides is None else overrides
     built = form_pattern("forms")
     return vocabulary.withColumn("pattern", F.coalesce(lookup("skill", overrides), built) if overrides else built)
 

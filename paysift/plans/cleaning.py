@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, places, senses, text, values
+from ..functions import dates, places, text, values
 from ..operators.aggregates import cohort
 from ..operators.vocabulary import load_item_lists
 from ..sources.readers import parse_list_column
@@ -59,7 +59,9 @@ def phrase_patterns(t: Tables):
     FROM documents GROUP BY lang""")
 def context_patterns(t: Tables):
     lower = F.lower("text")
-    listed, near = senses.next_to("of", "(?:the|la|die)"), senses.near("with", "(?:was|que)", 40)
+    # `of` in a list next to an article; `with` at most 40 characters from `was` or `que` in one sentence.
+    listed = r"(?<![a-z0-9])(?:the|la|die)\s*(?:,|/|;|\bor\b|\band\b)\s*of(?![a-z0-9&+#\-])|(?<![a-z0-9&])of\s*(?:,|/|;|\bor\b|\band\b)\s*(?:the|la|die)"
+    near = r"\b(?:was|que)\b[^.]{0,40}?\bwith\b|\bwith\b[^.]{0,40}?\b(?:was|que)\b".replace(r"\b", "(?:(?<![a-z0-9])(?=[a-z0-9])|(?<=[a-z0-9])(?![a-z0-9]))")
     return t.documents.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(lower.rlike(listed)).alias("listed"),
                                            F.count_if(lower.rlike(near)).alias("near"))
 

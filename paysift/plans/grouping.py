@@ -12,7 +12,6 @@ from ..operators import hotspots as h
 from ..operators import neighbours as n
 from ..operators import outliers as o
 from ..operators.aggregates import item_shares
-from ..operators.contracts import seeded_sample
 from ..scale import materialise
 from .base import BASKET, EXPERIENCE, JOBS, POSTINGS, baskets, jobs, mining_jobs, postings, r6, with_tier
 from .registry import Tables, query
@@ -116,8 +115,8 @@ def point_clusters(t: Tables):
 @query("M7")
 def tuned_density(t: Tables):
     lists = materialise(baskets(t).filter(F.size("items") > 0))
-    vectors = seeded_sample(lists, "job_id", 2000, 42).select("job_id", F.transform(F.array(*[F.lit(b) for b in BRANDS]), lambda b: F.array_contains("items", b).cast("double")).alias("v"))
-    score = lambda labels: n.silhouette(vectors.join(labels, "job_id"), "job_id", "v", "cluster")
+    vectors = c.multi_hot(lists, "items", BRANDS, "v").select("job_id", "v")
+    score = lambda labels: t.spark.createDataFrame([(c.fast_silhouette(vectors.join(labels, "job_id").filter("cluster >= 0"), "v"),)], "silhouette double")
     table = d.tune_dbscan(lists, "job_id", "items", [1.0, 1.42], 60, score)
     return table.join(d.pick_density_run(table).select("eps", F.lit(True).alias("chosen")), "eps", "left").fillna(False, ["chosen"])
 
@@ -131,7 +130,7 @@ def kmeans_sweep(t: Tables):
 @query("M11")
 def compared_representations(t: Tables):
     lists = materialise(baskets(t, "p_type").filter(F.size("items") > 0))
-    return c.compare_representations(seeded_sample(lists, "job_id", 4000, 42), "job_id", "items", ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"], 3, restarts=1)
+    return c.compare_representations(lists, "job_id", "items", ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"], 3, restarts=1)
 
 
 def clustered(t: Tables):
@@ -207,7 +206,7 @@ def adjusted_rand_index(t: Tables):
 @query("M20 M21")
 def robustness_summary(t: Tables):
     lists = baskets(t, "p_type")
-    return c.robustness_grid(lists, "job_id", "items", ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"], ks=(3,), seeds=(42, 43), components=3, sample_rows=2000, score_rows=500, max_iter=20)[1]
+    return c.robustness_grid(lists, "job_id", "items", ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"], ks=(3,), seeds=(42, 43), components=3, max_iter=20)[1]
 
 
 @query("M11 M17")

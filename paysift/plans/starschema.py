@@ -103,7 +103,8 @@ def fact_table(t: Tables):
 
 @query("F7 S-12", f"WITH {STAR} SELECT salary_tier, count(*) AS jobs, round(avg(normalized_salary), 4) AS avg_salary FROM v_jobs GROUP BY 1")
 def job_view(t: Tables):
-    return w.job_view(star(t)[3]).groupBy("salary_tier").agg(F.count(F.lit(1)).alias("jobs"), F.round(F.avg("normalized_salary"), 4).alias("avg_salary"))
+    jobs = star_jobs(t)
+    return w.job_rows(jobs, w.build_dim_location(jobs)).groupBy("salary_tier").agg(F.count(F.lit(1)).alias("jobs"), F.round(F.avg("normalized_salary"), 4).alias("avg_salary"))
 
 
 @query("F8 S-14 S-15", f"""
@@ -111,8 +112,8 @@ def job_view(t: Tables):
            round(100.0 * avg(CAST(f.salary_tier = 'High' AS INTEGER)), 6) AS pct_high_tier
     FROM fact f JOIN dim_items s USING (skill_id) WHERE s.skill_type = 'extracted' GROUP BY 1 ORDER BY jobs DESC, s.skill_name LIMIT 10""")
 def olap_top_items(t: Tables):
-    _, items, _, fact = star(t)
-    top = w.run_olap(t.spark, w.OLAP_TOP_ITEMS, fact=fact, dim_skills=items, jobs=w.job_view(fact))
+    jobs, items, _, fact = star(t)
+    top = w.top_items(fact, items, jobs)
     return top.select("skill_name", "jobs", r6("pct_of_jobs").alias("pct_of_jobs"), F.round("avg_salary", 4).alias("avg_salary"), r6("pct_high_tier").alias("pct_high_tier"))
 
 
@@ -121,7 +122,7 @@ def olap_top_items(t: Tables):
            round(100.0 * avg(CAST(salary_tier = 'Low' AS INTEGER)), 6) AS pct_low, round(100.0 * avg(CAST(salary_tier = 'Mid' AS INTEGER)), 6) AS pct_mid,
            round(100.0 * avg(CAST(salary_tier = 'High' AS INTEGER)), 6) AS pct_high FROM v_jobs GROUP BY 1""")
 def olap_by_experience(t: Tables):
-    out = w.run_olap(t.spark, w.OLAP_BY_EXPERIENCE, jobs=w.job_view(star(t)[3]))
+    out = w.pay_by_experience(star_jobs(t))
     return out.withColumns({"avg_salary": F.round("avg_salary", 4), **{f"pct_{x}": r6(f"pct_{x}") for x in ("low", "mid", "high")}})
 
 
@@ -131,9 +132,10 @@ def olap_by_experience(t: Tables):
     SELECT n_name AS industry_name, state, count(*) AS jobs, round(avg(normalized_salary), 4) AS avg_salary
     FROM v_jobs JOIN bridge USING (job_id) JOIN dim_location USING (location_id) WHERE state IS NOT NULL GROUP BY ALL ORDER BY jobs DESC, industry_name, state LIMIT 15""")
 def olap_industry_state(t: Tables):
-    _, _, places, fact = star(t)
+    jobs = star_jobs(t)
+    places = w.build_dim_location(jobs)
     dim, bridge = industry_tables(t, None)
-    out = w.run_olap(t.spark, w.OLAP_INDUSTRY_STATE, jobs=w.job_view(fact), bridge=bridge, dim_industry=dim, dim_location=places)
+    out = w.pay_by_industry_and_state(w.job_rows(jobs, places), bridge, dim, places)
     return out.withColumn("avg_salary", F.round("avg_salary", 4))
 
 

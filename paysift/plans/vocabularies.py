@@ -97,7 +97,7 @@ def matched_terms(t: Tables):
     words = F.regexp_extract_all(F.lower("text"), F.lit(m.TOKEN), F.lit(0))
     pairs = F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat_ws(" ", x, F.get("w", i + 1)))
     terms = t.benchmark.select(words.alias("w")).select(F.explode(F.concat("w", pairs)).alias("form")).distinct().withColumn("term", F.col("form"))
-    return m.match_terms(t.documents, "doc_id", "text", terms, max_words=2).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    return m.match_terms(t.documents, "doc_id", "text", terms).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
 
 
 @query("I8 I9", f"""
