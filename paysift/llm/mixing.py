@@ -69,15 +69,15 @@ def cuts(rows: DataFrame, targets: DataFrame) -> DataFrame:
         bits -= DIGIT_BITS
         open_rows = rows.join(found.select("s_key", "prefix"), "s_key").where(F.shiftright("key", bits + DIGIT_BITS) == F.col("prefix"))
         digits = (open_rows.groupBy("s_key", F.shiftright("key", bits).bitwiseAND(F.lit(DIGITS - 1)).alias("digit"))
-                  .agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("n")))
+                  .agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("rows")))
         running = F.sum("w").over(Window.partitionBy("s_key").orderBy("digit"))  # at most 256 rows a source
         placed = digits.withColumn("upto", running).join(found, "s_key").where(F.col("under") + F.col("upto") >= F.col("rest"))
-        first = placed.groupBy("s_key").agg(F.min_by(F.struct("digit", "upto", "w", "n"), "digit").alias("hit"))
+        first = placed.groupBy("s_key").agg(F.min_by(F.struct("digit", "upto", "w", "rows"), "digit").alias("hit"))
         found = materialise(found.join(first, "s_key", "left").select(
             "s_key", "source_size", "target", "epochs", "rest",
             (F.col("prefix") * DIGITS + F.coalesce("hit.digit", F.lit(DIGITS - 1))).alias("prefix"),
-            (F.col("under") + F.coalesce(F.col("hit.upto") - F.col("hit.w"), F.lit(0))).alias("under"), F.coalesce("hit.n", F.lit(0)).alias("n")))
-        if (found.agg(F.max("n")).first()[0] or 0) <= FEW:
+            (F.col("under") + F.coalesce(F.col("hit.upto") - F.col("hit.w"), F.lit(0))).alias("under"), F.coalesce("hit.rows", F.lit(0)).alias("open")))
+        if (found.agg(F.max("open")).first()[0] or 0) <= FEW:
             break
     # What is left has few rows a source, or one key: rows of one key are taken or left together.
     tail = (rows.join(found.select("s_key", "prefix"), "s_key").where(F.shiftright("key", bits) == F.col("prefix"))

@@ -52,8 +52,10 @@ def test_mix_meets_targets(spark):
     assert [r["taken"] for r in mixing.mix_sources(documents(spark, [(1, None, "a"), (2, "", None)])).collect()] == [0, 0]
 
 
-def test_sample_equals_sorting_by_key(spark):
-    """The digit search takes the same documents as sorting each source by its keys."""
+@pytest.mark.parametrize("few", [64, 2, 0])
+def test_sample_equals_sorting_by_key(spark, monkeypatch, few):
+    """The digit search takes the same documents as sorting each source by its keys, however deep it goes."""
+    monkeypatch.setattr(mixing, "FEW", few)
     df = documents(spark, [(i, prose(i, 30 + i % 20), "ab"[i % 2]) for i in range(400)])
     key = mixing.sampling_key(mixing.letter_share(F.col("text")), F.col("doc_id"), F.col("text"), F.lit(0))
     keyed = {r["doc_id"]: r["key"] for r in df.select("doc_id", key.alias("key")).collect()}
