@@ -18,6 +18,8 @@ from .common import Words, begin, chunk_row, over_texts, sum_chunks, widened
 # Words and shapes fall into BUCKETS rows of DIM numbers; an index vector has NONZERO entries of 1 or -1.
 BUCKETS, DIM, NONZERO, WINDOW = 1 << 14, 32, 4, 2
 CHUNK = 256
+# Texts a task turns into vectors at once; each of their words takes some hundred bytes.
+SLICE = 400
 # At most so many labelled rows fit the network; more do not change it much, and they are held by the driver.
 MAX_ROWS = 20_000
 FEATURES = 2 * DIM + 3
@@ -27,7 +29,7 @@ SHAPE = [(re.compile(r"[^\W\d_]+"), lambda m: "A" if len(m[0]) > 1 and m[0].isup
 
 def index_vectors() -> np.ndarray:
     """The index vectors of all buckets, the same on any machine."""
-    made = np.zeros((BUCKETS, DIM), np.int64)
+    made = np.zeros((BUCKETS, DIM), np.int8)
     draws = np.random.RandomState(7)
     for row in made:
         row[draws.choice(DIM, NONZERO, replace=False)] = draws.choice((-1, 1), NONZERO)
@@ -45,6 +47,14 @@ def shape(word: str) -> str:
     return word[:12]
 
 
+def core_and_shape(word: str) -> tuple[str, str]:
+    """The letters of a word in lower case, and its shape; plain words with at most one mark behind need no patterns."""
+    bare, mark = (word, "") if word.isalpha() else (word[:-1], word[-1:])
+    if bare.isalpha() and mark in ("", ".", ",", ";", ":", "!", "?", "|"):
+        return bare.lower(), SHAPE[0][1]([bare]) + mark
+    return "".join(CORE.findall(word)).lower(), shape(word)
+
+
 class Occurrences:
     """For every word of a batch the buckets of its letters in lower case and of its shape.
 
@@ -53,12 +63,11 @@ class Occurrences:
 
     def __init__(self, texts: pa.Array):
         words = Words(texts)
-        names = words.names.to_pylist()
-        cores = np.array([bucket("w", "".join(CORE.findall(w)).lower()) for w in names], np.int64)
-        shapes = [shape(w) for w in names]
-        known = {s: (bucket("s", s), bucket("r", s)) for s in set(shapes)}
-        fresh = np.array([known[s][0] for s in shapes], np.int64)
-        again = np.array([known[s][1] for s in shapes], np.int64)
+        names = [core_and_shape(w) for w in words.names.to_pylist()]
+        cores = np.array([zlib.crc32(b"w" + core.encode("utf-8", "replace")) for core, _ in names], np.int64) % BUCKETS
+        known = {s: (bucket("s", s), bucket("r", s)) for s in {s for _, s in names}}
+        fresh = np.array([known[s][0] for _, s in names], np.int64)
+        again = np.array([known[s][1] for _, s in names], np.int64)
         starts, equal = words.windows(4)
         seen = np.zeros(len(words.ids) + 1, np.int64)
         if len(starts):
@@ -84,8 +93,10 @@ class Occurrences:
 
 def accumulate(texts: pa.Array, index: np.ndarray, sums: np.ndarray) -> None:
     """Add a batch's contexts to the vectors of its buckets; the last column counts occurrences."""
-    seen = Occurrences(texts)
-    if len(seen.core):
+    for at in range(0, len(texts), SLICE):
+        seen = Occurrences(texts.slice(at, SLICE))
+        if not len(seen.core):
+            continue
         total = seen.contexts(index)
         for column in range(DIM):
             both = np.bincount(seen.core, weights=total[:, column], minlength=BUCKETS) + np.bincount(seen.shape, weights=total[:, column], minlength=BUCKETS)
@@ -127,18 +138,18 @@ def weighted(sums: np.ndarray) -> np.ndarray:
 
 def pooled(texts: pa.Array, vectors: np.ndarray, units: np.ndarray) -> np.ndarray:
     """Means of the word vectors of letters and of shapes, the share of repeated words, and the length."""
-    seen, n = Occurrences(texts), len(texts)
-    counts = np.maximum(seen.counts, 1)[:, None]
-    out = np.zeros((n, FEATURES), np.float32)
-    if len(seen.core):
-        some = np.flatnonzero(seen.counts)
-        at = np.concatenate([[0], np.cumsum(seen.counts)[:-1]])[some]
-        out[some, :DIM] = np.add.reduceat(vectors[seen.core], at, axis=0)
-        out[some, DIM:2 * DIM] = np.add.reduceat(units[seen.shape], at, axis=0)
-        out[some, 2 * DIM] = np.add.reduceat(seen.again.astype(np.float32), at)
-        out /= counts
-    out[:, 2 * DIM + 1] = np.log1p(seen.counts) / 10
-    out[:, 2 * DIM + 2] = seen.counts == 0
+    out = np.zeros((len(texts), FEATURES), np.float32)
+    for at in range(0, len(texts), SLICE):
+        seen, rows = Occurrences(texts.slice(at, SLICE)), out[at:at + SLICE]
+        if len(seen.core):
+            some = np.flatnonzero(seen.counts)
+            first = np.concatenate([[0], np.cumsum(seen.counts)[:-1]])[some]
+            rows[some, :DIM] = np.add.reduceat(vectors[seen.core], first, axis=0)
+            rows[some, DIM:2 * DIM] = np.add.reduceat(units[seen.shape], first, axis=0)
+            rows[some, 2 * DIM] = np.add.reduceat(seen.again.astype(np.float32), first)
+            rows /= np.maximum(seen.counts, 1)[:, None]
+        rows[:, 2 * DIM + 1] = np.log1p(seen.counts) / 10
+        rows[:, 2 * DIM + 2] = seen.counts == 0
     return out
 
 
