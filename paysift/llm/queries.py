@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, licenses, mixing, nearjoin, packing, pages, personal, rules, topk
+from . import classifier, licenses, lmscore, mixing, nearjoin, packing, pages, personal, rules, topk
 from .common import begin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
 
+@query()
+def op3_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return lmscore.score_texts(table(spark, folder, "documents"), good)
+
+
 @query()
 def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return nearjoin.near_duplicates(table(spark, folder, "documents"))
