@@ -112,7 +112,7 @@ def narrow(values: np.ndarray) -> bytes:
 
 
 def widened(body: bytes, cells: int) -> np.ndarray:
-    return np.frombuffer(body, f"<i{len(body) // cells}").astype(np.int64)
+    return np.frombuffer(body, f"<i{len(body) // cells}").astype(np.int64) if cells else np.zeros(0, np.int64)
 
 
 def sum_chunks(df: DataFrame, cells: int) -> DataFrame:
