@@ -24,9 +24,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-# A term stands at most NEAR words from an entity; it is sanitised when it holds at least SHARE of the entity's information
-# and does so in at least SUPPORT different texts.
-NEAR, SHARE, SUPPORT = 3, 0.8, 3
+# A term stands at most NEAR words from an entity; it is sanitised when it holds at least SHARE of the entity's information,
+# after SHRINK texts in which the entity is as frequent as everywhere were added to those of the term.
+NEAR, SHARE, SHRINK = 3, 0.8, 2.0
 # Terms whose documents are counted are known by bits of a table of a fixed size; false ones are dropped by a join.
 BITS = 1 << 20
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, text_key string, hits array<struct<entity:string,term:string,start:int,end:int>>"
@@ -165,25 +165,31 @@ def term_documents(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term")).join(terms, "term", "left_semi")
 
 
-def disclosing(found: DataFrame, df: DataFrame, text: str, near_share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def disclosing(found: DataFrame, df: DataFrame, text: str, near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
     """(entity, term) pairs in which the term reveals the entity.
 
-    The information of an entity is IC = -log2 p(entity); what a term tells of it is PMI = log2 p(entity, term) / (p(entity)
-    p(term)), over all documents, terms counted beside the entity.  A pair discloses when PMI >= near_share * IC and the two
-    stand together in at least `support` different texts, so copies of one text prove nothing.
+    The information of an entity is IC = -log2 p(entity); what a term tells of it is PMI = log2 p(entity | term) / p(entity), with
+    p(entity | term) drawn towards p(entity) as if `shrink` more texts of the term were like the whole corpus.  A pair
+    discloses when PMI >= near_share * IC.  So a term of few texts can reveal an entity of one text, if the corpus is large
+    enough for it to be rare (N texts: a term of at most N ** (1 - near_share) - shrink others), and a frequent one cannot.
+    Frequencies are of documents; copies of a text that holds an entity count once, so they prove nothing.
     """
-    hits = found.where(F.size("hits") > 0).select("text_key", F.explode("hits").alias("h")).select("text_key", "h.entity", "h.term")
-    per_text = hits.distinct().join(found.where(F.col("text_key").isNotNull()).groupBy("text_key").agg(F.count(F.lit(1)).alias("copies")), "text_key")
-    pairs = per_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_pair"))
-    pairs = materialise(pairs.where(F.col("texts") >= support))
-    entities = (per_text.select("text_key", "entity", "copies").distinct().groupBy("entity").agg(F.sum("copies").alias("n_entity")))
-    counted = pairs.join(entities, "entity").join(term_documents(df, text, pairs.select("term").distinct()), "term")
-    total = F.lit(float(max(1, found.count())))
-    pmi = F.log2(F.col("n_pair") * total / (F.col("n_entity") * F.col("n_term")))
+    hits = found.where(F.size("hits") > 0).select("text_key", F.explode("hits").alias("h")).select("text_key", "h.entity", "h.term").distinct()
+    copies = found.where(F.col("text_key").isNotNull()).groupBy("text_key").agg((F.count(F.lit(1)) - 1).alias("more"))
+    per_text = materialise(hits.join(copies, "text_key"))
+    pairs = per_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
+    entities = per_text.select("text_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    twice = per_text.where("more > 0").select("text_key", "term", "more").distinct().groupBy("term").agg(F.sum("more").alias("n_more"))
+    terms = term_documents(df, text, per_text.select("term").distinct()).join(twice, "term", "left")
+    terms = terms.select("term", (F.col("n_term") - F.coalesce("n_more", F.lit(0))).alias("n_term"))
+    total = F.lit(float(max(1, found.count() - (copies.agg(F.sum("more")).first()[0] or 0))))
+    given = (F.col("n_pair") + shrink * F.col("n_entity") / total) / (F.col("n_term") + shrink)
+    pmi = F.log2(given * total / F.col("n_entity"))
+    counted = pairs.join(entities, "entity").join(terms, "term")
     return counted.where((pmi > 0) & (pmi >= near_share * F.log2(total / F.col("n_entity")))).select("entity", "term")
 
 
-def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", near_share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
     """Spans of personal data in every whole text.
 
     E-mail addresses, IPv4 addresses, payment cards (Luhn) and international phone numbers are found exactly; then terms
@@ -201,7 +207,7 @@ def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
     slots = [f"c{i}" for i in range(len(keep))]
     source = df.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(keep, slots)], F.col(f"`{text}`").alias("whole"))
     found = materialise(over_texts(source, slots, "whole", FOUND, look))
-    pairs = materialise(disclosing(found, source, "whole", near_share, support))
+    pairs = materialise(disclosing(found, source, "whole", near_share, shrink))
     holding = found.where(F.size("hits") > 0)
     hits = holding.select("text_key", F.explode("hits").alias("h")).select("text_key", "h.*").distinct()
     flagged = (hits.join(pairs, ["entity", "term"], "left_semi").select("text_key", "start", "end").distinct()
@@ -223,7 +229,7 @@ def replaced(text: str, spans: str) -> str:
     return "".join([*parts, text[at:]])
 
 
-def sanitise(df: DataFrame, text: str = "text", near_share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def sanitise(df: DataFrame, text: str = "text", near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
     """All rows and columns of `df`, personal data in `text` generalised to [EMAIL], [IP], [CARD], [PHONE] and [TERM].
 
     NULL stays NULL, texts without findings stay as they are; see `find_personal`.
@@ -231,7 +237,7 @@ def sanitise(df: DataFrame, text: str = "text", near_share: float = SHARE, suppo
     slots = {c: f"x{i}" for i, c in enumerate(df.columns)}
     rows = df.toDF(*slots.values())
     whole = slots[text]
-    found = find_personal(rows, list(slots.values()), whole, near_share, support)
+    found = find_personal(rows, list(slots.values()), whole, near_share, shrink)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     names = rows.columns
     at = names.index(whole)

@@ -144,6 +144,15 @@ def test_terms_that_reveal_are_generalised_and_clean_texts_stay(spark):
     assert all("term:" not in r["spans"] for r in personal.find_personal(copies).collect())
 
 
+def test_rare_term_reveals_an_entity_of_one_text(spark):
+    secret = [(1, "harbour weather zanzibar john@corp.example.com harbour weather", "s")]
+    clean = [(100 + i, f"plain harbour and weather {i}", "s") for i in range(400)]
+    df = documents(spark, secret + clean)
+    spans = {r["doc_id"]: r["spans"] for r in personal.find_personal(df).collect()}
+    assert spans[1] == "email:25:46,term:16:24" and all(spans[100 + i] == "" for i in range(400))
+    assert {r["doc_id"]: r["text"] for r in personal.sanitise(df).collect()}[1] == "harbour weather [TERM] [EMAIL] harbour weather"
+
+
 # Packing
 
 @pytest.fixture(scope="module")
