@@ -220,12 +220,20 @@ def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
 
 
 def replaced(text: str, spans: str) -> str:
-    """The text with each span generalised to its kind; of overlapping spans the first one stays."""
-    parts, at = [], 0
+    """The text with each span generalised to its kind; overlapping spans go as one, under the kind of the longest of them."""
+    unions: list[list] = []  # start, end, length and kind of the longest span
     for start, end, kind in sorted((int(a), int(b), k) for k, a, b in (s.split(":") for s in spans.split(",") if s)):
-        if start >= at:
-            parts += [text[at:start], f"[{kind.upper()}]"]
-            at = end
+        if not unions or start >= unions[-1][1]:
+            unions.append([start, end, end - start, kind])
+            continue
+        last = unions[-1]
+        last[1] = max(last[1], end)
+        if end - start > last[2]:
+            last[2:] = end - start, kind
+    parts, at = [], 0
+    for start, end, _, kind in unions:
+        parts += [text[at:start], f"[{kind.upper()}]"]
+        at = end
     return "".join([*parts, text[at:]])
 
 

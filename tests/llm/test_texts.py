@@ -153,6 +153,26 @@ def test_rare_term_reveals_an_entity_of_one_text(spark):
     assert {r["doc_id"]: r["text"] for r in personal.sanitise(df).collect()}[1] == "harbour weather [TERM] [EMAIL] harbour weather"
 
 
+@pytest.mark.parametrize("text, cleaned", [
+    ("host 10.0.0.0 4111 1111 1111 1111", "host [CARD]"),
+    ("to 4111111111111111@bank.com now", "to [EMAIL] now"),
+    ("10.0.0.1@host.example.org", "[EMAIL]"),
+    ("+15551234567@sms.example.org or 10.0.0.1", "[EMAIL] or [IP]"),
+    ("a@b.cc,10.0.0.1", "[EMAIL],[IP]"),
+])
+def test_overlapping_spans_go_whole(text, cleaned):
+    assert personal.replaced(text, personal.joined(personal.base_spans(text))) == cleaned
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a@b.%+-0123 (9)45", max_size=60))
+def test_no_character_of_a_span_stays(text):
+    spans = personal.base_spans(text)
+    covered = {i for _, start, end in spans for i in range(start, end)}
+    left = re.sub(r"\[(?:EMAIL|IP|CARD|PHONE)\]", "", personal.replaced(text, personal.joined(spans)))
+    assert left == "".join(c for i, c in enumerate(text) if i not in covered)
+
+
 # Packing
 
 @pytest.fixture(scope="module")
