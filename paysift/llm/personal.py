@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import bisect
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -23,13 +23,12 @@ CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-# A term stands at most NEAR words from an entity; it is sanitised when it holds at least SHARE of the entity's information,
-# after SHRINK texts in which the entity is as frequent as everywhere were added to those of the term.
-NEAR, SHARE, SHRINK = 3, 0.8, 2.0
+# A term is sanitised when it holds at least SHARE of the information of an entity in its text, after SHRINK texts in which
+# the entity is as frequent as everywhere were added to those of the term.
+SHARE, SHRINK = 0.8, 2.0
 # Terms whose documents are counted are known by bits of a table of a fixed size; false ones are dropped by a join.
 BITS = 1 << 20
-FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, text_key string, hits array<struct<entity:string,term:string,start:int,end:int>>"
+FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, text_key string, entities array<string>, hits array<struct<term:string,start:int,end:int>>"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -94,39 +93,54 @@ def joined(spans: Sequence[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
-def term_of(word: str) -> str | None:
-    """The word in lower case without marks around it, if four letters or more are left and nothing else."""
-    bare = word.strip(MARKS).lower()
-    return bare if len(bare) >= 4 and bare.isalpha() else None
+def marks() -> str:
+    r"""Combining marks as ranges of a character class; Python's \w leaves them out, but they stand inside words."""
+    codes = [c for c in range(0x300, 0x20000) if unicodedata.category(chr(c)) in ("Mn", "Mc")]
+    ranges: list[list[int]] = []
+    for c in codes:
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "".join(f"{chr(x)}-{chr(y)}" for x, y in ranges)
 
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LETTERS = rf"[^\W\d_](?:[^\W\d_]|[{marks()}])*+"
+TERM = re.compile(rf"{LETTERS}(?:['\u2019\u2010\u2011-]{LETTERS})*+")
+OWNER = re.compile(r"['\u2019][sS]\Z")
+
+
+def terms_of(word: str) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the terms in a word: two letters or more in lower case, names joined by - or ' whole, outside addresses.
+
+    Of the entities only addresses hold letters and none holds a blank, so these are the terms outside all entities.
+    """
+    if word.isascii() and word.isalpha():
+        return [(word.lower(), 0, len(word))] if len(word) > 1 else []
+    taken = emails(word) if "@" in word else []
+    found = []
+    for left, right in zip([0, *(end for _, end in taken)], [*(start for start, _ in taken), len(word)]):
+        for m in TERM.finditer(word, left, right):
+            bare = OWNER.sub("", m[0])
+            if len(bare) > 1:
+                found.append((bare.lower(), m.start(), m.start() + len(bare)))
+    return found
+
 
+def terms_in(text: str) -> list[dict]:
+    """Every place of every term of a whole text, outside all entities."""
+    known: dict[str, list[tuple[str, int, int]]] = {}
+    hits = []
+    for m in WORD.finditer(text):
+        if (own := known.get(m[0])) is None:
+            own = known[m[0]] = terms_of(m[0])
+        hits += [{"term": term, "start": m.start() + a, "end": m.start() + b} for term, a, b in own]
+    return hits
 
-def touches(taken: list[tuple[int, int]], start: int, end: int) -> bool:
-    """Whether one of the sorted spans overlaps start to end; spans of four kinds may overlap each other a little."""
-    after = bisect.bisect_left(taken, (end, -1))
-    return any(e > start for _, e in taken[max(0, after - 8):after])
-
-
-def terms_near(text: str, spans: Sequence[tuple[str, int, int]]) -> list[dict]:
-    """Terms at most NEAR words before and after each entity, outside all entities."""
-    taken = sorted((start, end) for _, start, end in spans)
-    hits = {}
-    for kind, start, end in spans:
-        entity = kind + ":" + hashlib.sha256(text[start:end].lower().encode("utf-8", "replace")).hexdigest()[:24]
-        left = list(WORD.finditer(text, max(0, start - 40 * NEAR), start))[-NEAR:]
-        right = []
-        for m in WORD.finditer(text, end, min(len(text), end + 40 * NEAR)):
-            right.append(m)
-            if len(right) == NEAR:
-                break
-        for m in (*left, *right):
-            a, b = m.span()
-            if (term := term_of(m[0])) and not touches(taken, a, b):
-                inner = a + len(m[0]) - len(m[0].lstrip(MARKS))
-                hits[entity, inner] = {"entity": entity, "term": term, "start": inner, "end": inner + len(m[0].strip(MARKS))}
-    return list(hits.values())
+
+def entity_of(kind: str, value: str) -> str:
+    return kind + ":" + hashlib.sha256(value.lower().encode("utf-8", "replace")).hexdigest()[:24]
 
 
 def look(texts: pa.Array) -> dict[str, object]:
@@ -137,65 +151,106 @@ def look(texts: pa.Array) -> dict[str, object]:
         count = [sum(kind == k for k, *_ in spans) for kind in KINDS]
         base = joined(spans)
         key = hashlib.sha256(text.encode("utf-8", "replace")).hexdigest() if spans else None
-        rows.append((*count, hashlib.sha256(base.encode()).hexdigest(), base, key, terms_near(text, spans) if spans else []))
-    hit = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    kinds = [pa.int64()] * 4 + [pa.string()] * 3 + [hit]
-    return {name: pa.array(values, kind) for name, values, kind in zip(["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "text_key", "hits"], zip(*rows), kinds)}
+        entities = sorted({entity_of(kind, text[start:end]) for kind, start, end in spans})
+        rows.append((*count, hashlib.sha256(base.encode()).hexdigest(), base, key, entities, terms_in(text) if spans else []))
+    hit = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    kinds = [pa.int64()] * 4 + [pa.string()] * 3 + [pa.list_(pa.string()), hit]
+    return {name: pa.array(values, kind) for name, values, kind in zip(["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "text_key", "entities", "hits"], zip(*rows), kinds)}
 
 
-def term_documents(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """(term, n_term): in how many of all documents each of `terms` stands."""
+def bit_of(term: str) -> int:
+    return zlib.crc32(term.encode("utf-8", "replace")) % BITS
+
+
+def bits_of(terms: DataFrame) -> np.ndarray:
+    """Which bits the terms have; at most BITS numbers come to the driver."""
     bits = np.zeros(BITS, bool)
     bits[[r[0] for r in terms.select((F.crc32(F.col("term").cast("binary")) % BITS).alias("bit")).distinct().collect()]] = True
+    return bits
+
+
+def term_documents(df: DataFrame, text: str, terms: DataFrame) -> DataFrame:
+    """(term, n_term): in how many of all documents each of `terms` stands."""
+    bits = bits_of(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = Words(batch.column(0).cast(pa.string()))
-            number, known = np.full(len(words.names), -1, np.int64), {}
-            for i, word in enumerate(words.names.to_pylist()):
-                if (term := term_of(word)) and bits[zlib.crc32(term.encode("utf-8", "replace")) % BITS]:
-                    number[i] = known.setdefault(term, len(known))
+            known: dict[str, int] = {}
+            number = [[known.setdefault(term, len(known)) for term, *_ in terms_of(word) if bits[bit_of(term)]] for word in words.names.to_pylist()]
             if known:
-                seen = number[words.ids]
-                pairs = np.unique(words.doc[seen >= 0] * len(known) + seen[seen >= 0])
-                counts = np.bincount(pairs % len(known), minlength=len(known))
+                # Words hold few terms: the first of each word, then the second of those that have one, and so on.
+                pairs = []
+                for k in range(max(map(len, number))):
+                    seen = np.array([own[k] if k < len(own) else -1 for own in number], np.int64)[words.ids]
+                    pairs.append(np.unique(words.doc[seen >= 0] * len(known) + seen[seen >= 0]))
+                    number = [own if len(own) > k + 1 else [] for own in number]
+                counts = np.bincount(np.unique(np.concatenate(pairs)) % len(known), minlength=len(known))
                 yield pa.RecordBatch.from_arrays([pa.array(list(known)), pa.array(counts, pa.int64())], names=["term", "n"])
 
     texts = df.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
     return texts.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term")).join(terms, "term", "left_semi")
 
 
-def disclosing(found: DataFrame, df: DataFrame, text: str, near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
-    """(entity, term) pairs in which the term reveals the entity.
+def disclosing(texts: DataFrame, total: int, df: DataFrame, text: str, near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
+    """(text_key, term): the terms of each of the different `texts` that reveal an entity of the same text.
 
     The information of an entity is IC = -log2 p(entity); what a term tells of it is PMI = log2 p(entity | term) / p(entity), with
     p(entity | term) drawn towards p(entity) as if `shrink` more texts of the term were like the whole corpus.  A pair
     discloses when PMI >= near_share * IC.  So a term of few texts can reveal an entity of one text, if the corpus is large
     enough for it to be rare (N texts: a term of at most N ** (1 - near_share) - shrink others), and a frequent one cannot.
-    Frequencies are of documents; copies of a text that holds an entity count once, so they prove nothing.
+    Frequencies are of `total` documents, wherever in a text a term stands; copies of a text that holds an entity count once,
+    so they prove nothing.  Entities of the same texts are judged as one group, known by two hashes over these texts.
     """
-    hits = found.where(F.size("hits") > 0).select("text_key", F.explode("hits").alias("h")).select("text_key", "h.entity", "h.term").distinct()
-    copies = found.where(F.col("text_key").isNotNull()).groupBy("text_key").agg((F.count(F.lit(1)) - 1).alias("more"))
-    per_text = materialise(hits.join(copies, "text_key"))
-    pairs = per_text.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_pair"))
-    entities = per_text.select("text_key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    twice = per_text.where("more > 0").select("text_key", "term", "more").distinct().groupBy("term").agg(F.sum("more").alias("n_more"))
-    terms = term_documents(df, text, per_text.select("term").distinct()).join(twice, "term", "left")
-    terms = terms.select("term", (F.col("n_term") - F.coalesce("n_more", F.lit(0))).alias("n_term"))
-    total = F.lit(float(max(1, found.count() - (copies.agg(F.sum("more")).first()[0] or 0))))
-    given = (F.col("n_pair") + shrink * F.col("n_entity") / total) / (F.col("n_term") + shrink)
-    pmi = F.log2(given * total / F.col("n_entity"))
-    counted = pairs.join(entities, "entity").join(terms, "term")
-    return counted.where((pmi > 0) & (pmi >= near_share * F.log2(total / F.col("n_entity")))).select("entity", "term")
+    distinct = lambda rows: rows.select("text_key", F.explode(F.array_distinct(F.transform("hits", lambda h: h["term"]))).alias("term"), "more")
+    terms = materialise(distinct(texts).select("term").distinct())
+    twice = distinct(texts.where("more > 0")).groupBy("term").agg(F.sum("more").alias("n_more"))
+    counts = term_documents(df, text, terms).join(twice, "term", "left").select("term", (F.col("n_term") - F.coalesce("n_more", F.lit(0))).alias("n_term"))
+    held = texts.select("text_key", F.explode("entities").alias("entity"))
+    groups = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.bit_xor(F.xxhash64("text_key")).alias("a"), F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("b"))
+    in_text = materialise(held.join(groups, "entity").select("text_key", "n_entity", "a", "b").distinct())
+    # A term of more documents than this reveals none, not even the most frequent entity if it stood in all its texts.
+    most = in_text.agg(F.max("n_entity")).first()[0] or 0
+    bound = (total + shrink) * (most / total) ** near_share - shrink if total else 0.0
+    rare = materialise(counts.where(F.col("n_term") <= bound * (1 + 1e-9)))
+    bits = bits_of(rare)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, own = [], []
+            for key, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = [term for term in dict.fromkeys(terms) if bits[bit_of(term)]]
+                keys += [key] * len(rows)
+                own += rows
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(own, pa.string())], names=["text_key", "term"])
+
+    seen = texts.select("text_key", F.transform("hits", lambda h: h["term"]).alias("terms")).mapInArrow(run, "text_key string, term string")
+    pairs = materialise(seen.join(rare, "term").join(in_text, "text_key"))
+    whole = F.lit(float(max(1, total)))
+    given = (F.col("n_pair") + shrink * F.col("n_entity") / whole) / (F.col("n_term") + shrink)
+    pmi = F.log2(given * whole / F.col("n_entity"))
+    good = pairs.groupBy("a", "b", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_pair"))
+    good = good.where((pmi > 0) & (pmi >= near_share * F.log2(whole / F.col("n_entity")))).select("a", "b", "n_entity", "term")
+    return pairs.join(good, ["a", "b", "n_entity", "term"], "left_semi").select("text_key", "term").distinct()
+
+
+def term_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text_key, more) from (text_key, hits, shown): every place of the terms shown, in order."""
+    for batch in batches:
+        more = []
+        for hits, shown in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            known = set(shown)
+            more.append(joined([("term", h["start"], h["end"]) for h in hits if h["term"] in known]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(more, pa.string())], names=["text_key", "more"])
 
 
 def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", near_share: float = SHARE, shrink: float = SHRINK) -> DataFrame:
     """Spans of personal data in every whole text.
 
     E-mail addresses, IPv4 addresses, payment cards (Luhn) and international phone numbers are found exactly; then terms
-    beside them that reveal them by the corpus's own statistics (`disclosing`) are added as spans of kind `term`, only in
-    texts that hold the entity.  Returns columns `keep`, n_email, n_ip, n_card, n_phone, base_sha256 and spans (all, as
-    kind:start:end in code points, by kind then start).
+    that reveal them by the corpus's own statistics (`disclosing`) are added as spans of kind `term`, only in texts that
+    hold the entity, and there at every place.  Returns columns `keep`, n_email, n_ip, n_card, n_phone, base_sha256 and spans
+    (all, as kind:start:end in code points, by kind then start).
 
     NULL and empty texts hold nothing; equal texts get equal spans; an empty table gives an empty one; columns not in `keep`
     are not read but for `text`.
@@ -207,16 +262,14 @@ def find_personal(df: DataFrame, keep: Sequence[str] = ("doc_id",), text: str =
     slots = [f"c{i}" for i in range(len(keep))]
     source = df.select(*[F.col(f"`{c}`").alias(s) for c, s in zip(keep, slots)], F.col(f"`{text}`").alias("whole"))
     found = materialise(over_texts(source, slots, "whole", FOUND, look))
-    pairs = materialise(disclosing(found, source, "whole", near_share, shrink))
-    holding = found.where(F.size("hits") > 0)
-    hits = holding.select("text_key", F.explode("hits").alias("h")).select("text_key", "h.*").distinct()
-    flagged = (hits.join(pairs, ["entity", "term"], "left_semi").select("text_key", "start", "end").distinct()
-               .groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("terms")))
-    more = F.transform("terms", lambda t: F.concat(F.lit("term:"), t["start"].cast("string"), F.lit(":"), t["end"].cast("string")))
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.array_join(more, ","))
+    holding = found.where(F.col("text_key").isNotNull())
+    texts = materialise(holding.groupBy("text_key").agg((F.count(F.lit(1)) - 1).alias("more"), F.first("entities").alias("entities"), F.first("hits").alias("hits")))
+    total = found.count() - (texts.agg(F.sum("more")).first()[0] or 0)
+    shown = disclosing(texts, total, source, "whole", near_share, shrink).groupBy("text_key").agg(F.collect_list("term").alias("shown"))
+    flagged = materialise(texts.select("text_key", "hits").join(shown, "text_key").select("text_key", "hits", "shown").mapInArrow(term_spans, "text_key string, more string"))
     out = [*[F.col(s).alias(c) for c, s in zip(keep, slots)], *own]
-    with_terms = holding.join(flagged, "text_key", "left").select(*out, spans.alias("spans"))
-    return with_terms.unionByName(found.where(F.size("hits") == 0).select(*out, F.col("base").alias("spans")))
+    with_terms = holding.join(flagged, "text_key", "left").select(*out, F.concat_ws(",", "base", "more").alias("spans"))
+    return with_terms.unionByName(found.where(F.col("text_key").isNull()).select(*out, F.col("base").alias("spans")))
 
 
 def replaced(text: str, spans: str) -> str:

@@ -173,6 +173,22 @@ def test_no_character_of_a_span_stays(text):
     assert left == "".join(c for i, c in enumerate(text) if i not in covered)
 
 
+def test_terms_of_words():
+    terms = lambda word: [(t, word[a:b]) for t, a, b in personal.terms_of(word)]
+    assert terms("Ann,") == [("ann", "Ann")] and terms("(O'Neil)") == [("o'neil", "O'Neil")] and terms("Anne-Marie's") == [("anne-marie", "Anne-Marie")]
+    assert terms("\u674e\u660e\uff0c") == [("\u674e\u660e", "\u674e\u660e")] and terms("Zoe\u0308:x") == [("zoe\u0308", "Zoe\u0308")]
+    assert terms("Lee:ann@corp.example.com;Ng/Wu") == [("lee", "Lee"), ("ng", "Ng"), ("wu", "Wu")] and terms("a") == [] and terms("\u0130lk") == [("i\u0307lk", "\u0130lk")]
+
+
+def test_terms_go_everywhere_in_the_text_of_the_entity(spark):
+    letter = "Ann O'Neil " + "plain harbour and weather " * 3 + "ann@corp.example.com " + "harbour and weather " * 60 + "Anne-Marie, \u674e\u660e and O'Neil"
+    clean = [(100 + i, f"plain harbour and weather {i}", "s") for i in range(400)]
+    df = documents(spark, [(1, letter, "s"), (2, letter, "s")] + clean)
+    cleaned = {r["doc_id"]: r["text"] for r in personal.sanitise(df).collect()}
+    assert cleaned[1] == cleaned[2] == "[TERM] [TERM] " + "plain harbour and weather " * 3 + "[EMAIL] " + "harbour and weather " * 60 + "[TERM], [TERM] and [TERM]"
+    assert all(cleaned[i] == text for i, text, _ in clean)
+
+
 # Packing
 
 @pytest.fixture(scope="module")
