@@ -21,18 +21,21 @@ al como con del el ella entre era es esta este fue ha hay la las lo los más muy
 """.split())
 # Elements that hold no text of their own, elements outside the main text, and elements that end a block.
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
-OUTSIDE = {"head", "nav", "footer", "aside", "form", "button", "select", "template", "svg", "math", "object", "audio", "video", "canvas", "dialog", "menu", "map"}
+OUTSIDE = {"head", "nav", "footer", "aside", "button", "select", "template", "svg", "math", "object", "audio", "video", "canvas", "dialog", "menu", "map"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form",
           "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "legend", "li", "main", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot",
           "th", "thead", "tr", "ul"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-# Words in class, id or role that mark what is not the main text.
+# Names in class, id or role that mark what is seldom the main text; of these, names of readers' comments; and
+# words that add nothing to such a name, so site-nav and comment-list are marks, has-comments and search-results-page are not.
 MARKS = frozenset("""
 ad ads advert advertisement advertorial adverts adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus gdpr login masthead menu modal nav
 navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing sidebar signup
 skip social sponsor sponsored subscribe teaser toolbar widget widgets complementary contentinfo search alert alertdialog
 """.split())
+THREADS = frozenset("comment comments disqus replies reply respond".split())
+PLAIN = frozenset("area bar block bottom box container content form inner item items left link links list outer right section site top wrap wrapper".split())
 TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""")
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 OTHER = re.compile(r"<[!?/][^>]*+>?")
@@ -57,6 +60,7 @@ class Block:
     linked: int
     heading: bool
     main: bool
+    place: int
 
     def label(self, limits: Limits, region: bool) -> str:
         """First pass: good, near, short or bad, from the block alone.
@@ -86,47 +90,93 @@ def attributes(text: str) -> dict[str, str]:
     return {name.lower(): a or b or c or "" for name, a, b, c in ATTRIBUTE.findall(text)}
 
 
+@dataclass
+class Place:
+    """A container that is marked as not the main text: the one around it, and what it holds."""
+
+    parent: int
+    thread: bool
+    mains: int = 0
+    regions: int = 0
+    good: int = 0
+
+
 def outside(name: str, attrs: dict[str, str], in_main: bool) -> bool:
     """Whether an element opens a part that is not main text."""
     if name in OUTSIDE or name == "header" and not in_main:
         return True
     if not attrs or name in ("html", "body"):
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "").lower()):
-        return True
-    words = set(re.split(r"[^a-z0-9]+", f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower()))
-    return bool(words & MARKS) or not in_main and "header" in words
+    return "hidden" in attrs or attrs.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", "").lower()))
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page in order, without what lies outside the main text."""
+def marked(name: str, attrs: dict[str, str], in_main: bool) -> frozenset[str]:
+    """The words by which an element is marked as not the main text; a form is marked by itself."""
+    if name in ("html", "body", "article", "main") or attrs.get("role", "").lower() == "main":
+        return frozenset()
+    known = MARKS if in_main else MARKS | {"header"}
+    words = {"form"} if name == "form" else set()
+    for label in f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}".lower().split():
+        parts = set(re.split(r"[^a-z0-9]+", label)) - {""}
+        if parts <= known | PLAIN:
+            words |= parts & known
+    return frozenset(words)
+
+
+def without_marked(blocks: Sequence[Block], places: Sequence[Place], limits: Limits) -> list[Block]:
+    """The blocks but those in marked containers, unless a container holds the main text.
+
+    It does if it holds a main element, most of the good text of the first pass, or all articles and no less good text than
+    the rest; readers' comments only by a main element.
+    """
+    page, *more = places
+    if not more:
+        return list(blocks)
+    for block in blocks:
+        if block.label(limits, False) in ("good", "near"):
+            places[block.place].good += len(block.text)
+    for place in reversed(more):  # a container comes after the one around it
+        around = places[place.parent]
+        around.mains += place.mains
+        if place.mains or not place.thread:  # comments say nothing of where the main text is
+            around.regions, around.good = around.regions + place.regions, around.good + place.good
+    left = [True]
+    for place in more:
+        holds = place.mains > 0 or not place.thread and (2 * place.good > page.good or place.regions == page.regions > 0 and 2 * place.good >= page.good)
+        left.append(holds and left[place.parent])
+    return [b for b in blocks if left[b.place]]
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
+    """The blocks of a page in order, without what lies outside the main text, and the marked containers; the first is the page."""
     found: list[Block] = []
-    opened: list[tuple[str, bool, bool]] = []  # name, skipped, main
+    places = [Place(0, False)]
+    opened: list[tuple[str, bool, bool, int]] = []  # name, skipped, main, marked container
     parts: list[str] = []
-    state = {"linked": 0, "heading": False, "main": False, "breaks": 0}
+    state = {"linked": 0, "heading": False, "main": False, "place": 0, "breaks": 0}
     skip = main = False
-    link_depth = 0
+    link_depth = place = 0
 
     def flush() -> None:
         text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            found.append(Block(text, min(state["linked"], len(text)), state["heading"], state["main"]))
+            found.append(Block(text, min(state["linked"], len(text)), state["heading"], state["main"], state["place"]))
         parts.clear()
         state.update(linked=0, heading=False, breaks=0)
 
     def add(text: str) -> None:
         if text and not skip:
             if not text.isspace():
-                state.update(breaks=0, main=main)
+                state.update(breaks=0, main=main, place=place)
             parts.append(text)
             if link_depth:
                 state["linked"] += len(SPACES.sub(" ", html.unescape(text)).strip())
 
     def close(index: int) -> None:
-        nonlocal skip, main, link_depth
+        nonlocal skip, main, place, link_depth
         link_depth = max(0, link_depth - sum(name == "a" for name, *_ in opened[index:]))
         del opened[index:]
-        skip, main = opened[-1][1:] if opened else (False, False)
+        skip, main, place = opened[-1][1:] if opened else (False, False, 0)
 
     at, size, last = 0, len(page), page.rfind(">")
     while at < size:
@@ -165,6 +215,8 @@ def blocks_of(page: str) -> list[Block]:
         if ending:
             for index in range(len(opened) - 1, -1, -1):
                 if opened[index][0] == name:
+                    if opened[index][3] != (opened[index - 1][3] if index else 0):
+                        flush()
                     close(index)
                     break
                 if opened[index][1] and not (index and opened[index - 1][1]) and name not in ("body", "html", "article", "main", "div", "section"):
@@ -190,15 +242,23 @@ def blocks_of(page: str) -> list[Block]:
         if name in ("li", "dt", "dd", "tr", "td", "th") and opened and opened[-1][0] == name:
             close(len(opened) - 1)
         attrs = attributes(tag.group(3)) if tag.group(3) else {}
-        now_main = main or name in ("article", "main") or attrs.get("role", "").lower() == "main"
+        named_main = name == "main" or attrs.get("role", "").lower() == "main"
         skip = skip or outside(name, attrs, main)
-        main = now_main and not skip
-        opened.append((name, skip, main))
+        if not skip:
+            if marks := marked(name, attrs, main):
+                places.append(Place(place, bool(marks & THREADS)))
+                place = len(places) - 1
+                if name not in BLOCKS:
+                    flush()
+            places[place].mains += named_main
+            places[place].regions += not main and (named_main or name == "article")
+        main = (main or named_main or name == "article") and not skip
+        opened.append((name, skip, main, place))
         link_depth += name == "a"
         if name in HEADINGS and not skip:
             state["heading"] = True
     flush()
-    return found
+    return found, places
 
 
 def classify(blocks: Sequence[Block], limits: Limits) -> list[bool]:
@@ -232,15 +292,15 @@ def classify(blocks: Sequence[Block], limits: Limits) -> list[bool]:
 
 def extract_page(page: str, limits: Limits) -> str:
     """The main text of one whole page."""
-    blocks = blocks_of(page)
+    blocks = without_marked(*blocks_of(page), limits)
     return "\n".join(b.text for b, kept in zip(blocks, classify(blocks, limits)) if kept)
 
 
 def extract_pages(df: DataFrame, keep: Sequence[str] = ("page_id", "url"), page: str = "html", limits: Limits = Limits()) -> DataFrame:
     """The main text of every whole page and its length in code points.
 
-    Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments are known by their elements and by
-    words in class, id or role.  What is left is cut into blocks; stop-word density, length and link density decide the clear
+    Menus, headers, footers, sidebars and scripts are known by their elements; notices, adverts, reader comments and the like by
+    names in class, id or role, and forms, are left out unless they hold the main text.  What is left is cut into blocks; stop-word density, length and link density decide the clear
     ones, and short or near-good ones follow their nearest decided neighbours.  Where a page marks its main region, blocks
     outside it are bad and those inside good unless links fill them.
 

@@ -272,6 +272,22 @@ def test_page_cases(page, text):
     assert pages.extract_page(page or "", pages.Limits()) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    (f"<article class='post has-comments'><p>{LONG}</p></article>", LONG.strip()),
+    (f"<main class='with-sidebar'><p>{LONG}</p></main>", LONG.strip()),
+    (f"<main class='sidebar'><p>{LONG}</p></main>", LONG.strip()),
+    (f"<div id='search-results-page'><p>{LONG}</p></div>", LONG.strip()),
+    (f"<body><form id=aspnet><div class='site-nav'>Home</div><p>{LONG}</p><div class='ad'>Buy</div></form></body>", LONG.strip()),
+    (f"<form><article><p>Short</p></article></form><div class='comment-list'><article><p>{LONG}</p></article></div>", "Short"),
+    (f"<p>{LONG}</p><div id='comments'><p>{LONG}</p><p>{LONG}</p></div>", LONG.strip()),
+    (f"<p>{LONG}</p><div class='related'><article><p>Card</p></article></div>", LONG.strip()),
+    (f"<div class='widget'><p>{LONG}</p><form><p>{LONG}</p></form><p>{LONG}</p></div>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<p>{LONG}<span class='ad'>Buy</span></p>", LONG.strip()),
+])
+def test_marks_are_evidence(page, text):
+    assert pages.extract_page(page, pages.Limits()) == text
+
+
 def test_page_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "t"), (None, None, "<article><p>x</p></article>", "t"), (1, "u", "", "t")], "page_id long, url string, html string, text string")
     assert rows_of(pages.extract_pages(df), "text", "n_chars") == [("", 0), ("", 0), ("x", 1)]
