@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import masked_template, normalise_text, normalised_description, pair_key
 from ..functions.values import share
-from ..scale import col, grouped_quantiles, materialise, md5_number, null_safe, value_positions, with_row
+from ..scale import col, discard, grouped_quantiles, materialise, md5_number, null_safe, split_join, value_positions, with_row
 from .aggregates import overlap_report
 
 
@@ -141,41 +141,48 @@ def connected_groups(df: DataFrame, id: str, keys: Sequence[str], component: str
     """Rows that share any (non-NULL) key value, directly or through others, get the smallest id as component.
 
     Rows with the same key are linked to that key's smallest id (a star, never all pairs).
-    Alternating large-star and small-star steps then shrink paths to stars in few rounds;
-    each round is partial minima and equi-joins, stored in the checkpoint folder.
+    `star_components` then shrinks paths to stars in few rounds.
     """
     parts = []
     for i, key in enumerate(keys):
-        firsts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(id).alias("v"))
-        parts.append(df.select(F.col(id).alias("u"), key).join(firsts, key).select("u", "v"))
+        held = materialise(df.filter(F.col(key).isNotNull()).select(F.col(id).alias("u"), F.col(key).alias("k")))
+        firsts = materialise(held.groupBy("k").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("n")))
+        parts.append(split_join(held, firsts, "k", "n").select("u", "v"))
     edges = reduce(DataFrame.unionByName, parts)
     labels = star_components(edges)
     return (df.join(labels.select(F.col("u").alias(id), F.col("root").alias(component)), id, "left")
             .withColumn(component, F.coalesce(F.col(component), F.col(id))))
 
 
-def star_components(edges: DataFrame) -> DataFrame:
-    """Component root (smallest node) of every node of an undirected edge list (`u`, `v`)."""
-    links = materialise(edges.filter(F.col("u") != F.col("v"))
-                        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = None
+def star_components(edges: DataFrame, least: int = 100_000) -> DataFrame:
+    """Component root (smallest node) of every node of an undirected edge list (`u`, `v`).
+
+    Alternating large-star and small-star steps: each links neighbours to the smallest node around, until nothing moves.
+    A step is partial minima and a join; nodes with very many edges are joined where the edges lie (`split_join` from
+    `least` edges on), so the hub of a star is no hot key.  Each round is stored and the one before it deleted.
+    """
+    loose = F.col("u") != F.col("v")
+    pairs = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    links, state = materialise(pairs.filter(loose)), None
+    nodes = materialise(pairs.select(F.explode(F.array("u", "v")).alias("u")).distinct())
+    discard(pairs)
     while True:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = materialise(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
         # Large star: every larger neighbour is linked to the smallest node around.
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"))
-        large = (both.filter(F.col("v") > F.col("u")).join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .filter(F.col("u") != F.col("v")).distinct())
+        lowest = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")))
+        upward = both.filter(F.col("v") > F.col("u"))
+        large = materialise(split_join(upward, lowest.filter("n > 0"), "u", "n", least).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                            .filter(loose).distinct())
         # Small star: a node and its smaller neighbours are linked to the smallest of them.
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(smallest, "u")
-        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(joined.select("u", F.col("m").alias("v")))
-                 .filter(F.col("u") != F.col("v")).distinct())
-        links = materialise(small)
+        smallest = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        joined = split_join(large, smallest, "u", "n", least)
+        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v")))
+                 .filter(loose).distinct())
+        before, links = links, materialise(small)
+        discard(before, both, lowest, large, smallest)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
-    roots = links.select("u", F.col("v").alias("root"))
-    tops = edges.select(F.explode(F.array("u", "v")).alias("u")).distinct().join(links.select("u"), "u", "left_anti")
-    return roots.unionByName(tops.select("u", F.col("u").alias("root")))
+    tops = nodes.join(links.select("u"), "u", "left_anti")
+    return links.select("u", F.col("v").alias("root")).unionByName(tops.select("u", F.col("u").alias("root")))

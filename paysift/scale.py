@@ -31,7 +31,18 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.__dict__["stored_at"] = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `materialise` that nothing reads any more: call it once what was made of them is stored."""
+    for table in tables:
+        if path := table.__dict__.pop("stored_at", None):
+            session = table.sparkSession
+            folder = session._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -44,6 +55,25 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def split_join(rows: DataFrame, found: DataFrame, key: str, count: str, least: int = 100_000) -> DataFrame:
+    """Inner join of stored `rows` to one row per key, where `count` in `found` tells how many rows have the key.
+
+    A key with more than max(`least`, a thousandth of all rows) rows is hot.  There are at most a thousand of them, so they
+    are broadcast and their rows stay where they lie; all other keys shuffle.  `count` is dropped.
+    """
+    if clash := (set(rows.columns) & set(found.columns)) - {key}:
+        raise ValueError(f"columns {sorted(clash)} would be there twice")
+    total = found.agg(F.sum(count)).first()[0] or 0
+    limit = max(least, total // 1000)
+    hot = found.filter(F.col(count) > limit).drop(count)
+    cold = found.filter(F.col(count) <= limit).drop(count)
+    if not hot.limit(1).count():
+        return rows.join(cold, key)
+    beside = rows.join(F.broadcast(hot), key)
+    apart = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return beside.unionByName(apart)
+
+
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                 rank: str | None = None) -> DataFrame:
     """The first `n` rows of each key under a total order.

@@ -1,6 +1,7 @@
 """Building blocks against plain numpy, on skewed data."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -72,3 +73,15 @@ def test_checkpoint_folder_is_the_configured_one(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert (named is None) or shared_dir(spark) == named
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_split_join_and_discarded_tables(spark):
+    rows = scale.materialise(spark.createDataFrame([(1, i) for i in range(50)] + [(2, 50), (3, 51)], "k int, x int"))
+    found = scale.materialise(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("top")))
+    joined = scale.split_join(rows, found, "k", "n", least=10)
+    assert "n" not in joined.columns and "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
+    assert sorted((r["k"], r["x"], r["top"]) for r in joined.collect()) == [(1, i, 49) for i in range(50)] + [(2, 50, 50), (3, 51, 51)]
+    path = Path(found.stored_at)
+    assert path.exists()
+    scale.discard(found, found, rows)
+    assert not path.exists()

@@ -63,6 +63,16 @@ def test_connected_groups_follow_chains_and_hot_keys(spark):
     assert got[5000] == 5000 and got[5001] == 0
 
 
+def test_components_with_hubs_joined_where_they_lie(spark):
+    """Stars above `least` edges, a path between them, loops and repeated edges."""
+    edges = [(0, i) for i in range(1, 200)] + [(i, 900) for i in range(300, 500)] + [(i, i + 1) for i in range(600, 640)] + [(199, 300), (7, 7), (2000, 2000), (1, 0)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    got = {r["u"]: r["root"] for r in s.star_components(df, least=20).collect()}
+    assert got == {r["u"]: r["root"] for r in s.star_components(df).collect()}
+    assert {got[i] for i in [*range(200), *range(300, 500), 900]} == {0} and {got[i] for i in range(600, 641)} == {600} and got[2000] == 2000
+    assert len(got) == 200 + 201 + 41 + 1
+
+
 def test_confusion_metrics_on_literal_rows(spark):
     df = spark.createDataFrame([("Low", "Low"), ("Low", "Mid"), ("High", "Mid")], "a string, p string")
     row = m.classification_metrics(df, "a", "p").first()
