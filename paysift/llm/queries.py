@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, licenses, lmscore, mixing, nearjoin, packing, pages, personal, rules, simhash, topk
+from . import classifier, licenses, lmscore, mixing, nearjoin, packing, pages, personal, prefixtrie, rules, simhash, topk
 from .common import begin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,11 @@ def op10_page_texts(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(table(spark, folder, "pages"))
 
 
+@query()
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, folder, "conversations"))
+
+
 @query()
 def op13_simhash_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_duplicates(table(spark, folder, "documents"))
