@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import classifier, licenses, lmscore, mixing, nearjoin, packing, pages, personal, prefixtrie, rules, simhash, topk
+from . import alignment, classifier, licenses, lmscore, mixing, nearjoin, packing, pages, personal, prefixtrie, rules, simhash, topk
 from .common import begin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +28,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return begin(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the packing query."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary file; by default the one of the packing query."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("word_bpe_49k.json"))
+    return str(public_tokenizers.path(name))
 
 
 @query()
@@ -94,6 +94,13 @@ def op10_page_texts(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_pages(table(spark, folder, "pages"))
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align_tokenizers(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
 @query()
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefixtrie.conversation_trie(table(spark, folder, "conversations"))
