@@ -1,54 +1,126 @@
 """Density clustering (DBSCAN) of item sets and of points, exact and in bounded blocks.
 
-Item sets: equal sets collapse into one weighted row.  Sets that differ in at most h
-items and overlap must share one of their h+1 rarest items, so they meet through groups
-of such items; pairs without overlap are counted from set sizes alone.
+Item sets: equal sets collapse into one weighted row, items are ranked by rarity.  Two sets that overlap have a rarest
+common item; the items before it, i in one and j in the other, all differ, so at a radius of h differing items i + j <= h
+and the rests after it differ in at most r = h - i - j.  Small radii meet through keys of item, i, j and a part of the rest
+(`set_links`), larger ones in blocks of the lists of an inverted index on the h+1 rarest items.  Pairs without overlap are
+counted from set sizes alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scale import grouped_quantiles, materialise, null_safe, ordinal, with_row
+from ..scale import discard, grouped_quantiles, materialise, null_safe, ordinal, with_row
 from .neighbours import as_matrix, blocked, squared_distances
 from .splits import star_components
 
-ITEM_GROUPS = 32
-MAX_ITEMS = 20_000
+# Up to this radius (in differing items) sets meet through keys and links are listed; beyond it neighbourhoods are dense.
+LISTED_RADIUS = 3
+MASK_BITS = 64
 
 
 def distinct_sets(df: DataFrame, id: str, items: str) -> tuple[DataFrame, DataFrame]:
     """(sets, members): each distinct non-empty set with its smallest row id, its items as
-    rarity ranks (0 = rarest), size and number of rows; and the set of every row."""
-    rows = df.select(F.col(id).alias("row"), F.array_sort(F.array_distinct(items)).alias("s")).filter(F.size("s") > 0)
-    rows = rows.withColumn("h", F.sha2(F.to_json("s"), 256))
+    rarity ranks (0 = rarest), size, number of rows and a 64-bit mask of its ranks; and the set of every row."""
+    rows = materialise(df.select(F.col(id).alias("row"), F.array_sort(F.array_distinct(items)).alias("s")).filter(F.size("s") > 0)
+                       .withColumn("h", F.sha2(F.to_json("s"), 256)))
     grouped = materialise(rows.groupBy("h").agg(F.min("row").alias("sid"), F.count(F.lit(1)).alias("w"), F.first("s").alias("s")))
-    counts = grouped.select(F.explode("s").alias("item"), "w").groupBy("item").agg(F.sum("w").alias("n"))
-    vocabulary = counts.limit(MAX_ITEMS + 1).count()
-    if vocabulary > MAX_ITEMS:
-        raise ValueError(f"item sets over more than {MAX_ITEMS} items")
-    ranks = counts.withColumn("rank", F.row_number().over(Window.orderBy("n", "item")) - 1)  # at most MAX_ITEMS rows
-    ranked = grouped.select("sid", "w", F.explode("s").alias("item")).join(ranks, "item").groupBy("sid").agg(
-        F.array_sort(F.collect_list("rank")).alias("r"), F.first("w").alias("w"))
-    sets = materialise(ranked.withColumns({"size": F.size("r"), "vocabulary": F.lit(vocabulary)}))
+    exploded = grouped.select("sid", "w", F.explode("s").alias("item"))
+    ranks = ordinal(exploded.groupBy("item").agg(F.sum("w").alias("n")), ["n", "item"], "rank").select("item", F.col("rank").cast("int").alias("rank"))
+    bit = F.expr(f"shiftleft(1L, pmod(rank, {MASK_BITS}))")
+    ranked = exploded.join(ranks, "item").groupBy("sid").agg(F.array_sort(F.collect_list("rank")).alias("r"), F.first("w").alias("w"), F.bit_or(bit).alias("mask"))
+    sets = materialise(ranked.withColumn("size", F.size("r")))
     return sets, rows.select("row", "h").join(grouped.select("h", "sid"), "h").select("row", "sid")
 
 
+def spread_bits(values: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that scatters them."""
+    values = values.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
+
+
+def _keys_of(ranks: list[np.ndarray], h: int, left: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, key, shortened): the keys through which sets within h meet, for the left or the right side of a pair.
+
+    The rest after the common item is dealt into r // 2 + 1 parts; one of them differs in at most one item, so either both
+    parts are equal or one is the other without an item.  A key names item, i, j, part and the part's content; `shortened`
+    tells that an item was left out, and two shortened keys need not meet.
+    """
+    sizes = np.array([len(x) for x in ranks])
+    flat, row = np.concatenate(ranks).astype(np.int64), np.repeat(np.arange(len(ranks)), sizes)
+    position = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    code, first = spread_bits(flat + 1), np.cumsum(sizes) - sizes
+    out = []
+    for own in range(h + 1):
+        held = np.nonzero(sizes > own)[0]
+        if not len(held):
+            break
+        item = np.zeros(len(ranks), np.int64)
+        item[held] = flat[first[held] + own]
+        rest = (position > own) & (sizes[row] > own)
+        for other in range(h - own + 1):
+            r = h - own - other
+            i, j = (own, other) if left else (other, own)
+            parts = r // 2 + 1
+            part = (spread_bits(flat + 7) >> np.uint64(40)).astype(np.int64) % parts
+            for q in range(parts):
+                inside = np.nonzero(rest & (part == q))[0]
+                total = np.zeros(len(ranks), np.uint64)
+                np.add.at(total, row[inside], code[inside])
+                name = spread_bits(item * 4096 + i * 256 + j * 16 + q)
+                out.append((held, spread_bits(total[held] + name[held]), np.zeros(len(held), bool)))
+                if r:
+                    out.append((row[inside], spread_bits(total[row[inside]] - code[inside] + name[row[inside]]), np.ones(len(inside), bool)))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def set_links(queries: DataFrame, sets: DataFrame, h: int) -> DataFrame:
+    """(sid, other, ref_size, weight, distance): overlapping sets at most h items apart, each pair once, every set with itself.
+
+    Keys are hashes, so a pair that meets is verified: by the masks, which tell the distance where no two ranks share a bit,
+    else by the items themselves.
+    """
+    def keyed(left: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    at, key, shortened = _keys_of([np.asarray(r) for r in batch["r"]], h, left)
+                    yield pd.DataFrame({"key": key.view(np.int64), "shortened": shortened, **{c: batch[c].to_numpy()[at] for c in ("sid", "mask", "size", "w")}})
+        return run
+
+    sid = sets.schema["sid"].dataType.simpleString()
+    schema = f"key bigint, shortened boolean, sid {sid}, mask bigint, size int, w bigint"
+    columns = ["sid", "r", "mask", "size", "w"]
+    a = queries.select(*columns).mapInPandas(keyed(True), schema).alias("a")
+    b = sets.select(*columns).mapInPandas(keyed(False), schema).alias("b")
+    apart = F.bit_count(F.col("a.mask").bitwiseXOR(F.col("b.mask")))
+    overlap = F.col("a.mask").bitwiseAND(F.col("b.mask")) != 0
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & ~(F.col("a.shortened") & F.col("b.shortened")) & overlap & (apart <= h) & (F.abs(F.col("a.size") - F.col("b.size")) <= h))
+    pairs = met.select(F.col("a.sid").alias("sid"), F.col("b.sid").alias("other"), F.col("b.size").alias("ref_size"), F.col("b.w").alias("weight"), apart.alias("distance")).distinct()
+    if (sets.agg(F.max(F.element_at("r", -1))).first()[0] or 0) < MASK_BITS:
+        return pairs
+    items = lambda side, name: side.select(F.col("sid").alias(name), F.col("r").alias(f"r_{name}"))
+    common = F.size(F.array_intersect("r_sid", "r_other"))
+    told = pairs.drop("distance").join(items(queries, "sid"), "sid").join(items(sets, "other"), "other").withColumn("distance", F.size("r_sid") + F.size("r_other") - 2 * common)
+    return told.filter((F.col("distance") <= h) & (common > 0)).select("sid", "other", "ref_size", "weight", "distance")
+
+
 def _posted(sets: DataFrame, h: int) -> DataFrame:
-    """One row per set and item group that its h+1 rarest items fall in."""
-    width = F.greatest(F.lit(1), F.ceil(F.col("vocabulary") / ITEM_GROUPS)).cast("int")
-    groups = F.array_distinct(F.transform(F.slice("r", 1, h + 1), lambda x: F.floor(x / width).cast("int")))
-    return sets.select("*", width.alias("width"), F.explode(groups).alias("item_group"))
+    """The inverted index: one row per set and each of its h+1 rarest items."""
+    return sets.select("*", F.explode(F.slice("r", 1, h + 1)).alias("item"))
 
 
 def _overlaps(q: pd.DataFrame, r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(distance, ours): symmetric-difference sizes, and whether the rarest common item lies in this group."""
-    group, width = int(q["item_group"].iloc[0]), int(q["width"].iloc[0])
+    """(distance, ours): symmetric-difference sizes, and whether the list's item is the rarest common one."""
+    item = int(q["item"].iloc[0])
     flat = [np.concatenate(list(side["r"])).astype(np.int64) for side in (q, r)]
     used = np.unique(np.concatenate(flat))
 
@@ -58,12 +130,11 @@ def _overlaps(q: pd.DataFrame, r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]
         return m
 
     a, b = hot(q, flat[0]), hot(r, flat[1])
-    low, high = np.searchsorted(used, group * width), np.searchsorted(used, (group + 1) * width)
+    low = np.searchsorted(used, item)
     common = a @ b.T
     earlier = a[:, :low] @ b[:, :low].T if low else np.zeros_like(common)
-    inside = a[:, low:high] @ b[:, low:high].T
     distance = q["size"].to_numpy()[:, None] + r["size"].to_numpy()[None, :] - 2 * common
-    return distance.round().astype(int), (earlier < 0.5) & (inside > 0.5)
+    return distance.round().astype(int), earlier < 0.5
 
 
 def set_distance_counts(queries: DataFrame, sets: DataFrame, h: int) -> DataFrame:
@@ -78,9 +149,16 @@ def set_distance_counts(queries: DataFrame, sets: DataFrame, h: int) -> DataFram
                               "distance": distance[rows, cols], "weight": r["w"].to_numpy()[cols]})
         return pairs.groupby(["sid", "ref_size", "distance"], as_index=False)["weight"].sum()
 
-    sid = sets.schema["sid"].dataType.simpleString()
-    overlap = blocked(_posted(queries, h), _posted(sets, h), "item_group", "sid", "sid", kernel,
-                      f"sid {sid}, ref_size int, distance int, weight bigint")
+    if h <= LISTED_RADIUS:
+        overlap = set_links(queries, sets, h)
+    else:
+        sid = sets.schema["sid"].dataType.simpleString()
+        overlap = blocked(_posted(queries, h), _posted(sets, h), "item", "sid", "sid", kernel, f"sid {sid}, ref_size int, distance int, weight bigint")
+    return _with_apart(overlap, queries, sets, h)
+
+
+def _with_apart(overlap: DataFrame, queries: DataFrame, sets: DataFrame, h: int) -> DataFrame:
+    """Weight per query set and distance: overlapping sets as listed, and sets of small size without overlap."""
     overlap = materialise(overlap.groupBy("sid", "ref_size", "distance").agg(F.sum("weight").alias("weight")))
     met = overlap.groupBy("sid", "ref_size").agg(F.sum("weight").alias("met"))
     by_size = sets.filter(F.col("size") < h).groupBy(F.col("size").alias("ref_size")).agg(F.sum("w").alias("all"))
@@ -156,20 +234,45 @@ def dbscan_sets(df: DataFrame, id: str, items: str, eps: float, min_samples: int
 
     Every row gets `cluster` (-1 noise, and -1 for empty sets) and `core`.
     """
-    h = int(np.floor(eps * eps + 1e-9))
     sets, members = distinct_sets(df, id, items)
-    degree = set_distance_counts(sets, sets, h).groupBy("sid").agg(F.sum("weight").alias("degree"))
-    marked = materialise(sets.join(degree, "sid").withColumn("core", F.col("degree") >= min_samples).drop("degree"))
-    core = marked.filter("core")
+    labels = cluster_sets(sets, eps, min_samples)
+    rows = members.join(labels, "sid").select(F.col("row").alias(id), "cluster", "core")
+    return df.select(id).join(rows, id, "left").withColumns({
+        "cluster": F.coalesce("cluster", F.lit(-1)), "core": F.coalesce("core", F.lit(False))})
 
-    def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return pd.DataFrame({"u": [], "v": [], "border": []})
-        distance, _ = _overlaps(q, r)
-        return _local_links(distance <= h, q["sid"].to_numpy(), r["sid"].to_numpy(), q["core"].to_numpy(dtype=bool))
 
-    links = materialise(blocked(_posted(marked, h), _posted(core, h), "item_group", "sid", "sid", kernel,
-                                "u bigint, v bigint, border boolean").distinct())
+def radius_of(eps: float) -> int:
+    """Differing items that a Euclidean distance between indicator vectors allows."""
+    return int(np.floor(eps * eps + 1e-9))
+
+
+def cluster_sets(sets: DataFrame, eps: float, min_samples: int, near: DataFrame | None = None) -> DataFrame:
+    """(sid, cluster, core) of distinct sets.  `near` may give their links up to this radius or a larger one.
+
+    At small radii the links are found and verified once, and serve both the degrees and the clusters.
+    """
+    h = radius_of(eps)
+    if near is None and h <= LISTED_RADIUS:
+        near = materialise(set_links(sets, sets, h))
+    counts = _with_apart(near.filter(F.col("distance") <= h), sets, sets, h) if near is not None else set_distance_counts(sets, sets, h)
+    degree = counts.groupBy("sid").agg(F.sum("weight").alias("degree"))
+    marked = materialise(sets.join(degree, "sid").withColumn("core", F.col("degree") >= min_samples).drop("degree"))
+    core = marked.filter("core")
+    if near is not None:
+        ids = core.select("sid")
+        to_core = near.filter((F.col("distance") <= h) & (F.col("sid") != F.col("other"))).join(ids.withColumnRenamed("sid", "other"), "other").select("sid", "other")
+        flagged = to_core.join(ids.withColumn("inner", F.lit(True)), "sid", "left")
+        links = materialise(flagged.select(F.col("sid").alias("u"), F.col("other").alias("v"), F.col("inner").isNull().alias("border"))
+                            .filter(F.col("border") | (F.col("u") > F.col("v"))))
+    else:
+        def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+            if q.empty or r.empty:
+                return pd.DataFrame({"u": [], "v": [], "border": []})
+            distance, _ = _overlaps(q, r)
+            return _local_links(distance <= h, q["sid"].to_numpy(), r["sid"].to_numpy(), q["core"].to_numpy(dtype=bool))
+
+        links = materialise(blocked(_posted(marked, h), _posted(core, h), "item", "sid", "sid", kernel,
+                                    "u bigint, v bigint, border boolean").distinct())
     # Sets with sizes adding up to at most h are near each other without overlap: all such core
     # sets join the smallest core set.
     smallest = core.agg(F.min(F.struct("size", "sid"))).scalar()
@@ -182,11 +285,8 @@ def dbscan_sets(df: DataFrame, id: str, items: str, eps: float, min_samples: int
     by_size = labelled_core.filter(F.col("size") < h).groupBy("size").agg(F.min("cluster").alias("c")).agg(
         F.collect_list(F.struct("size", "c")).alias("by_size"))  # fewer than h entries
     small = F.array_min(F.transform(F.filter("by_size", lambda x: x["size"] <= F.lit(h) - F.col("size")), lambda x: x["c"]))
-    joined = (with_row(marked, by_size).join(labelled_core.select("sid", "cluster"), "sid", "left").join(border, "sid", "left")
-              .withColumn("cluster", F.coalesce("cluster", F.least("border_cluster", small), F.lit(-1))).select("sid", "cluster", "core"))
-    rows = members.join(joined, "sid").select(F.col("row").alias(id), "cluster", "core")
-    return df.select(id).join(rows, id, "left").withColumns({
-        "cluster": F.coalesce("cluster", F.lit(-1)), "core": F.coalesce("core", F.lit(False))})
+    return (with_row(marked, by_size).join(labelled_core.select("sid", "cluster"), "sid", "left").join(border, "sid", "left")
+            .withColumn("cluster", F.coalesce("cluster", F.least("border_cluster", small), F.lit(-1))).select("sid", "cluster", "core"))
 
 
 def dbscan_points(df: DataFrame, id: str, coordinates: Sequence[str], eps: float, min_samples: int) -> DataFrame:
@@ -247,14 +347,25 @@ def pick_density_run(table: DataFrame, max_noise: float = 0.5) -> DataFrame:
     return table.orderBy(stage, score, "eps").limit(1)
 
 
-def tune_dbscan(df: DataFrame, id: str, items: str, radii: Sequence[float], min_samples: int = 20,
+def tune_dbscan(df: DataFrame, id: str, items: str, radii: Sequence[float] | None = None, min_samples: int = 20,
                 silhouette_of=None) -> DataFrame:
-    """One summary row per radius; `silhouette_of(labels)` scores a labelling (a one-row frame)."""
+    """One summary row per radius; `silhouette_of(labels)` scores a labelling (a one-row frame).
+
+    Without `radii` they are the candidates from the distances to the `min_samples`-th nearest row.  Sets are collapsed once,
+    and links up to the largest listed radius are found once and filtered for the smaller ones.
+    """
+    if radii is None:
+        radii = [r["eps"] for r in eps_candidates(set_k_distances(df, id, items, min_samples)).collect()]  # few: distances are whole numbers
+    sets, members = distinct_sets(df, id, items)
+    listed = max((h for h in map(radius_of, radii) if h <= LISTED_RADIUS), default=-1)
+    near = materialise(set_links(sets, sets, listed)) if listed >= 0 else None
     out = None
     for eps in radii:
-        labels = materialise(dbscan_sets(df, id, items, eps, min_samples))
+        found = cluster_sets(sets, eps, min_samples, near if radius_of(eps) <= LISTED_RADIUS else None)
+        labels = materialise(members.join(found, "sid").select(F.col("row").alias(id), "cluster", "core"))
         row = density_summary(labels, eps)
         score: Column = silhouette_of(labels).scalar() if silhouette_of else F.lit(None).cast("double")
         row = materialise(row.withColumn("silhouette", score))
+        discard(labels)
         out = row if out is None else out.unionByName(row)
     return out

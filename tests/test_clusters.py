@@ -60,7 +60,20 @@ def random_sets(seed, rows, items, p):
     return [[f"i{x}" for x in range(items) if rng.random() < p[x % len(p)]] for _ in range(rows)]
 
 
-@pytest.mark.parametrize("eps, min_samples", [(1.0, 4), (1.5, 6), (2.0, 12)])
+@pytest.mark.parametrize("h, items", [(0, 10), (1, 12), (2, 90), (3, 14), (3, 200)])
+def test_set_links_match_brute_force(spark, h, items):
+    """Few items (masks tell distances) and more than 64 (items do), equal rests, nested sets and one item in every set."""
+    sets = {tuple(sorted(x)) for x in random_sets(h + items, 120, items, [6 / items, 2 / items]) if x}
+    sets |= {tuple(sorted({*x[:-1], "i0"})) for x in sets} | {(*x, "i999") for x in list(sets)[:30]}
+    rows = list(enumerate(sorted(sets)))
+    df, _ = d.distinct_sets(spark.createDataFrame([(i, list(x)) for i, x in rows], "id long, items array<string>"), "id", "items")
+    got = sorted((r["sid"], r["other"], r["distance"], r["ref_size"]) for r in d.set_links(df, df, h).collect())
+    sizes = {i: len(set(x)) for i, x in rows}
+    want = sorted((i, j, len(set(x) ^ set(y)), sizes[j]) for i, x in rows for j, y in rows if set(x) & set(y) and len(set(x) ^ set(y)) <= h)
+    assert got == want
+
+
+@pytest.mark.parametrize("eps, min_samples", [(1.0, 4), (1.5, 6), (2.0, 12), (2.3, 25)])
 def test_dbscan_of_sets_matches_brute_force(spark, eps, min_samples):
     sets = random_sets(int(eps * 10), 260, 12, [0.5, 0.05, 0.1]) + [["i0", "i1"]] * 90 + [["z1"]] * 5 + [["z2", "z3"]] * 5 + [[]] * 3
     df = spark.createDataFrame([(i, x) for i, x in enumerate(sets)], "id long, items array<string>")
