@@ -164,22 +164,30 @@ def star_components(edges: DataFrame, least: int = 100_000) -> DataFrame:
     loose = F.col("u") != F.col("v")
     pairs = materialise(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     links, state = materialise(pairs.filter(loose)), None
+    raised = lambda joined: joined.select(F.col("v").alias("u"), F.col("m").alias("v")).filter(loose).distinct()
     nodes = materialise(pairs.select(F.explode(F.array("u", "v")).alias("u")).distinct())
     discard(pairs)
     while True:
-        both = materialise(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        upward = F.col("v") > F.col("u")
         # Large star: every larger neighbour is linked to the smallest node around.
-        lowest = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count_if(F.col("v") > F.col("u")).alias("n")))
-        upward = both.filter(F.col("v") > F.col("u"))
-        large = materialise(split_join(upward, lowest.filter("n > 0"), "u", "n", least).select(F.col("v").alias("u"), F.col("m").alias("v"))
-                            .filter(loose).distinct())
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.min("u")).alias("m"), F.count_if(upward).alias("n"))
         # Small star: a node and its smaller neighbours are linked to the smallest of them.
-        smallest = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
-        joined = split_join(large, smallest, "u", "n", least)
-        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(smallest.select("u", F.col("m").alias("v")))
+        smallest = lambda large: large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        stored = []
+        if (both.groupBy("u").count().agg(F.max("count")).first()[0] or 0) > least:
+            stored = [both := materialise(both), lowest := materialise(lowest)]
+            large = materialise(raised(split_join(both.filter(upward), lowest.filter("n > 0"), "u", "n", least)))
+            stored += [large, least_of := materialise(smallest(large))]
+            joined = split_join(large, least_of, "u", "n", least)
+        else:  # no node has more than `least` edges, and none gets more by a step
+            large = raised(both.filter(upward).join(lowest.drop("n"), "u"))
+            least_of = smallest(large)
+            joined = large.join(least_of.drop("n"), "u")
+        small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least_of.select("u", F.col("m").alias("v")))
                  .filter(loose).distinct())
         before, links = links, materialise(small)
-        discard(before, both, lowest, large, smallest)
+        discard(before, *stored)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -117,7 +117,7 @@ def tuned_density(t: Tables):
     lists = materialise(baskets(t).filter(F.size("items") > 0))
     vectors = c.multi_hot(lists, "items", BRANDS, "v").select("job_id", "v")
     score = lambda labels: t.spark.createDataFrame([(c.fast_silhouette(vectors.join(labels, "job_id").filter("cluster >= 0"), "v"),)], "silhouette double")
-    table = d.tune_dbscan(lists, "job_id", "items", [1.0, 1.42], 60, score)
+    table = d.tune_dbscan(lists, "job_id", "items", min_samples=60, silhouette_of=score)
     return table.join(d.pick_density_run(table).select("eps", F.lit(True).alias("chosen")), "eps", "left").fillna(False, ["chosen"])
 
 

@@ -63,11 +63,11 @@ def split_join(rows: DataFrame, found: DataFrame, key: str, count: str, least: i
     """
     if clash := (set(rows.columns) & set(found.columns)) - {key}:
         raise ValueError(f"columns {sorted(clash)} would be there twice")
-    total = found.agg(F.sum(count)).first()[0] or 0
-    limit = max(least, total // 1000)
+    total, most = found.agg(F.sum(count), F.max(count)).first()
+    limit = max(least, (total or 0) // 1000)
     hot = found.filter(F.col(count) > limit).drop(count)
     cold = found.filter(F.col(count) <= limit).drop(count)
-    if not hot.limit(1).count():
+    if (most or 0) <= limit:
         return rows.join(cold, key)
     beside = rows.join(F.broadcast(hot), key)
     apart = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
