@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,75 +15,181 @@ from .. import constants as K
 from ..functions.values import share
 from ..scale import col, md5_number, top_per_key, with_row
 
-# A matcher's patterns travel with every task; larger vocabularies use `match_terms`.
-MAX_MATCHER_SIZE = 5_000
+# A matcher's spellings travel with every task, so their size is checked; larger vocabularies use `match_terms`.
+MATCHER_BYTES = 64 << 20
+RUN = re.compile("[a-z0-9]+")
+
+
+def spelling_words(form: str) -> list[str]:
+    """Words of a spelling; between them a text may have blanks, hyphens or nothing."""
+    return [w for w in re.split(r"[\s\-]+", form) if w]
+
+
+def spelling_pattern(forms: Sequence[str]) -> str:
+    """The regex of `functions.text.form_pattern`."""
+    escape = lambda word: re.sub(r"([^a-z0-9])", r"\\\1", word)
+    return "(?<![a-z0-9])(?:" + "|".join(r"[\s\-]*".join(map(escape, spelling_words(f))) for f in forms) + ")(?![a-z0-9])"
+
+
+def alternatives(pattern: str) -> list[str]:
+    """A pattern cut at its outermost bars."""
+    parts, depth, inside, at, start = [], 0, False, 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            at += 1
+        elif inside:
+            inside = c != "]"
+        elif c == "[":
+            inside = True
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            parts.append(pattern[start:at])
+            start = at + 1
+        at += 1
+    return [*parts, pattern[start:]]
+
+
+def anchors(pattern: str) -> set[str] | None:
+    """Letter runs of which every match of the pattern holds at least one; None if the pattern does not tell."""
+    found: set[str] = set()
+    for part in alternatives(pattern):
+        bare = re.sub(r"\[[^\]]*\][?*+]?(?:\{[^}]*\})?\??|\\.[?*+]?", "\0", re.sub(r"\(\?(?:<!|!|<=|=)(?:\[[^\]]*\]|[^()])*\)", "\0", part))
+        outer, groups, depth, start = "", [], 0, 0
+        for at, c in enumerate(bare):
+            if c == "(":
+                if not depth:
+                    start, outer = at, outer + "\0"
+                depth += 1
+            elif c == ")":
+                depth -= 1
+                if not depth and bare[at + 1:at + 2] not in ("?", "*", "{"):
+                    groups.append(bare[start + 1:at].removeprefix("?:"))
+            elif not depth:
+                outer += c
+        runs = re.findall(r"[a-z0-9]{2,}", re.sub(r".[?*]|.\{[^}]*\}", "\0", outer))
+        options = [{max(runs, key=len)}] if runs else [a for a in map(anchors, groups) if a]
+        if not options:
+            return None
+        found |= max(options, key=lambda own: min(map(len, own)))
+    return found
+
+
+def spelt_in(words: Sequence[str], runs: set[str]) -> bool:
+    """Whether some way to join neighbouring words of a spelling gives only letter runs of the text."""
+    reached = {0}
+    for end in range(1, len(words) + 1):
+        if any(start in reached and all(run in runs for run in RUN.findall("".join(words[start:end]))) for start in range(end)):
+            reached.add(end)
+    return len(words) in reached
 
 
 class PhraseMatcher:
-    """Regex matcher for one text: nested phrases first, longest first, each blanked once found."""
+    """Matcher for one text: nested phrases first, longest first, each blanked once found.
+
+    Spellings are indexed by the letter runs they may begin with.  One pass over a text gives its runs; a spelling of one run
+    is found by that alone, and one of several words is searched for only where its runs, with joints or without, are all
+    there.  Patterns that are not made from spellings run where a trie (Aho-Corasick) finds one of their anchors.
+    """
 
     def __init__(self, entries: Sequence[tuple[str, str, Sequence[str]]], exclusions: Mapping[str, str]):
         self.entries = [(skill, pattern, tuple(forms or ())) for skill, pattern, forms in entries]
         self.exclusions = dict(exclusions)
-        special = set(K.SENSE_PATTERNS)
-        self.plain = {skill for skill, pattern, _ in self.entries if skill not in special and pattern.startswith("(?<![a-z0-9])(?:")}
         self._ready = None
 
     def __getstate__(self):
         return {**self.__dict__, "_ready": None}
 
     def _prepare(self):
-        compiled = {skill: re.compile(pattern) for skill, pattern, _ in self.entries}
-        forms = {skill: f for skill, _, f in self.entries}
-        nested = [skill for skill in compiled
-                  if any(other != skill and regex.search(form) for other, regex in compiled.items() for form in forms[skill])]
-        nested.sort(key=lambda s: -max(map(len, forms[s])))
-        rest = [skill for skill in compiled if skill not in set(nested)]
-        # A text without the longest word of any spelling cannot match a pattern built from spellings.
-        hints = {skill: tuple({max(re.split(r"[\s\-]+", f), key=len) for f in forms[skill]}) if skill in self.plain else None
-                 for skill in compiled}
-        excluded = {skill: re.compile(p) for skill, p in self.exclusions.items() if skill in compiled}
-        self._ready = compiled, nested, rest, hints, excluded
+        begins, anchored, always = {}, {}, []
+        for skill, pattern, forms in self.entries:
+            if forms and all(map(spelling_words, forms)) and pattern == spelling_pattern(forms):
+                for form in forms:
+                    words = tuple(spelling_words(form))
+                    if not RUN.search(words[0]):
+                        always.append(skill)
+                        continue
+                    for i in range(1, len(words) + 1):
+                        lead = RUN.search("".join(words[:i])).group()
+                        begins.setdefault(lead, set()).add((skill, words))
+            elif marks := anchors(pattern):
+                for mark in marks:
+                    anchored.setdefault(mark, []).append(skill)
+            else:
+                always.append(skill)
+        trie = ahocorasick.Automaton()
+        for mark, skills in anchored.items():
+            trie.add_word(mark, skills)
+        if len(trie):
+            trie.make_automaton()
+        self._ready = {"begins": begins, "trie": trie, "always": list(dict.fromkeys(always)), "patterns": {skill: pattern for skill, pattern, _ in self.entries}, "compiled": {}}
+        longest, nested = {}, set()
+        for skill, _, forms in self.entries:
+            longest[skill] = max(map(len, forms), default=0)
+            if any(other != skill for form in forms for other in self.hits(form)):
+                nested.add(skill)
+        order = sorted((skill for skill, _, _ in self.entries if skill in nested), key=lambda s: -longest[s])
+        self._ready |= {"nested": order, "place": {s: i for i, s in enumerate(order)}}
         return self._ready
 
+    def _state(self) -> dict:
+        return self._ready or self._prepare()
+
     @property
     def nested(self) -> list[str]:
         """Skills whose spelling contains another skill, in matching order."""
-        return (self._ready or self._prepare())[1]
+        return self._state()["nested"]
+
+    def regex(self, skill: str) -> re.Pattern:
+        compiled = self._state()["compiled"]
+        if skill not in compiled:
+            compiled[skill] = re.compile(self._state()["patterns"][skill])
+        return compiled[skill]
+
+    def hits(self, text: str) -> set[str]:
+        """Skills whose pattern the (lower-case) text holds."""
+        state, runs = self._ready, set(RUN.findall(text))
+        found, tried = set(), set(state["always"])
+        for run in runs & state["begins"].keys():
+            for skill, words in state["begins"][run]:
+                if len(words) == 1 and words[0] == run:
+                    found.add(skill)
+                elif spelt_in(words, runs):
+                    tried.add(skill)
+        if len(state["trie"]):
+            for _, skills in state["trie"].iter(text):
+                tried.update(skills)
+        return found | {skill for skill in tried - found if self.regex(skill).search(text)}
 
     def match(self, text: str | None) -> list[str]:
         """Matched skills in vocabulary order."""
-        compiled, nested, rest, hints, excluded = self._ready or self._prepare()
-        text, found = (text or "").lower(), set()
-
-        def occurs(skill: str) -> bool:
-            hint = hints[skill]
-            if hint is not None and not any(h in text for h in hint):
-                return False
-            searched = excluded[skill].sub(" ", text) if skill in excluded else text
-            return compiled[skill].search(searched) is not None
-
-        for skill in nested:
+        state, text, found, done = self._state(), (text or "").lower(), set(), -1
+        occurs = lambda skill: skill not in self.exclusions or self.regex(skill).search(re.sub(self.exclusions[skill], " ", text)) is not None
+        held = self.hits(text)
+        while later := [place for s in held if (place := state["place"].get(s, -1)) > done]:
+            done = min(later)
+            skill = state["nested"][done]
             if occurs(skill):
                 found.add(skill)
-            hint = hints[skill]
-            if hint is None or any(h in text for h in hint):
-                text = compiled[skill].sub(" ", text)
-        found.update(skill for skill in rest if occurs(skill))
+            text, blanked = self.regex(skill).subn(" ", text)
+            held = self.hits(text) if blanked else held
+        found.update(skill for skill in held if skill not in state["place"] and occurs(skill))
         return [skill for skill, _, _ in self.entries if skill in found]
 
 
 def matcher_from(vocabulary: DataFrame, exclusions: Mapping[str, str] = K.EXCLUSION_PHRASES) -> PhraseMatcher:
     """Collect a vocabulary (skill, pattern, forms, position) of checked size into a matcher."""
-    rows = vocabulary.select("skill", "pattern", "forms", "position").limit(MAX_MATCHER_SIZE + 1).collect()
-    if len(rows) > MAX_MATCHER_SIZE:
-        raise ValueError(f"more than {MAX_MATCHER_SIZE} skills; use match_terms")
-    rows.sort(key=lambda r: r["position"])
+    listed = vocabulary.select("skill", "pattern", "forms", "position")
+    size = listed.agg(F.sum(F.length("skill") + F.length("pattern") + F.length(F.array_join(F.coalesce("forms", F.array()), ";")))).first()[0] or 0
+    if size > MATCHER_BYTES:
+        raise ValueError(f"a vocabulary of {size} characters; use match_terms")
+    rows = sorted(listed.collect(), key=lambda r: r["position"])
     return PhraseMatcher([(r["skill"], r["pattern"], r["forms"]) for r in rows], exclusions)
 
 
 def match_skills(df: DataFrame, text: Column | str, matcher: PhraseMatcher, into: str = "matched_skills") -> DataFrame:
-    """Add the list of matched skills per row (Arrow batches, patterns compiled once per worker)."""
+    """Add the list of matched skills per row (Arrow batches, one index of the spellings per worker)."""
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def matched(texts: pd.Series) -> pd.Series:
         return texts.map(matcher.match)
@@ -101,20 +208,19 @@ TOKEN = r"[\p{L}\p{N}+#]+"
 
 def match_terms(df: DataFrame, id: str, text: Column | str, terms: DataFrame, form: str = "form", term: str = "term",
                 max_words: int | None = None) -> DataFrame:
-    """Distinct (id, term) found by joining word n-grams to spellings; for plain vocabularies of any size.
+    """Distinct (id, term) found by joining words to the first words of spellings; for plain vocabularies of any size.
 
-    A match inside a longer match does not count.  Spellings are words joined by one blank; n-grams are as long as the
-    longest of them, unless `max_words` says otherwise.
+    A match inside a longer match does not count.  Spellings are words joined by one blank, of any length unless `max_words`
+    says otherwise.  Every word goes with as many of its followers as the longest spelling has; the rest of a spelling is
+    compared in the row, where its first word was met.
     """
-    max_words = max_words or terms.agg(F.max(F.size(F.split(form, " ")))).first()[0] or 1
-    words = F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0))
-    tokens = df.select(id, words.alias("__w"))
-    lengths = lambda i: F.sequence(F.lit(1), F.least(F.lit(max_words), F.size("__w") - i))
-    gram = lambda i, n: F.struct(i.alias("at"), n.alias("n"), F.array_join(F.slice("__w", i + 1, n), " ").alias("gram"))
-    grams = tokens.select(id, F.explode(F.flatten(F.transform("__w", lambda _, i: F.transform(
-        lengths(i), lambda n: gram(i, n))))).alias("g")).select(id, "g.*")
-    spellings = terms.select(F.col(form).alias("gram"), F.col(term).alias("term")).distinct()
-    hits = grams.join(spellings, "gram").withColumn("end", F.col("at") + F.col("n"))
+    longest = max_words or terms.agg(F.max(F.size(F.split(form, " ")))).first()[0] or 1
+    spelt = terms.select(F.split(form, " ").alias("words"), F.col(term).alias("term")).distinct().filter(F.size("words") <= longest)
+    first = spelt.select(F.element_at("words", 1).alias("word"), "words", "term")
+    tokens = df.select(id, F.regexp_extract_all(F.lower(col(text)), F.lit(TOKEN), F.lit(0)).alias("w"))
+    placed = tokens.select(id, "w", F.posexplode("w").alias("at", "word")).select(id, "at", "word", F.slice("w", F.col("at") + 1, longest).alias("run"))
+    hits = (placed.join(first, "word").filter(F.slice("run", 1, F.size("words")) == F.col("words"))
+            .select(id, "at", F.size("words").alias("n"), "term").withColumn("end", F.col("at") + F.col("n")))
     # In order of start and falling length, a match is covered when an earlier, longer one reaches as far.
     earlier = (Window.partitionBy(id).orderBy("at", F.col("n").desc(), "term")
                .rowsBetween(Window.unboundedPreceding, -1))

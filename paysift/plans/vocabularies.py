@@ -136,12 +136,13 @@ def item_coverage(t: Tables):
     return m.coverage(baskets(t), "items", ["Brand#1", "Brand#2"]).withColumns({c: r6(c) for c in ("mean_items", "share_any", "share_technical")})
 
 
-@query("I11", """
-    SELECT DISTINCT p_name AS skill FROM part WHERE p_name NOT IN (SELECT p_name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity = 50 AND l_discount > 0.09)""")
+@query("I11", r"""
+    SELECT DISTINCT skill FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}+#]+')) AS skill FROM benchmark)
+    WHERE skill NOT IN (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}+#]+')) FROM documents)""")
 def words_never_matched(t: Tables):
-    sold = t.lineitem.filter((F.col("l_quantity") == 50) & (F.col("l_discount") > 0.09)).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    lists = sold.groupBy("l_orderkey").agg(F.collect_set("p_name").alias("items"))
-    return m.never_matched(lists, "items", t.part.select(F.col("p_name").alias("skill")).distinct())
+    words = F.regexp_extract_all(F.lower("text"), F.lit(m.TOKEN), F.lit(0))
+    lists = t.documents.select(F.array_distinct(words).alias("items"))
+    return m.never_matched(lists, "items", t.benchmark.select(F.explode(words).alias("skill")).distinct())
 
 
 @query("I12")

@@ -1,5 +1,8 @@
 """Vocabulary and text matching on literal cases."""
 
+import random
+import re
+import time
 
 from paysift import constants as K
 from paysift.operators import matching as m
@@ -31,6 +34,59 @@ def test_nested_phrases_are_blanked(spark):
     assert got == [["project management"], ["management", "project management"], ["project management"], []]
 
 
+class PlainMatcher:
+    """Every pattern over every text, as the matcher is defined."""
+
+    def __init__(self, entries, exclusions):
+        self.entries, self.regex = entries, {s: re.compile(p) for s, p, _ in entries}
+        self.excluded = {s: re.compile(p) for s, p in exclusions.items()}
+        self.nested = [s for s, _, forms in entries if any(o != s and r.search(f) for o, r in self.regex.items() for f in forms)]
+        longest = {s: max(map(len, forms)) for s, _, forms in entries}
+        self.nested.sort(key=lambda s: -longest[s])
+
+    def match(self, text):
+        text, found = (text or "").lower(), set()
+        occurs = lambda s: bool(self.regex[s].search(self.excluded[s].sub(" ", text) if s in self.excluded else text))
+        for s in self.nested:
+            found |= {s} if occurs(s) else set()
+            text = self.regex[s].sub(" ", text)
+        found |= {s for s in self.regex if s not in self.nested and occurs(s)}
+        return [s for s, _, _ in self.entries if s in found]
+
+
+def test_trie_agrees_with_every_pattern_over_every_text():
+    rng = random.Random(6)
+    words = ["a", "b", "ab", "data", "c++", "c#", "r", "go", "rust", "base", "database", "x1", "node.js", "ba", "é"]
+    skills = {" ".join(rng.choices(words, k=rng.randrange(1, 4))) for _ in range(60)} | set(K.SENSE_PATTERNS) | set(K.EXCLUSION_PHRASES)
+    entries = [(s, K.SENSE_PATTERNS.get(s) or m.spelling_pattern(forms), forms) for s in sorted(skills) for forms in [[s, *(["-".join(reversed(s.split()))] if rng.random() < 0.3 else [])]]]
+    trie, plain = m.PhraseMatcher(entries, K.EXCLUSION_PHRASES), PlainMatcher(entries, K.EXCLUSION_PHRASES)
+    assert trie.nested == plain.nested
+    more = ["python", "or", "and", "apache", "spark", "driving", "record", "truck", "social", "security", "to", "excel", "strong", "organization", "skills", "golang", ".", ",", "under", "supervision", "reporting", "hugging face", "transformers"]
+    joints = [" ", " ", "-", "", "\u00a0", "\n", " - ", ", "]
+    for _ in range(1500):
+        text = "".join(rng.choice(words + more).upper() + rng.choice(joints) for _ in range(rng.randrange(0, 14)))
+        assert trie.match(text) == plain.match(text), text
+    assert trie.match(None) == []
+
+
+def test_anchors_are_in_every_match():
+    rng = random.Random(2)
+    for skill, pattern in K.SENSE_PATTERNS.items():
+        assert (marks := m.anchors(pattern)) or skill == "r", skill
+    assert m.anchors("(?:ab|cd)?x") is None and m.anchors("(?:abc|de)f{2}") == {"abc", "de"} and m.anchors("[abc]") is None
+    assert m.anchors(r"colou?rs|(?<![a-z])gr[ae]y(?:ish)?") == {"colo", "gr"}
+
+
+def test_fifty_thousand_spellings(spark):
+    rng = random.Random(9)
+    names = sorted({" ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(rng.randrange(1, 4))) for _ in range(50_000)})
+    entries = [(s, m.spelling_pattern([s]), [s]) for s in names]
+    matcher, start = m.PhraseMatcher(entries, {}), time.perf_counter()
+    texts = [" ".join(rng.choices(names, k=30)) for _ in range(100)]
+    found = [matcher.match(t) for t in texts]
+    assert all(len(f) >= 20 for f in found) and time.perf_counter() - start < 60
+
+
 def test_spellings_of_forced_skills(spark):
     assert found(spark, ["kubernetes", "nlp"], ["we use k8s and natural  language processing"]) == [["kubernetes", "nlp"]]
 
@@ -44,6 +100,7 @@ def test_terms_agree_with_the_matcher_on_plain_phrases(spark):
     for row in m.match_terms(df, "id", "t", terms).collect():
         got.setdefault(row["id"], set()).add(row["term"])
     assert got == {0: {"project management"}, 1: {"big data project", "project management", "data"}, 2: {"data", "management"}}
+    assert {(r["id"], r["term"]) for r in m.match_terms(df, "id", "t", terms, max_words=1).collect()} == {(0, "management"), (1, "management"), (1, "data"), (2, "data"), (2, "management")}
 
 
 def test_vocabulary_merges_spellings_and_forces_skills(spark):
