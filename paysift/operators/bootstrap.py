@@ -1,23 +1,28 @@
 """Cluster bootstraps: whole groups are resampled, predictions and rules stay fixed.
 
-Rows are first summed per group; replicates then only reweight these sums.  Draws come
+Rows are first summed per group; replicates then only redraw these sums.  Draws come
 from hashes, so a rerun (or another engine) repeats them exactly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.text import parse_itemset
-from ..scale import materialise, md5_number, ordinal, value_positions
+from ..scale import materialise, md5_number, ordinal
 from .metrics import LABELS, cell_names, confusion_cells, metrics_of_cells
 from .joins import containing
 from .rules import basket_items, with_metrics
 
+# Groups whose sums lie in one row of the second step of a draw.
+BLOCK = 256
+
 
 def index_groups(sums: DataFrame, group: str) -> tuple[DataFrame, int]:
     """Group sums with a dense index `__g` in group order, and the number of groups."""
@@ -25,13 +30,36 @@ def index_groups(sums: DataFrame, group: str) -> tuple[DataFrame, int]:
     return indexed, indexed.count()
 
 
-def draw_weights(df: DataFrame, groups: int, replicates: int, seed: int) -> DataFrame:
-    """How often each replicate draws each group: `groups` draws with replacement per replicate."""
+def block_draws(df: DataFrame, groups: int, replicates: int, seed: int) -> DataFrame:
+    """How many of a replicate's `groups` draws with replacement fall on each block of BLOCK groups.
+
+    Counted where the draws are made, so only replicate and block counts shuffle.
+    """
     draws = df.sparkSession.range(replicates * groups)
     replicate = F.floor(F.col("id") / groups).cast("int")
-    number = md5_number(F.lit(seed), replicate, F.col("id") % groups)
-    return (draws.select(replicate.alias("replicate"), F.pmod(number, F.lit(groups)).alias("__g"))
-            .groupBy("replicate", "__g").agg(F.count(F.lit(1)).alias("__w")))
+    drawn = F.pmod(md5_number(F.lit(seed), replicate, F.col("id") % groups, digits=15), F.lit(groups))
+    return (draws.select(replicate.alias("replicate"), F.floor(drawn / BLOCK).alias("__block"))
+            .groupBy("replicate", "__block").agg(F.count(F.lit(1)).alias("__k")))
+
+
+def resampled(sums: DataFrame, group: str, replicates: int, seed: int) -> DataFrame:
+    """One row per draw: `replicate`, the drawn group's index `__g` and its columns of `sums`, drawn with replacement.
+
+    Two steps of one exact multinomial: draws are counted per block of groups, then a block's draws are dealt to its groups
+    in the row that holds the block.  Nothing shuffles after that, so sums per replicate form before any shuffle.
+    """
+    indexed, groups = index_groups(sums, group)
+    payload = [c for c in sums.columns if c != group]
+    blocks = indexed.groupBy(F.floor(F.col("__g") / BLOCK).alias("__block")).agg(F.array_sort(F.collect_list(F.struct("__g", *payload))).alias("__members"))
+    dealt = blocks.join(block_draws(sums, groups, replicates, seed), "__block").withColumn("__j", F.explode(F.sequence(F.lit(1), F.col("__k"))))
+    at = F.pmod(md5_number(F.lit(seed), F.lit("in"), "replicate", "__block", "__j", digits=15), F.size("__members")).cast("int")
+    return dealt.select("replicate", F.get("__members", at).alias("__m")).select("replicate", "__m.*")
+
+
+def draw_weights(df: DataFrame, groups: int, replicates: int, seed: int) -> DataFrame:
+    """How often each replicate draws each of `groups` groups (`__g` from 0 on)."""
+    drawn = resampled(df.sparkSession.range(groups).select(F.col("id").alias("g")), "g", replicates, seed)
+    return drawn.groupBy("replicate", "__g").agg(F.count(F.lit(1)).alias("__w"))
 
 
 def interval_rows(values: DataFrame, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -49,9 +77,7 @@ def prediction_replicates(df: DataFrame, group: str, actual: str, predicted: str
                           labels: Sequence[str] = LABELS, prefix: str = "") -> DataFrame:
     """Accuracy, macro and per-class F1 of every replicate."""
     sums = df.groupBy(group).agg(*confusion_cells(actual, predicted, labels))
-    indexed, n = index_groups(sums, group)
-    weighted = draw_weights(df, n, replicates, seed).join(indexed, "__g").groupBy("replicate").agg(
-        *[F.sum(F.col("__w") * F.col(c)).alias(c) for _, _, c in cell_names(labels)])
+    weighted = resampled(sums, group, replicates, seed).groupBy("replicate").agg(*[F.sum(c).alias(c) for _, _, c in cell_names(labels)])
     chosen = {k: v for k, v in metrics_of_cells(labels).items() if k in ("accuracy", "macro_f1") or k.startswith("f1_")}
     return weighted.select("replicate", *[v.alias(prefix + k) for k, v in chosen.items()])
 
@@ -73,20 +99,48 @@ def paired_bootstrap(df: DataFrame, group: str, actual: str, baseline: str, cand
 
 
 def auc_bootstrap(df: DataFrame, group: str, actual: str, scores: Mapping[str, str], replicates: int = 200, seed: int = 42) -> DataFrame:
-    """Interval of the macro one-versus-rest AUC, from weighted ranks per replicate and class."""
+    """Interval of the macro one-versus-rest AUC, from weighted ranks per replicate and class.
+
+    Scores are sorted once.  A row brings its group's weights in all replicates; each range of scores adds up weight, positive
+    weight and the area under its own part, and ranges are put together from these sums.
+    """
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(s).cast("double").alias("value"),
                                         (F.col(actual) == c).cast("int").alias("pos")) for c, s in scores.items()]))
     long = df.select(group, rows.alias("r")).groupBy(group, "r.label", "r.value").agg(
         F.count(F.lit(1)).alias("n"), F.sum("r.pos").alias("p"))
-    indexed, n = index_groups(df.select(group).distinct(), group)
-    drawn = draw_weights(df, n, replicates, seed).join(long.join(indexed, group), "__g")
-    weights = materialise(drawn.groupBy("replicate", "label", "value").agg(
-        F.sum(F.col("__w") * F.col("n")).alias("n"), F.sum(F.col("__w") * F.col("p")).alias("p")))
-    ranks = value_positions(weights, "value", ["replicate", "label"], "n")
-    joined = ranks.join(weights.select("replicate", "label", "value", "p"), ["replicate", "label", "value"])
-    p, t = F.sum("p").cast("double"), F.max("total").cast("double")
-    middle = F.sum(F.col("p") * (F.col("before") + F.col("w") / 2.0))
-    per_class = joined.groupBy("replicate", "label").agg(F.try_divide(middle - p * p / 2, p * (t - p)).alias("auc"))
+    indexed, groups = index_groups(df.select(group).distinct(), group)
+    drawn = draw_weights(df, groups, replicates, seed).groupBy("__g").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "__w"))).alias("__weights"))
+    rates = indexed.join(drawn, "__g").select(group, "__weights")  # a group that is never drawn adds nothing
+    ranged = long.join(rates, group).select("label", "value", "n", "p", "__weights").repartitionByRange("label", "value").sortWithinPartitions("label", "value")
+
+    def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Sums over a range of ordered scores; equal scores lie in one range, and their rows may come in several batches."""
+        held: dict[str, list] = {}
+
+        def close(state: list) -> None:
+            state[2] += state[4] * (state[0] + state[3] / 2)
+            state[0] += state[3]
+            state[1] += state[4]
+            state[3], state[4] = np.zeros(replicates), np.zeros(replicates)
+
+        for batch in batches:
+            for label, value, n, p, weights in batch.itertuples(index=False):
+                state = held.setdefault(label, [np.zeros(replicates) for _ in range(5)] + [value, value])
+                if value != state[6]:
+                    close(state)
+                    state[6] = value
+                at, w = np.fromiter(weights.keys(), np.int64, len(weights)), np.fromiter(weights.values(), float, len(weights))
+                state[3][at] += w * n
+                state[4][at] += w * p
+        for label, state in held.items():
+            close(state)
+            yield pd.DataFrame({"label": label, "first": state[5], "replicate": np.arange(replicates), "n": state[0], "p": state[1], "area": state[2]})
+
+    parts = ranged.mapInPandas(areas, "label string, first double, replicate int, n double, p double, area double")
+    earlier = Window.partitionBy("label", "replicate").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    placed = parts.withColumn("area", F.col("area") + F.col("p") * F.coalesce(F.sum("n").over(earlier), F.lit(0.0)))
+    p, t = F.sum("p"), F.sum("n")
+    per_class = placed.groupBy("replicate", "label").agg(F.try_divide(F.sum("area") - p * p / 2, p * (t - p)).alias("auc"))
     macro = per_class.groupBy("replicate").agg(F.when(F.count("auc") == len(scores), F.avg("auc")).alias("roc_auc_ovr"))
     return interval_rows(macro, ["roc_auc_ovr"])
 
@@ -100,10 +154,11 @@ def rule_replicates(df: DataFrame, items: str, group: str, rules: DataFrame, rep
         F.struct(F.lit("b").alias("side"), F.array_union("__a", "__c").alias("set")))).alias("s")).select("antecedents", "consequents", "s.*")
     held = containing(baskets.select(group, items), sides.select("set").distinct(), items, "set").groupBy(group, "set").agg(
         F.count(F.lit(1)).alias("c"))
-    indexed, n = index_groups(baskets.groupBy(group).agg(F.count(F.lit(1)).alias("rows")), group)
-    weights = materialise(draw_weights(df, n, replicates, seed))
-    totals = weights.join(indexed, "__g").groupBy("replicate").agg(F.sum(F.col("__w") * F.col("rows")).alias("n"))
-    counted = weights.join(held.join(indexed.select(group, "__g"), group), "__g").groupBy("replicate", "set").agg(F.sum(F.col("__w") * F.col("c")).alias("c"))
+    counts = held.groupBy(group).agg(F.collect_list(F.struct("set", "c")).alias("counts"))  # one entry per set of the rules
+    sums = baskets.groupBy(group).agg(F.count(F.lit(1)).alias("rows")).join(counts, group, "left")
+    drawn = resampled(sums, group, replicates, seed)
+    totals = drawn.groupBy("replicate").agg(F.sum("rows").alias("n"))
+    counted = drawn.select("replicate", F.explode("counts").alias("e")).groupBy("replicate", "e.set").agg(F.sum("e.c").alias("c"))
     grid = sides.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
     side = lambda s, name: F.coalesce(F.max(F.when(F.col("side") == s, F.col("c"))), F.lit(0)).alias(name)
     wide = grid.join(counted, ["replicate", "set"], "left").groupBy("antecedents", "consequents", "replicate").agg(

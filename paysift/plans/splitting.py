@@ -136,14 +136,16 @@ def connected_documents(t: Tables):
     return s.connected_groups(keyed, "doc_id", ["same_text", "same_shape"]).select("doc_id", "component")
 
 
-REPLICATES = 60
+REPLICATES = 200
 
 
 def draws(groups: str, seed: int, replicates: int = REPLICATES) -> str:
-    """CTEs that index groups and draw them with replacement per replicate."""
+    """CTEs that index groups, draw blocks of 256 of them with replacement per replicate, and deal a block's draws to its groups."""
+    wide = lambda *parts: f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 15) AS BIGINT)"
     return f"""
 indexed AS (SELECT grp, row_number() OVER (ORDER BY grp) - 1 AS g FROM (SELECT DISTINCT {groups} AS grp FROM source)), size AS (SELECT count(*) AS n_groups FROM indexed),
-drawn AS (SELECT r, {number(str(seed), 'r', 'j')} % n_groups AS g FROM (SELECT unnest(range({replicates})) AS r), size, (SELECT unnest(range((SELECT n_groups FROM size))) AS j)),
+blocks AS (SELECT r, ({wide(f"'{seed}'", 'r', 'j')} % n_groups) // 256 AS b, count(*) AS k, any_value(n_groups) AS n_groups FROM (SELECT unnest(range({replicates})) AS r), size, (SELECT unnest(range((SELECT n_groups FROM size))) AS j) GROUP BY ALL),
+drawn AS (SELECT r, b * 256 + {wide(f"'{seed}'", "'in'", 'r', 'b', 'j')} % least(256, n_groups - b * 256) AS g FROM (SELECT *, unnest(range(1, k + 1)) AS j FROM blocks)),
 weights AS (SELECT r, grp, count(*) AS w FROM drawn JOIN indexed USING (g) GROUP BY ALL)"""
 
 
@@ -181,7 +183,7 @@ def paired_intervals(t: Tables):
 
 
 @query("L6", f"""
-    WITH {PREDICTIONS}, source AS (SELECT city AS grp, * FROM predictions), {draws('city', 6, 12)},
+    WITH {PREDICTIONS}, source AS (SELECT city AS grp, * FROM predictions), {draws('city', 6)},
     long AS (SELECT grp, unnest([struct_pack(c := 'Low', v := -priced, p := actual_tier = 'Low'), struct_pack(c := 'Mid', v := -abs(priced - 150000), p := actual_tier = 'Mid'),
       struct_pack(c := 'High', v := priced, p := actual_tier = 'High')]) AS e FROM source),
     vals AS (SELECT r, e.c AS c, e.v AS v, sum(w) AS n, sum(w) FILTER (e.p) AS p FROM weights JOIN long USING (grp) GROUP BY ALL),
@@ -190,7 +192,7 @@ def paired_intervals(t: Tables):
     SELECT 'roc_auc_ovr' AS metric, round(quantile_cont(v, 0.025), 6) AS low, round(quantile_cont(v, 0.975), 6) AS high, count(v) AS defined_replicates FROM macro""")
 def auc_intervals(t: Tables):
     scored = materialise(scored_predictions(t))
-    return rounded_intervals(b.auc_bootstrap(scored, "city", "actual_tier", SCORES, 12, 6))
+    return rounded_intervals(b.auc_bootstrap(scored, "city", "actual_tier", SCORES, REPLICATES, 6))
 
 
 SCORES = {"Low": "score_low", "Mid": "score_mid", "High": "score_high"}

@@ -200,7 +200,7 @@ def with_row(df: DataFrame, row: DataFrame) -> DataFrame:
     return df.select(*kept, row.select(F.struct(*row.columns)).scalar().alias("__row")).select(*kept, "__row.*")
 
 
-def md5_number(*parts: Column | str) -> Column:
-    """A reproducible 32-bit number from the parts; the same formula works in any SQL engine."""
+def md5_number(*parts: Column | str, digits: int = 8) -> Column:
+    """A reproducible number of 4 * `digits` bits (60 at most) from the parts; the same formula works in any SQL engine."""
     text = F.concat_ws("|", *[col(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
