@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .session import scratch_path
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Buckets per factor e in the order-preserving bucket of a number.
 BUCKETS_PER_E = 16_384
 
@@ -27,11 +28,17 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared checkpoint folder and continue from there.
 
     A lost executor then costs a re-read, a plan used twice is computed once, later steps
-    read only their columns, and the optimiser knows the table's size.
+    read only their columns, and the optimiser knows the table's size.  Spark deletes the
+    shuffle files of the step when the table is written, since nothing reads them again.
     """
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    session, path = df.sparkSession, scratch_path(df.sparkSession, "table")
+    kept = session.conf.get(SHUFFLE_CLEANUP, "false")
+    session.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        session.conf.set(SHUFFLE_CLEANUP, kept)
+    stored = session.read.schema(df.schema).parquet(path)
     stored.__dict__["stored_at"] = path
     return stored
 
