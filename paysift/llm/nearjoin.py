@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..scale import materialise
+from ..operators.splits import star_components
+from ..scale import discard, materialise
 from .common import Words, begin, chunk_row, mix, over_texts, sum_chunks, widened
 
 SHINGLE, SIMILARITY = 5, 75  # words; percent
@@ -339,20 +341,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(set_id, component): the smallest id reachable from every id that has a link.
-
-    Each round takes the smallest label among neighbours and then the label of that label, until none changes.
-    """
-    both = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = materialise(both.groupBy(F.col("a").alias("set_id")).agg(F.least(F.min("b"), F.min("a")).alias("component")))
-    while True:
-        near = both.join(labels, both["b"] == labels["set_id"]).groupBy("a").agg(F.min("component").alias("near"))
-        lower = labels.join(near, labels["set_id"] == near["a"]).select("set_id", F.col("component").alias("old"), F.least("component", "near").alias("to"))
-        jump = labels.select(F.col("set_id").alias("to"), F.col("component").alias("further"))
-        moved = materialise(lower.join(jump, "to", "left").select("set_id", "old", F.least("to", "further").alias("component")))
-        labels = moved.select("set_id", "component")
-        if not moved.where(F.col("old") != F.col("component")).limit(1).count():
-            return labels
+    """(set_id, component): the smallest id reachable from every id that has a link."""
+    return materialise(star_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("u").alias("set_id"), F.col("root").alias("component")))
 
 
 def first_pairs(shared: DataFrame) -> DataFrame:
@@ -419,20 +409,33 @@ def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     signed = sets.select("set_id", "tokens").mapInArrow(sign, "set_id long, n_shingles long, signature binary")
     holders = shared.select("set_id").union(shared.where("other IS NOT NULL").select("other")).distinct()
     signatures = materialise(signed.join(holders, "set_id", "left_semi").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    links = materialise(verified(materialise(possible(first_pairs(shared), signatures)), sets))
-    labels, turn = components(links), 0
+    pairs = materialise(possible(first_pairs(shared), signatures))
+    found = [materialise(verified(pairs, sets))]
+    discard(pairs)
+    labels, turn = components(found[0]), 0
+
+    def joined(more: DataFrame) -> DataFrame:
+        """Labels with more links; what is linked already is known by its label."""
+        known = labels.select(F.col("set_id").alias("a"), F.col("component").alias("b"))
+        now = components(known.union(more))
+        discard(labels)
+        return now
+
     while True:
         pairs = materialise(possible(joining_pairs(with_components(shared, labels), turn), signatures))
         more = materialise(verified(pairs, sets))
-        met, found, turn = pairs.count(), more.count(), turn + 1
-        if found:
-            links = materialise(links.union(more).distinct())
-            labels = components(links)
-        if found * SETTLED < met or not found:
+        met, linked, turn = pairs.count(), more.count(), turn + 1
+        discard(pairs)
+        if linked:
+            found.append(more)
+            labels = joined(more)
+        if linked * SETTLED < met or not linked:
             break
     candidates = materialise(block_pairs(open_blocks(with_components(shared, labels), signatures)).distinct())
-    links = materialise(links.union(verified(candidates, sets)).distinct())
-    return links, components(links)
+    discard(shared, signatures)
+    last = materialise(verified(candidates, sets))
+    discard(candidates)
+    return reduce(DataFrame.union, [*found, last]).distinct(), joined(last)
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
