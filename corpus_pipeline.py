@@ -16,7 +16,7 @@ from paysift.llm.nearjoin import near_duplicates
 from paysift.llm.packing import pack
 from paysift.llm.personal import sanitise
 from paysift.llm.queries import table, tokenizer_path
-from paysift.scale import materialise
+from paysift.scale import discard, materialise
 
 
 def slotted(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -71,5 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table, each result stored and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        before, docs = docs, materialise(stage(spark, docs, sf_dir))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
