@@ -6,14 +6,17 @@ None of them gathers a group in one task: each first reduces rows where they lie
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .session import scratch_path
 
+# Stored tables of this process, each with a weak reference to its file list.
+_TABLES: dict = {}
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # Buckets per factor e in the order-preserving bucket of a number.
 BUCKETS_PER_E = 16_384
@@ -40,16 +43,34 @@ def materialise(df: DataFrame) -> DataFrame:
         session.conf.set(SHUFFLE_CLEANUP, kept)
     stored = session.read.schema(df.schema).parquet(path)
     stored.__dict__["stored_at"] = path
+    relation = stored._jdf.queryExecution().analyzed().relation().location()
+    _TABLES[path] = session._jvm.java.lang.ref.WeakReference(relation)
     return stored
 
 
+def sweep(session: SparkSession) -> None:
+    """Delete stored tables that no DataFrame can read any more.
+
+    Every DataFrame made from a stored table holds the table's file list in the JVM; once that is collected, nothing in this
+    session reaches the table.  For steps of a long job whose results are written: what they left goes before the next begins.
+    """
+    gc.collect()
+    session._jvm.System.gc()
+    for path in [p for p, held in _TABLES.items() if held.get() is None]:
+        _delete(session, path)
+
+
+def _delete(session: SparkSession, path: str) -> None:
+    _TABLES.pop(path, None)
+    folder = session._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of `materialise` that nothing reads any more: call it once what was made of them is stored."""
     for table in tables:
         if path := table.__dict__.pop("stored_at", None):
-            session = table.sparkSession
-            folder = session._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+            _delete(table.sparkSession, path)
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

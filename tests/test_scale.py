@@ -1,6 +1,7 @@
 """Building blocks against plain numpy, on skewed data."""
 
 import random
+import time
 from pathlib import Path
 
 import numpy as np
@@ -85,3 +86,16 @@ def test_split_join_and_discarded_tables(spark):
     assert path.exists()
     scale.discard(found, found, rows)
     assert not path.exists()
+
+
+def test_sweep_deletes_only_tables_out_of_reach(spark):
+    kept = scale.materialise(spark.range(5))
+    lost = scale.materialise(spark.range(6))
+    derived, paths = kept.where("id > 1").select("id"), (Path(kept.stored_at), Path(lost.stored_at))
+    del kept, lost
+    for _ in range(20):  # the JVM learns of dropped frames a moment later
+        scale.sweep(spark)
+        if not paths[1].exists():
+            break
+        time.sleep(0.5)
+    assert paths[0].exists() and not paths[1].exists() and derived.count() == 3
