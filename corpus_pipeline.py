@@ -16,11 +16,15 @@ from paysift.llm.nearjoin import near_duplicates
 from paysift.llm.packing import pack
 from paysift.llm.personal import sanitise
 from paysift.llm.queries import table, tokenizer_path
-from paysift.scale import discard, materialise
+from paysift.scale import discard, materialise, sweep
 
 
 def slotted(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """The rows under neutral column names, so no extra column clashes with what an operator adds; and the names by column."""
+    """The rows under neutral column names, so no extra column clashes with what an operator adds; and the names by column.
+
+    What earlier stages left and nothing reads any more is deleted first.
+    """
+    sweep(docs.sparkSession)
     slots = {c: f"slot{i}" for i, c in enumerate(docs.columns)}
     return docs.toDF(*slots.values()), slots
 
@@ -30,11 +34,18 @@ def restored(rows: DataFrame, slots: dict[str, str]) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    A score depends on the text alone, so scores are stored by a 128-bit hash of it and rows are chosen by that: the texts
+    themselves are not stored twice.
+    """
     rows, slots = slotted(docs)
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias(slots["doc_id"]), "quality")
-    scored = score_quality(rows, labels, rows.columns, slots["text"], slots["doc_id"])
-    return restored(scored.where("predicted = 1"), slots)
+    text = F.coalesce(F.col(slots["text"]).cast("string"), F.lit(""))
+    keyed = rows.withColumns({"text_key": F.xxhash64(text), "text_key2": F.xxhash64(F.lit(1), text)})
+    scored = score_quality(keyed, labels, ["text_key", "text_key2"], slots["text"], slots["doc_id"])
+    accepted = scored.where("predicted = 1").select("text_key", "text_key2").distinct()
+    return restored(keyed.join(accepted, ["text_key", "text_key2"], "left_semi"), slots)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +56,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data generalised; n_chars follows the text."""
+    sweep(spark)
     clean = sanitise(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
@@ -58,6 +70,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, each a sequence of a power-of-two length."""
+    sweep(spark)
     return pack(docs, tokenizer_path())
 
 
