@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
@@ -51,18 +52,29 @@ def frequent_itemsets(df: DataFrame, items: str, min_support: float) -> DataFram
 def generate_rules(itemsets: DataFrame, min_confidence: float = K.MIN_CONFIDENCE, min_lift: float = K.MIN_LIFT) -> DataFrame:
     """Every split of every frequent itemset into antecedent and consequent above both (strict) thresholds.
 
-    Each itemset enumerates its proper subsets in the row; their counts come from two
-    joins with the itemset table, keyed by the itemset.
+    Consequents grow by one item a level: a larger consequent leaves a smaller, more frequent antecedent, so only confident
+    splits are extended, by items that are confident consequents themselves.  A level is one join with the itemset table,
+    which must hold every subset of its itemsets, as `frequent_itemsets` does.
     """
-    longer = itemsets.filter(F.col("length") > 1)
-    mask = F.explode(F.sequence(F.lit(1).cast("bigint"), F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("length")) - 2)).alias("mask")
-    part = lambda bit: F.filter("itemset", lambda _, i: F.getbit(F.col("mask"), i) == bit)
-    splits = longer.select("itemset", "freq", "n", mask).select(
-        "itemset", "freq", "n", part(1).alias("antecedent"), part(0).alias("consequent"))
-    counts = itemsets.select("itemset", F.col("freq").alias("f"))
-    a = counts.select(F.col("itemset").alias("antecedent"), F.col("f").alias("antecedent_count"))
-    c = counts.select(F.col("itemset").alias("consequent"), F.col("f").alias("consequent_count"))
-    scored = splits.join(a, "antecedent").join(c, "consequent").select(
+    held = lambda side: itemsets.select(F.col("itemset").alias(side), F.col("freq").alias(f"{side}_count"))
+
+    def confident(splits: DataFrame) -> DataFrame:
+        scored = splits.withColumn("antecedent", F.array_except("itemset", "consequent")).join(held("antecedent"), "antecedent")
+        return materialise(scored.filter(F.try_divide(F.col("freq").cast("double"), F.col("antecedent_count").cast("double")) > min_confidence))
+
+    longer = itemsets.filter(F.col("length") > 1).select("itemset", "freq", "n")
+    first = confident(longer.select("*", F.explode(F.transform("itemset", lambda x: F.array(x))).alias("consequent")))
+    singles = first.groupBy("itemset").agg(F.array_sort(F.flatten(F.collect_list("consequent"))).alias("singles"))  # at most the items of the set
+    found, level = [first], first.join(singles, "itemset")
+    while True:
+        later = F.filter("singles", lambda x: x > F.element_at("consequent", -1))
+        grown = level.select("itemset", "freq", "n", "singles", "consequent", F.explode(later).alias("x")).withColumn("consequent", F.concat("consequent", F.array("x")))
+        level = confident(grown.drop("x").filter(F.size("consequent") < F.size("itemset")))
+        if level.isEmpty():
+            break
+        found.append(level.drop("singles"))
+    splits = reduce(DataFrame.unionByName, found)
+    scored = splits.join(held("consequent"), "consequent").select(
         itemset_text("antecedent").alias("antecedents"), itemset_text("consequent").alias("consequents"), "itemset",
         "antecedent_count", "consequent_count", F.col("freq").alias("itemset_count"), "n")
     return with_metrics(scored).filter((F.col("confidence") > min_confidence) & (F.col("lift") > min_lift))

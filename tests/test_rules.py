@@ -48,6 +48,15 @@ def test_all_splits_match_enumeration(spark):
     assert got == expected
 
 
+def test_rules_of_thirty_items_end(spark):
+    """All splits of one itemset would be a billion; only those with one confident consequent are looked at."""
+    items = [f"i{x:02d}" for x in range(30)]
+    rows = [(items, 10), *[([x for x in items if x != y], 10 if y == "i00" else 100) for y in items], *[([x], 1000) for x in items]]
+    df = spark.createDataFrame([(x, f, 2000, f / 2000, len(x)) for x, f in rows], "itemset array<string>, freq long, n long, support double, length int")
+    got = [(x["consequents"], x["confidence"]) for x in r.generate_rules(df, 0.5, 0.0).collect()]
+    assert got == [("i00", 1.0)]
+
+
 def test_score_rules_with_tiers(spark):
     df = lists(spark, [["a", "b"]] * 2 + [["a"]] + [[]] * 7).withColumn("high", F.col("id").isin(0, *range(3, 10)))
     rule = spark.createDataFrame([("a", "b"), ("a", "zzz")], "antecedents string, consequents string")
