@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import CountVectorizerModel, PCA
@@ -15,9 +16,10 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.values import lookup, share
-from ..scale import grouped_quantiles, materialise, null_safe, top_per_key, with_row
+from ..scale import discard, grouped_quantiles, materialise, null_safe, top_per_key, with_row
 
-MAX_GRAM_ITEMS = 5_000
+# Vectors of a block beyond the wanted ones, which speed up the iteration.
+EXTRA_COMPONENTS = 24
 
 
 def multi_hot(df: DataFrame, items: str, vocabulary: Sequence[str], output: str = "features") -> DataFrame:
@@ -191,36 +193,82 @@ def tfidf_rows(df: DataFrame, id: str, items: str) -> DataFrame:
     return long.join(norms, id).select(id, "item", (F.col("idf") / F.col("norm")).alias("x"))
 
 
-def gram_basis(long: DataFrame, id: str, components: int) -> tuple[list[str], np.ndarray, float]:
-    """Leading right singular vectors of a sparse matrix (id, item, x): items, basis, explained share of squares.
+def column_gram(rows: DataFrame, left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """The small matrix of sums over rows of left_i * right_j; tasks add up their part, one row per cell and task is summed."""
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(left), len(right)))
+        for batch in batches:
+            total += batch[list(left)].to_numpy(float).T @ batch[list(right)].to_numpy(float)
+        i, j = np.indices(total.shape)
+        yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "x": total.ravel()})
 
-    The item-by-item product is summed on the cluster; only that matrix, bounded by the
-    vocabulary, is decomposed on the driver.
+    sums = rows.select(*dict.fromkeys([*left, *right])).mapInPandas(part, "i int, j int, x double").groupBy("i", "j").agg(F.sum("x").alias("x"))
+    out = np.zeros((len(left), len(right)))
+    for r in sums.collect():
+        out[r["i"], r["j"]] = r["x"]
+    return out
+
+
+def combined(rows: DataFrame, key: str, columns: Sequence[str], weights: np.ndarray, prefix: str) -> DataFrame:
+    """`key` and the columns times a small matrix."""
+    names = [f"{prefix}{j}" for j in range(weights.shape[1])]
+
+    def times(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = pd.DataFrame(batch[list(columns)].to_numpy(float) @ weights, columns=names)
+            out.insert(0, key, batch[key].to_numpy())
+            yield out
+
+    schema = ", ".join([f"`{key}` {rows.schema[key].dataType.simpleString()}", *(f"{n} double" for n in names)])
+    return rows.select(key, *columns).mapInPandas(times, schema)
+
+
+def singular_basis(long: DataFrame, id: str, components: int, extra: int = EXTRA_COMPONENTS, tolerance: float = 1e-10, most: int = 100) -> tuple[DataFrame, float]:
+    """(basis, explained): leading right singular vectors (item, b) of a sparse matrix (id, item, x), stored, and their share of squares.
+
+    Block subspace iteration with Rayleigh-Ritz: a block of `components` + `extra` vectors over the items goes through the
+    rows and back, two joins and sums an iteration, until the leading values settle.  The driver sees only products of the
+    block with itself.  Where there are no more items than the block is wide, the first round is exact.
     """
-    names = [r["item"] for r in long.select("item").distinct().orderBy("item").limit(MAX_GRAM_ITEMS + 1).collect()]
-    if len(names) > MAX_GRAM_ITEMS:
-        raise ValueError(f"more than {MAX_GRAM_ITEMS} items")
-    rows = long.groupBy(id).agg(F.array_sort(F.collect_list(F.struct("item", "x"))).alias("e"))  # a row is bounded by the vocabulary
-    products = F.flatten(F.transform("e", lambda a, i: F.transform(F.slice("e", i + 1, F.size("e")), lambda b: F.struct(
-        a["item"].alias("a"), b["item"].alias("b"), (a["x"] * b["x"]).alias("x")))))
-    gram = rows.select(F.explode(products).alias("p")).groupBy("p.a", "p.b").agg(F.sum("p.x").alias("x")).toPandas()
-    place = {n: i for i, n in enumerate(names)}
-    matrix = np.zeros((len(names), len(names)))
-    a, b = gram["a"].map(place).to_numpy(dtype=int), gram["b"].map(place).to_numpy(dtype=int)
-    matrix[a, b] = gram["x"]
-    matrix[b, a] = gram["x"]
-    values, vectors = np.linalg.eigh(matrix)
-    order = np.argsort(values)[::-1][:components]
-    basis = vectors[:, order]
-    basis = basis * np.sign(basis[np.abs(basis).argmax(0), np.arange(basis.shape[1])])  # fixed signs
-    return names, basis, float(values[order].sum() / max(values.sum(), 1e-300))
-
-
-def project(long: DataFrame, id: str, names: Sequence[str], basis: np.ndarray, output: str = "coordinates", unit: bool = False) -> DataFrame:
-    """Coordinates of every row in a basis, optionally scaled to length one."""
-    table = long.sparkSession.createDataFrame([(n, [float(x) for x in basis[i]]) for i, n in enumerate(names)], "item string, b array<double>")
-    parts = long.join(table, "item").select(id, F.posexplode("b").alias("i", "y"), "x").groupBy(id, "i").agg(F.sum(F.col("x") * F.col("y")).alias("y"))
-    rows = parts.groupBy(id).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "y"))), lambda p: p["y"]).alias(output))
+    long = long.select(F.col(id).alias("row"), "item", "x")
+    width = components + extra
+    block = [f"v{j}" for j in range(width)]
+    start = [(F.xxhash64("item", F.lit(j)) / float(1 << 63)).alias(n) for j, n in enumerate(block)]
+    vectors, settled = materialise(long.select("item").distinct().select("item", *start)), None
+    total = long.agg(F.sum(F.col("x") * F.col("x"))).first()[0] or 0.0
+    through = lambda frame, to, names: frame.groupBy(to).agg(*[F.sum(F.col("x") * F.col(n)).alias(n) for n in names])
+    for step in range(most):
+        values, axes = np.linalg.eigh(column_gram(vectors, block, block))
+        kept = values > max(values.max(initial=0.0), 1e-300) * 1e-13
+        names = [f"q{j}" for j in range(int(kept.sum()))]
+        orthonormal = materialise(combined(vectors, "item", block, axes[:, kept] / np.sqrt(values[kept]), "q"))
+        rows = through(long.join(orthonormal, "item"), "row", names)
+        image = materialise(through(long.join(rows, "row"), "item", names))
+        # Ritz values of the block, and the block turned to its Ritz vectors.
+        pairs = orthonormal.join(image.select("item", *[F.col(n).alias(f"z{n}") for n in names]), "item")
+        ritz, turn = np.linalg.eigh(column_gram(pairs, names, [f"z{n}" for n in names]))
+        order = np.argsort(ritz)[::-1]
+        ritz, turn = ritz[order], turn[:, order]
+        leading = ritz[:components]
+        done = step + 1 == most or len(names) < width or (settled is not None and np.abs(leading - settled).max(initial=0.0) <= tolerance * max(leading.max(initial=0.0), 1e-300))
+        if done:
+            break
+        settled = leading
+        before, vectors = vectors, materialise(combined(image, "item", names, turn, "v"))
+        discard(before, orthonormal, image)
+    chosen = turn[:, :components]
+    final = materialise(combined(orthonormal, "item", names, chosen, "b"))
+    columns = [f"b{j}" for j in range(chosen.shape[1])]
+    # Fixed signs: the entry of the largest size is positive.
+    signs = [1.0 if (x or 0.0) >= 0 else -1.0 for x in final.agg(*[F.max_by(c, F.struct(F.round(F.abs(c), 9), "item")) for c in columns]).first()]
+    basis = materialise(final.select("item", F.array(*[F.col(c) * sign for c, sign in zip(columns, signs)]).alias("b")))
+    return basis, float(leading.sum() / max(total, 1e-300))
+
+
+def project(long: DataFrame, id: str, basis: DataFrame, output: str = "coordinates", unit: bool = False) -> DataFrame:
+    """Coordinates of every row in a basis (item, b), optionally scaled to length one."""
+    size = basis.agg(F.max(F.size("b"))).first()[0] or 0
+    rows = long.join(basis, "item").groupBy(id).agg(F.array(*[F.sum(F.col("x") * F.get("b", F.lit(j))) for j in range(size)]).alias(output))
     if not unit:
         return rows
     norm = F.sqrt(F.aggregate(output, F.lit(0.0), lambda s, x: s + x * x))
@@ -230,8 +278,8 @@ def project(long: DataFrame, id: str, names: Sequence[str], basis: np.ndarray, o
 def svd_rows(df: DataFrame, id: str, items: str, components: int = 10, tfidf: bool = True, unit: bool = True) -> DataFrame:
     """TF-IDF (or indicator) rows projected on the leading singular vectors."""
     long = materialise(tfidf_rows(df, id, items) if tfidf else df.select(id, F.explode(F.array_distinct(items)).alias("item"), F.lit(1.0).alias("x")))
-    names, basis, _ = gram_basis(long, id, components)
-    return project(long, id, names, basis, unit=unit)
+    basis, _ = singular_basis(long, id, components)
+    return project(long, id, basis, unit=unit)
 
 
 def compare_representations(df: DataFrame, id: str, items: str, vocabulary: Sequence[str], k: int, restarts: int = 3, seed: int = 42) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators import neighbours as n
 from ..operators import outliers as o
 from ..operators.aggregates import item_shares
 from ..scale import materialise
-from .base import BASKET, EXPERIENCE, JOBS, POSTINGS, baskets, jobs, mining_jobs, postings, r6, with_tier
+from .base import BASKET, EXPERIENCE, JOBS, POSTINGS, basket_rows, baskets, jobs, mining_jobs, postings, r6, with_tier
 from .registry import Tables, query
 
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
@@ -215,6 +215,16 @@ def singular_coordinates(t: Tables):
     return rows.select("job_id", F.transform("coordinates", lambda x: F.round(x, 6)).alias("coordinates"))
 
 
+@query("M11", """
+    WITH RECURSIVE b AS (SELECT DISTINCT l_orderkey AS job_id, p_type AS item FROM lineitem JOIN part ON l_partkey = p_partkey), gram AS (SELECT a.item AS i, b.item AS j, CAST(count(*) AS DOUBLE) AS x FROM b a JOIN b USING (job_id) GROUP BY ALL),
+    m AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(x ORDER BY j) AS r FROM gram GROUP BY i)), it AS (SELECT 0 AS s, (SELECT list_transform(m[1], lambda x: CAST(1 AS DOUBLE)) FROM m) AS v, CAST(0 AS DOUBLE) AS l
+      UNION ALL SELECT s + 1, list_transform(w, lambda c: c / sqrt(list_dot_product(w, w))), sqrt(list_dot_product(w, w)) FROM (SELECT s, list_transform((SELECT m FROM m), lambda r: list_dot_product(r, v)) AS w FROM it WHERE s < 100))
+    SELECT round(l / (SELECT sum(x) FROM gram WHERE i = j), 6) AS leading_share FROM it WHERE s = 100""")
+def leading_share(t: Tables):
+    long = materialise(basket_rows(t, "p_type").select("job_id", "item", F.lit(1.0).alias("x")))
+    return t.spark.createDataFrame([(round(c.singular_basis(long, "job_id", 1)[1], 6),)], "leading_share double")
+
+
 @query("M12")
 def principal_coordinates(t: Tables):
     vectors = materialise(c.vector_column(t.embeddings, "embedding"))

@@ -158,6 +158,20 @@ def test_singular_vectors_match_numpy(spark):
     assert norms == pytest.approx(singular[:3])
 
 
+@pytest.mark.parametrize("extra", [2, 24])
+def test_block_iteration_finds_the_leading_singular_vectors(spark, extra):
+    """A block narrower than the items has to iterate; a wider one is exact at once."""
+    rng = np.random.default_rng(5)
+    matrix = np.maximum(0, rng.normal(0, 1, (80, 3)) @ (rng.normal(0, 1, (3, 14)) * [[4], [2], [1]])).round(3)
+    long = [(i, f"i{j:02d}", float(matrix[i, j])) for i in range(80) for j in range(14) if matrix[i, j]]
+    df = spark.createDataFrame(long, "id long, item string, x double")
+    basis, explained = c.singular_basis(df, "id", 2, extra=extra)
+    got = np.array([r["b"] for r in basis.orderBy("item").collect()])
+    _, singular, vectors = np.linalg.svd(matrix, full_matrices=False)
+    want = vectors[:2].T * np.sign(vectors[:2].T[np.abs(vectors[:2]).argmax(1), [0, 1]])
+    assert got == pytest.approx(want, abs=1e-4) and explained == pytest.approx((singular[:2] ** 2).sum() / (singular ** 2).sum())
+
+
 def test_pca_coordinates_are_centred(spark):
     rng = np.random.default_rng(1)
     df = c.vector_column(points(spark, rng.normal(3, 1, (200, 5)) * [5, 1, 1, 1, 1]), "v")
