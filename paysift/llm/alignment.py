@@ -20,7 +20,7 @@ from .common import begin, over_texts
 # Id pairs looked up in the scan (the most frequent ones; a table of this size at most goes to every task), and steps of a doubling in finding them.
 TABLE, STEPS = 1 << 18, 8
 # Bytes of text aligned at once and links listed at once; one piece of text, or one group, may be larger.
-PIECE_BYTES, LINKS = 4 << 20, 1 << 21
+PIECE_BYTES, LINKS = 1 << 20, 1 << 20
 # Before a blank after a character that is no white space neither tokenizer joins bytes.
 CUT = re.compile(r"(?<=\S)(?= )")
 DIGITS = 7  # of an id
