@@ -7,18 +7,21 @@ hold any share of the data.  Kernels return reduced results, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..scale import materialise, md5_number, top_per_key
+from ..scale import discard, materialise, md5_number, top_per_key
 
 BLOCK = 2_000
-MAX_PIVOTS = 64
+CELL = 16_000
+PIVOTS = 64
+VISITS = 64
+ROUNDING = 1e-9
 
 
 def blocked(queries: DataFrame, refs: DataFrame, key: str, query_id: str, ref_id: str,
@@ -47,54 +50,100 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0.0)
 
 
-def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
+def exact_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Euclidean distances from differences: no cancellation, one column of the result at a time."""
+    return np.stack([np.sqrt(((a - row) ** 2).sum(1)) for row in b], axis=1)
+
+
+def pivot_tree(rows: DataFrame, pivots: int = PIVOTS, cell: int = CELL, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
+    """Cells of at most `cell` rows from distinct `rows` (id, v), and the nodes above them, one table per level.
+
+    Every cell with more rows is split among pivots of its own, as many as its size asks for and at most `pivots`, until none
+    is left: the number of cells grows with the rows, their size does not.  A cell's rows meet its pivots in blocks.  Returns
+    rows (id, v, cell) and nodes (parent, node, centre, n, radius, leaf); with fewer than two pivots there is one cell.
+    """
+    fan = min(pivots, block)
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def assign(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return pd.DataFrame({"id": [], "v": [], "parent": [], "cell": [], "to_centre": []})
+        r = r.sort_values("place").reset_index(drop=True)
+        d = exact_distances(as_matrix(q["v"]), as_matrix(r["v"]))
+        names = r["cell"] + "." + r["place"].astype(str)
+        return pd.DataFrame({"id": q["id"], "v": q["v"], "parent": q["cell"], "cell": names.to_numpy()[d.argmin(1)], "to_centre": d.min(1)})
+
+    current, settled, levels = rows.withColumn("cell", F.lit("")), [], []
+    while True:
+        sizes = materialise(current.groupBy("cell").agg(F.count(F.lit(1)).alias("n")))
+        large = sizes.filter((F.col("n") > cell) & F.lit(fan >= 2))
+        settled.append(current.join(large, "cell", "left_anti").select("id", "v", "cell"))
+        if large.isEmpty():
+            break
+        chosen = top_per_key(current.join(large, "cell"), ["cell"], [md5_number("id", F.lit("pivot")), F.col("id")], fan, "place")
+        chosen = materialise(chosen.filter(F.col("place") <= F.greatest(F.lit(2), F.ceil(2 * F.col("n") / cell))))
+        placed = blocked(current.join(large, "cell", "left_semi").select("id", "v", "cell"), chosen.select("id", "v", "cell", "place"),
+                         "cell", "id", "id", assign, f"id {id_type}, v array<double>, parent string, cell string, to_centre double", block)
+        placed = materialise(placed)
+        extent = placed.groupBy("parent", F.col("cell").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.max("to_centre").alias("radius"))
+        centres = chosen.select(F.concat_ws(".", "cell", "place").alias("node"), F.col("v").alias("centre"))
+        levels.append(materialise(extent.join(centres, "node").withColumn("leaf", F.col("n") <= cell)))
+        current = placed.select("id", "v", "cell")
+    out = settled[0]
+    for part in settled[1:]:
+        out = out.unionByName(part)
+    return materialise(out), levels
+
+
+def cells_in_reach(queries: DataFrame, levels: Sequence[DataFrame], wanted: int, block: int = BLOCK) -> DataFrame:
+    """The cells that may hold one of the `wanted` nearest rows of queries (id, v, own, bound): columns id, cell, lower.
+
+    The tree is walked level by level.  A node is left out where its centre is farther than the bound and its radius; the bound
+    falls to the distance within which the children of one node already hold enough rows.  A query's own cell is left out.
+    """
+    id_type = queries.schema["id"].dataType.simpleString()
+    columns = ["id", "v", "own", "bound", "cell", "lower", "leaf"]
+
+    def descend(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return pd.DataFrame({c: [] for c in columns})
+        r = r.sort_values("node").reset_index(drop=True)
+        d = exact_distances(as_matrix(q["v"]), as_matrix(r["centre"]))
+        radius, sizes = r["radius"].to_numpy(), r["n"].to_numpy()
+        upper = d + radius
+        order = np.argsort(upper, axis=1, kind="stable")
+        held = np.cumsum(sizes[order], axis=1) >= wanted
+        reach = np.where(held.any(1), np.take_along_axis(upper, order, 1)[np.arange(len(q)), held.argmax(1)], np.inf)
+        bound = np.minimum(q["bound"].to_numpy(), reach)
+        lower = np.maximum(d - radius, 0.0)
+        near, which = np.nonzero(lower <= (bound * (1 + ROUNDING))[:, None])
+        found = {c: q[c].to_numpy()[near] for c in ("id", "v", "own")}
+        return pd.DataFrame(found | {"bound": bound[near], "cell": r["node"].to_numpy()[which], "lower": lower[near, which],
+                                     "leaf": r["leaf"].to_numpy()[which]})[columns]
+
+    schema = f"id {id_type}, v array<double>, own string, bound double, cell string, lower double, leaf boolean"
+    at, reached = queries.withColumn("cell", F.lit("")), []
+    for nodes in levels:
+        children = nodes.select(F.col("parent").alias("cell"), "node", "centre", "radius", "n", "leaf")
+        step = materialise(blocked(at, children, "cell", "id", "cell", descend, schema, block))
+        reached.append(step.filter(F.col("leaf") & (F.col("cell") != F.col("own"))).select("id", "cell", "lower"))
+        at = step.filter(~F.col("leaf")).select("id", "v", "own", "bound", "cell")
+    out = reached[0]
+    for part in reached[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int = PIVOTS, cell: int = CELL, block: int = BLOCK) -> DataFrame:
     """The k nearest other rows of every row (Euclidean; ties by id): columns id, neighbour, distance, rank.
 
-    Rows are assigned to the nearest of a few pivots.  A row's k-th distance is bounded by
-    distances through pivots, and cells that lie beyond the bound are skipped.  Among equal
-    vectors only the k+1 smallest ids can be neighbours, so copies do not multiply the work.
+    Distinct vectors form a pivot tree.  A row first meets its own cell, which bounds its k-th distance; the bound prunes the
+    tree level by level, and the cells left are met nearest first, `VISITS` a turn, with the bound of the turn before.  Among
+    equal vectors only the k+1 smallest ids can be neighbours, so copies do not multiply the work.  The driver sees counts only.
     """
     base = materialise(df.select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
                        .withColumn("h", F.sha2(F.to_json("v"), 256)))
-    refs = top_per_key(base, ["h"], [F.col("id")], k + 1)
-    queries = top_per_key(base, ["h"], [F.col("id")], 1)
-    total = queries.count()
-    count = pivots or max(1, min(MAX_PIVOTS, total // block))
-    # At most MAX_PIVOTS vectors travel with the tasks.
-    centres = as_matrix(pd.Series([r["v"] for r in queries.orderBy(md5_number("id", F.lit("pivot")), "id").limit(count).collect()]))
-    if total == 0:
-        return base.sparkSession.createDataFrame([], f"id {base.schema['id'].dataType.simpleString()}, "
-                                                 f"neighbour {base.schema['id'].dataType.simpleString()}, distance double, rank int")
-
-    def place(batches):
-        for batch in batches:
-            d = np.sqrt(squared_distances(as_matrix(batch["v"]), centres))
-            batch["cell"] = d.argmin(1).astype("int32")
-            batch["to_centre"] = d.min(1)
-            yield batch
-
     id_type = base.schema["id"].dataType.simpleString()
-    placed = materialise(refs.mapInPandas(place, f"id {id_type}, v array<double>, h string, cell int, to_centre double"))
-    # Per cell: its radius and its k+1 rows nearest to the pivot (they bound every query's k-th distance).
-    radius = {r["cell"]: r["r"] for r in placed.groupBy("cell").agg(F.max("to_centre").alias("r")).collect()}
-    near: dict[int, list[float]] = {}
-    for row in top_per_key(placed, ["cell"], [F.col("to_centre"), F.col("id")], k + 1).select("cell", "to_centre").collect():
-        near.setdefault(row["cell"], []).append(row["to_centre"])
-    cells = np.array(sorted(radius))
-    radii = np.array([radius[c] for c in cells])
-    offsets = np.concatenate([np.array(near[c]) for c in cells])
-    owner = np.concatenate([np.full(len(near[c]), i) for i, c in enumerate(cells)])
-    wanted = min(k, len(offsets) - 1)
-
-    def route(batches):
-        for batch in batches:
-            d = np.sqrt(squared_distances(as_matrix(batch["v"]), centres[cells]))
-            bound = np.partition(d[:, owner] + offsets[None, :], wanted, axis=1)[:, wanted]
-            hit = (d - radii[None, :]) <= bound[:, None] * (1 + 1e-9) + 1e-6
-            rows, cols = np.nonzero(hit)
-            yield pd.DataFrame({"id": batch["id"].to_numpy()[rows], "v": batch["v"].to_numpy()[rows], "cell": cells[cols].astype("int32")})
-
-    routed = queries.select("id", "v").mapInPandas(route, f"id {id_type}, v array<double>, cell int")
 
     def nearest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
@@ -105,17 +154,40 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int | None = N
         approximate = squared_distances(a, b)
         # Rows within rounding of the cut are all kept; the final ranking uses exact distances.
         cut = np.partition(approximate, take - 1, axis=1)[:, take - 1]
-        rows, cols = np.nonzero(approximate <= cut[:, None] * (1 + 1e-9) + 1e-9)
+        slack = 1e-12 * ((a * a).sum(1) + (b * b).sum(1).max())
+        rows, cols = np.nonzero(approximate <= (cut + slack)[:, None])
         distance = np.sqrt(((a[rows] - b[cols]) ** 2).sum(1))
         return pd.DataFrame({"id": q["id"].to_numpy()[rows], "neighbour": r["id"].to_numpy()[cols], "distance": distance})
 
-    found = blocked(routed, placed.select("id", "v", "cell"), "cell", "id", "id", nearest,
-                    f"id {id_type}, neighbour {id_type}, distance double", block)
-    best = top_per_key(found, ["id"], [F.col("distance"), F.col("neighbour")], k + 1)
-    representative = base.groupBy("h").agg(F.min("id").alias("rep"))
-    members = base.select("id", "h").join(representative, "h").select("id", "rep")
-    spread = members.join(best.withColumnRenamed("id", "rep"), "rep").filter(F.col("id") != F.col("neighbour"))
-    return (top_per_key(spread.drop("rep"), ["id"], [F.col("distance"), F.col("neighbour")], k, "rank")
+    schema = f"id {id_type}, neighbour {id_type}, distance double"
+    order = [F.col("distance"), F.col("neighbour")]
+    single = materialise(top_per_key(base, ["h"], [F.col("id")], 1).select("id", "v"))
+    placed, levels = pivot_tree(single, pivots, cell, block)
+    best = top_per_key(blocked(placed, placed, "cell", "id", "id", nearest, schema, block), ["id"], order, k + 1)
+    if levels:
+        best = materialise(best)
+        bounds = lambda found: found.groupBy("id").agg(F.when(F.count(F.lit(1)) > k, F.max("distance")).otherwise(float("inf")).alias("bound"))
+        queries = placed.withColumnRenamed("cell", "own").join(bounds(best), "id")
+        ranked = Window.partitionBy("id").orderBy("lower", "cell")
+        waiting = materialise(cells_in_reach(queries, levels, k + 1, block)
+                              .withColumn("turn", F.floor((F.row_number().over(ranked) - 1) / VISITS)))
+        turn = 0
+        while True:  # lower bounds rise with the turn, so a query without a cell in reach is done
+            reach = F.col("lower") <= F.col("bound") * (1 + ROUNDING)
+            live = materialise(waiting.filter(F.col("turn") == turn).join(bounds(best), "id").filter(reach).select("id", "cell"))
+            if live.isEmpty():
+                discard(live, waiting)
+                break
+            met = blocked(live.join(placed.select("id", "v"), "id"), placed, "cell", "id", "id", nearest, schema, block)
+            better = materialise(top_per_key(best.unionByName(met), ["id"], order, k + 1))
+            discard(best, live)
+            best, turn = better, turn + 1
+    smallest = base.groupBy("h").agg(F.min("id").alias("rep"))
+    members = materialise(base.select("id", "h").join(smallest, "h").select("id", "rep"))
+    copies = top_per_key(members, ["rep"], [F.col("id")], k + 1).select(F.col("rep").alias("neighbour"), F.col("id").alias("copy"))
+    found = best.join(copies, "neighbour").select(F.col("id").alias("rep"), F.col("copy").alias("neighbour"), "distance")
+    spread = members.join(top_per_key(found, ["rep"], order, k + 1), "rep").filter(F.col("id") != F.col("neighbour"))
+    return (top_per_key(spread.drop("rep"), ["id"], order, k, "rank")
             .select(F.col("id").alias(id), "neighbour", "distance", F.col("rank").cast("int").alias("rank")))
 
 

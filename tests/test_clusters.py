@@ -35,6 +35,42 @@ def test_knn_matches_brute_force_with_copies(spark, cloud, pivots, block):
         assert [(rank, j) for rank, j, _ in sorted(got[i])] == [(r + 1, j) for r, (_, j) in enumerate(order)]
 
 
+@pytest.mark.parametrize("cell, pivots, block, visits", [(16, 5, 11, 2)])
+def test_knn_over_a_deep_pivot_tree(spark, cloud, monkeypatch, cell, pivots, block, visits):
+    """Small cells, many levels and turns; rows far from zero, ties on a grid, and copies."""
+    monkeypatch.setattr(n, "VISITS", visits)
+    grid = np.array([[i, j, 0.0] for i in range(6) for j in range(6)]) + 1e5
+    rows = np.concatenate([cloud[::2], grid, grid[:5], [[1e5, 0.0, 0.0]]])
+    k = 4
+    got = {}
+    for r in n.knn_join(points(spark, rows), "id", "v", k, pivots=pivots, cell=cell, block=block).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
+    distance = np.sqrt(((rows[:, None] - rows[None]) ** 2).sum(2))
+    for i in range(len(rows)):
+        order = sorted((distance[i, j], j) for j in range(len(rows)) if j != i)[:k]
+        assert sorted(got[i]) == [(r + 1, j) for r, (_, j) in enumerate(order)]
+
+
+def test_pivot_tree_cells_are_bounded_and_whole(spark, cloud):
+    rows = points(spark, np.unique(cloud, axis=0))
+    placed, levels = n.pivot_tree(rows, pivots=3, cell=15, block=50)
+    assert len(levels) > 1
+    assert sorted(r["id"] for r in placed.collect()) == sorted(r["id"] for r in rows.collect())
+    assert max(r["count"] for r in placed.groupBy("cell").count().collect()) <= 15
+    centres = {r["node"]: r for level in levels for r in level.collect()}
+    for r in placed.collect():
+        names = r["cell"].split(".")
+        for depth in range(2, len(names) + 1):
+            node = centres[".".join(names[:depth])]
+            assert np.linalg.norm(np.array(r["v"]) - node["centre"]) <= node["radius"]
+
+
+def test_knn_of_few_rows(spark):
+    assert n.knn_join(spark.createDataFrame([], "id long, v array<double>"), "id", "v", 3).count() == 0
+    assert n.knn_join(points(spark, [[1.0, 2.0]]), "id", "v", 3).count() == 0
+    assert [tuple(r) for r in n.knn_join(points(spark, [[0.0], [3.0]]), "id", "v", 3, cell=1, pivots=2).orderBy("id").collect()] == [(0, 1, 3.0, 1), (1, 0, 3.0, 1)]
+
+
 def brute_dbscan(near, weights_core, min_samples):
     """Labels by the textbook procedure, clusters numbered by their smallest core row."""
     core = near.sum(1) >= min_samples
