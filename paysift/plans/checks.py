@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import values
 from ..operators import contracts
 from ..scale import md5_number, with_row
+from ..session import scratch_path
 from ..sources.sinks import file_fingerprints
 from .base import BASKET, JOBS, RAW_PAY, TIERS, basket_rows, baskets, cuts, order_tiers, postings, r6, raw_pay, with_tier
 from .registry import TABLE_NAMES, Tables, query
@@ -102,7 +103,19 @@ def sampled_documents(t: Tables):
 
 @query("D14")
 def file_hashes(t: Tables):
-    return file_fingerprints(t.spark, f"{t.folder}/*.parquet")
+    return file_fingerprints(t.spark, f"{t.folder}/*.parquet").drop("path")
+
+
+@query("D14", """
+    WITH lines AS (SELECT c_nationkey, c_custkey, c_custkey || '|' || c_name AS line FROM customer)
+    SELECT c_nationkey AS nation, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes, sha256(string_agg(line || chr(10), '' ORDER BY c_custkey)) AS sha256 FROM lines GROUP BY 1""")
+def hashes_of_written_files(t: Tables):
+    path = scratch_path(t.spark, "hashed")
+    lines = t.customer.select("c_nationkey", "c_custkey", F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("value"))
+    (lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("value", F.col("c_nationkey").alias("nation"))
+     .write.partitionBy("nation").text(path))
+    nation = F.regexp_extract("path", r"nation=(-?[0-9]+)/part", 1)
+    return file_fingerprints(t.spark, f"{path}/*/part*").select(nation.cast("int").alias("nation"), "bytes", "sha256")
 
 
 @query("D15", f"""

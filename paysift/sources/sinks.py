@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
+import pandas as pd
+from pyarrow import NativeFile
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import join_items
 from ..functions.values import safe_json_number, salary_status
+from ..scale import materialise
+
+CHUNK = 1 << 22
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
@@ -41,19 +49,59 @@ def write_sorted_gzip(df: DataFrame, path: str, key: str, files: int | None = No
      .options(header=True, compression="gzip", nullValue="", emptyValue="").csv(path))
 
 
-def file_fingerprints(spark, path: str) -> DataFrame:
-    """Bytes and SHA-256 of each file."""
+def open_uri(path: str) -> NativeFile:
+    """A file as a stream, by the path that Spark lists (not percent-encoded)."""
+    scheme, rest = path.split(":", 1)
+    system, place = FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/@:')}")
+    return system.open_input_stream(place, compression=None)
+
+
+def file_fingerprints(spark, path: str, streamed: Sequence[str] = ("file",), chunk: int = CHUNK) -> DataFrame:
+    """Path, name, bytes and SHA-256 of each file.
+
+    Spark lists the files without reading them and deals them to tasks.  Files of the `streamed` schemes, which workers open
+    themselves through Arrow, pass through the hash `chunk` bytes at a time, so memory is constant whatever their size; add
+    `hdfs`, `s3` or `gs` where workers have their libraries and credentials.  Files of stores that only Spark reads are one
+    row each, which Spark limits to 2 GB.  Spark does not list empty files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"),
-                        F.sha2("content", 256).alias("sha256"))
+    own = F.substring_index("path", ":", 1).isin(*streamed)
+
+    def stream(batches):
+        for batch in batches:
+            hashes = []
+            for name in batch["path"]:
+                digest = hashlib.sha256()
+                with open_uri(name) as source:
+                    while data := source.read(chunk):
+                        digest.update(data)
+                hashes.append(digest.hexdigest())
+            yield batch.assign(sha256=hashes)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = files.filter(own).select("path", "length").repartition(parts, "path")
+    hashed = listed.mapInPandas(stream, "path string, length long, sha256 string")
+    whole = files.filter(~own).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return hashed.unionByName(whole).select("path", F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), "sha256")
 
 
 def file_manifest(spark, path: str, rows: DataFrame) -> DataFrame:
-    """One manifest row: files, bytes, rows and a hash over the files' hashes in name order."""
-    prints = file_fingerprints(spark, path)
-    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "sha256"))), lambda x: x.sha256), "")
-    return prints.agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
-                      F.sha2(listed, 256).alias("sha256")).withColumn("rows", rows.agg(F.count(F.lit(1))).scalar())
+    """One manifest row: files, bytes, rows and a hash over the files' hashes in name order.
+
+    The sorted hashes stream through one SHA-256 in one task; no list of them is built.
+    """
+    prints = materialise(file_fingerprints(spark, path))
+
+    def fold(batches):
+        digest, files, size = hashlib.sha256(), 0, 0
+        for batch in batches:
+            digest.update("".join(batch["sha256"]).encode())
+            files, size = files + len(batch), size + int(batch["bytes"].sum())
+        yield pd.DataFrame({"files": [files], "bytes": [size], "sha256": [digest.hexdigest()]})
+
+    in_order = prints.select("file", "bytes", "sha256").repartition(1).sortWithinPartitions("file", "sha256")
+    return (in_order.mapInPandas(fold, "files long, bytes long, sha256 string")
+            .withColumn("rows", rows.agg(F.count(F.lit(1))).scalar()))
 
 
 def null_safe_numbers(df: DataFrame) -> DataFrame:

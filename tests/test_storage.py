@@ -1,5 +1,7 @@
 """Sources, sinks, snapshots, star schema and streaming."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,3 +107,18 @@ def test_flattened_postings_tolerate_missing_parts(spark):
     rows = {r["id"]: r for r in readers.flatten_postings(readers.scan_json_pages(spark, path)).collect()}
     assert rows["7"]["locations"] == ["X", "Y"] and rows["7"]["description"] == "Hi & bye" and rows["7"]["description_words"] == 3
     assert rows["8"]["company"] is None and rows["8"]["levels"] == [] and rows["8"]["description_words"] == 0
+
+
+def test_fingerprints_are_those_of_the_bytes(spark, tmp_path):
+    """Odd names, files of many chunks, empty files left out; whether streamed or read whole."""
+    contents = {"a b.bin": bytes(range(256)) * 40, "empty": b"", "50%25é.csv.gz": b"\x1f\x8b no gzip at all\n", "sub/a b.bin": b"\xef\xbb\xbfx\n"}
+    (tmp_path / "sub").mkdir()
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    expected = sorted((name.split("/")[-1], len(data), hashlib.sha256(data).hexdigest()) for name, data in contents.items() if data)
+    for streamed in (("file",), ("other",)):
+        got = sinks.file_fingerprints(spark, str(tmp_path), streamed, chunk=100)
+        assert sorted((r["file"], r["bytes"], r["sha256"]) for r in got.collect()) == expected
+    manifest = sinks.file_manifest(spark, str(tmp_path), spark.range(7)).first()
+    assert manifest["sha256"] == hashlib.sha256("".join(x[2] for x in expected).encode()).hexdigest()
+    assert (manifest["files"], manifest["bytes"], manifest["rows"]) == (3, sum(x[1] for x in expected), 7)
