@@ -6,6 +6,7 @@ import html
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,31 +60,36 @@ class Block:
     text: str
     linked: int
     heading: bool
-    main: bool
+    main: int  # 2 in a main element, 1 in an article only
     place: int
 
+    @cached_property
+    def density(self) -> float:
+        """Share of stop words."""
+        words = WORD.findall(self.text.lower())
+        return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
     def label(self, limits: Limits, region: bool) -> str:
-        """First pass: good, near, short or bad, from the block alone.
+        """First pass: good, near, short or bad, from stop-word density, length and link density of the block.
 
-        Inside a marked main region only links speak against a block; short ones with links stay open.
+        In a trusted main region a block starts as text, so only short links without stop words are bad and what the rules
+        would leave out elsewhere stays open; outside it every block is bad.
         """
         size = len(self.text)
         links = self.linked / size
-        if region:
-            if not self.main:
-                return "bad"
-            if links <= limits.links:
-                return "good"
-            return "short" if links <= 0.5 else "bad"
-        if links > limits.links or "\xa9" in self.text:
+        if region and not self.main:
+            return "bad"
+        if region and (links > limits.links or size < limits.short):
+            return "bad" if links > 0.5 and size < limits.short and self.density < limits.low and not self.heading else "short"
+        if links > limits.links or size <= limits.long and "\xa9" in self.text and not region:
             return "bad"
         if size < limits.short:
             return "bad" if self.linked else "short"
-        words = WORD.findall(self.text.lower())
-        density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if density >= limits.high:
+        if self.density >= limits.high:
             return "good" if size > limits.long else "near"
-        return "near" if density >= limits.low else "bad"
+        if self.density >= limits.low:
+            return "near"
+        return "short" if region else "bad"
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -151,11 +157,14 @@ def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
     """The blocks of a page in order, without what lies outside the main text, and the marked containers; the first is the page."""
     found: list[Block] = []
     places = [Place(0, False)]
-    opened: list[tuple[str, bool, bool, int]] = []  # name, skipped, main, marked container
+    opened: list[tuple[str, bool, int, int]] = []  # name, skipped, main, marked container
     parts: list[str] = []
-    state = {"linked": 0, "heading": False, "main": False, "place": 0, "breaks": 0}
-    skip = main = False
-    link_depth = place = 0
+    state = {"linked": 0, "heading": False, "main": 0, "place": 0, "breaks": 0}
+    where: dict[str, list[int]] = {}  # places of the open elements of a name
+    block_places: list[int] = []  # places of the open elements that end a block
+    skip = False
+    main = link_depth = place = 0
+    skipped_from = -1  # place of the element that opened the skipped part
 
     def flush() -> None:
         text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
@@ -173,10 +182,16 @@ def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
                 state["linked"] += len(SPACES.sub(" ", html.unescape(text)).strip())
 
     def close(index: int) -> None:
-        nonlocal skip, main, place, link_depth
-        link_depth = max(0, link_depth - sum(name == "a" for name, *_ in opened[index:]))
+        nonlocal skip, main, place, link_depth, skipped_from
+        for name, *_ in opened[index:]:
+            where[name].pop()
+            link_depth -= name == "a"
+        while block_places and block_places[-1] >= index:
+            block_places.pop()
+        if skipped_from >= index:
+            skipped_from = -1
         del opened[index:]
-        skip, main, place = opened[-1][1:] if opened else (False, False, 0)
+        skip, main, place = opened[-1][1:] if opened else (False, 0, 0)
 
     at, size, last = 0, len(page), page.rfind(">")
     while at < size:
@@ -213,32 +228,18 @@ def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
         if name in BLOCKS:
             flush()
         if ending:
-            for index in range(len(opened) - 1, -1, -1):
-                if opened[index][0] == name:
-                    if opened[index][3] != (opened[index - 1][3] if index else 0):
-                        flush()
-                    close(index)
-                    break
-                if opened[index][1] and not (index and opened[index - 1][1]) and name not in ("body", "html", "article", "main", "div", "section"):
-                    break  # a stray end tag does not leave a skipped part
+            index = where[name][-1] if where.get(name) else -1
+            # a stray end tag does not leave a skipped part
+            if index >= skipped_from >= 0 or index >= 0 and (skipped_from < 0 or name in ("body", "html", "article", "main", "div", "section")):
+                if opened[index][3] != (opened[index - 1][3] if index else 0):
+                    flush()
+                close(index)
             continue
         if name in VOID or tag.group(3).endswith("/") and name not in BLOCKS:
             continue
-        if name in BLOCKS and opened and opened[-1][0] == "p":
-            close(len(opened) - 1)
-        elif name in BLOCKS and name != "p":
-            for index in range(len(opened) - 1, -1, -1):  # a paragraph left open inside inline elements ends here
-                if opened[index][0] == "p":
-                    close(index)
-                if opened and index < len(opened) and opened[index][0] in BLOCKS:
-                    break
-        elif name == "p":
-            for index in range(len(opened) - 1, -1, -1):
-                if opened[index][0] == "p":
-                    close(index)
-                    break
-                if opened[index][0] in BLOCKS:
-                    break
+        if name in BLOCKS:
+            while block_places and opened[block_places[-1]][0] == "p":  # an open paragraph ends here, also inside inline elements
+                close(block_places[-1])
         if name in ("li", "dt", "dd", "tr", "td", "th") and opened and opened[-1][0] == name:
             close(len(opened) - 1)
         attrs = attributes(tag.group(3)) if tag.group(3) else {}
@@ -252,7 +253,12 @@ def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
                     flush()
             places[place].mains += named_main
             places[place].regions += not main and (named_main or name == "article")
-        main = (main or named_main or name == "article") and not skip
+        main = 0 if skip else 2 if named_main else max(main, int(name == "article"))
+        if skip and skipped_from < 0:
+            skipped_from = len(opened)
+        where.setdefault(name, []).append(len(opened))
+        if name in BLOCKS:
+            block_places.append(len(opened))
         opened.append((name, skip, main, place))
         link_depth += name == "a"
         if name in HEADINGS and not skip:
@@ -261,22 +267,36 @@ def blocks_of(page: str) -> tuple[list[Block], list[Place]]:
     return found, places
 
 
+def trusted_region(blocks: Sequence[Block], limits: Limits) -> bool:
+    """Whether the page marks where its text lies: by a main element, or by articles that are more than a teaser.
+
+    Articles that hold less than a short block in all, beside good text outside them, are teasers.
+    """
+    if any(b.main == 2 for b in blocks):
+        return True
+    inside = sum(len(b.text) for b in blocks if b.main)
+    return inside >= limits.short or inside > 0 and not any(b.label(limits, False) == "good" for b in blocks if not b.main)
+
+
 def classify(blocks: Sequence[Block], limits: Limits) -> list[bool]:
     """Second pass: open blocks take the label of their nearest decided neighbours.
 
     Between two good neighbours a block is good, between two bad ones bad; between a good and a bad one it is good if it is
-    near-good, or a heading with the good one after it.  The ends of a page count as bad.
+    near-good, or a heading with the good one after it.  The ends of a page count as bad.  In a trusted main region the ends
+    of the region count as good, and an open block beside a good one is good.
     """
-    region = any(b.main for b in blocks)
+    region = trusted_region(blocks, limits)
+    edge = "good" if region else "bad"
     labels = [b.label(limits, region) for b in blocks]
-    before, nearest = [], "bad"
-    for label in labels:
+    decided = [label if label in ("good", "bad") and (b.main or not region) else None for b, label in zip(blocks, labels)]
+    before, nearest = [], edge
+    for label in decided:
         before.append(nearest)
-        nearest = label if label in ("good", "bad") else nearest
-    after, nearest = [], "bad"
-    for label in reversed(labels):
+        nearest = label or nearest
+    after, nearest = [], edge
+    for label in reversed(decided):
         after.append(nearest)
-        nearest = label if label in ("good", "bad") else nearest
+        nearest = label or nearest
     after.reverse()
     lone = "good" not in labels and "near" in labels  # no long block at all: near-good ones are the text
     kept = []
@@ -286,7 +306,7 @@ def classify(blocks: Sequence[Block], limits: Limits) -> list[bool]:
         elif left == right:
             kept.append(left == "good" or label == "near" and lone)
         else:
-            kept.append(label == "near" or block.heading and right == "good")
+            kept.append(region or label == "near" or block.heading and right == "good")
     return kept
 
 
@@ -300,12 +320,14 @@ def extract_pages(df: DataFrame, keep: Sequence[str] = ("page_id", "url"), page:
     """The main text of every whole page and its length in code points.
 
     Menus, headers, footers, sidebars and scripts are known by their elements; notices, adverts, reader comments and the like by
-    names in class, id or role, and forms, are left out unless they hold the main text.  What is left is cut into blocks; stop-word density, length and link density decide the clear
-    ones, and short or near-good ones follow their nearest decided neighbours.  Where a page marks its main region, blocks
-    outside it are bad and those inside good unless links fill them.
+    names in class, id or role, and forms, are left out unless they hold the main text.  What is left is cut into blocks;
+    stop-word density, length and link density decide the clear ones, and open ones follow their nearest decided neighbours.
+    Where a page marks its main region (a main element, or articles that are more than a teaser), that is the prior: outside
+    it blocks are bad, inside it blocks without evidence stay open and its ends count as good.
 
     NULL and empty pages, and pages without main text, give an empty text of length 0; unclosed elements, comments and
-    references are read as browsers read them; repeated rows give repeated results; other columns are not read.
+    references are read as browsers read them; a page takes time linear in its length; empty tables give no rows; repeated
+    rows give repeated results; other columns are not read.
     """
     def work(pages: pa.Array) -> dict[str, object]:
         texts = [extract_page(p, limits) for p in pages.to_pylist()]

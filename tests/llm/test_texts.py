@@ -4,6 +4,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from html.parser import HTMLParser
@@ -295,6 +296,61 @@ def test_page_rows(spark):
 
 
 def test_odd_pages_take_linear_time():
-    for page in ("<a " * 100_000, "<" * 100_000, "<p>" * 50_000, "&amp" * 50_000, "<a href='" * 50_000, "</p>" * 50_000, "<!" * 50_000, "<div>" * 3_000):
+    for page in ("<a " * 100_000, "<" * 100_000, "<p>" * 50_000, "&amp" * 50_000, "<a href='" * 50_000, "</p>" * 50_000, "<!" * 50_000, "<div>" * 3_000,
+                 "<b>" * 50_000 + "x</i>" * 50_000, "<b>" * 50_000 + "<div></div>" * 50_000, "<b>" * 50_000 + "<p>x" * 50_000, "<i><nav>" + "<b>" * 50_000 + "x</i>" * 50_000):
+        began = time.monotonic()
         pages.extract_page(page, pages.Limits())
+        assert time.monotonic() - began < 10
     assert html.unescape("&am") == "&am"
+
+
+PLAIN_TEXT = ("It was the year in which the river rose and they had to leave the house by the mill for the hills that lie to the north. " * 3).strip()
+
+
+@pytest.mark.parametrize("page, text", [
+    # a teaser marked as an article does not hide the text beside it
+    (f"<div><article><p>Card text short</p></article></div><p>{PLAIN_TEXT}</p><p>{PLAIN_TEXT}</p>", [PLAIN_TEXT, PLAIN_TEXT]),
+    # a whole paragraph with a copyright sign is text, a short line is not
+    (f"<p>{PLAIN_TEXT}</p><p>\xa9 {PLAIN_TEXT}</p><p>{PLAIN_TEXT}</p><p>\xa9 2020 Firm</p>", [PLAIN_TEXT, "\xa9 " + PLAIN_TEXT, PLAIN_TEXT]),
+    # the references of an article stay, its short menu goes with the separator between its entries
+    (f"<article><p><a>Home</a></p><p>|</p><p><a>About</a></p><p>{PLAIN_TEXT}</p><ul><li><a>The rise of the river and of the mill, volume one</a></li></ul><p>End.</p></article>",
+     [PLAIN_TEXT, "The rise of the river and of the mill, volume one", "End."]),
+    # unknown words inside a region stay, the same outside go
+    (f"<article><h1>Otsikko</h1><p>{'joki nousi ' * 20}</p></article><p>{'joki nousi ' * 20}</p>", ["Otsikko", ("joki nousi " * 20).strip()]),
+])
+def test_region_is_a_prior(page, text):
+    assert pages.extract_page(page, pages.Limits()) == "\n".join(text)
+
+
+def plain_second_pass(blocks, region):
+    """Labels of the second pass, looking for the neighbours of every block anew."""
+    labels = [b.label(pages.Limits(), region) for b in blocks]
+
+    def nearest(places):
+        found = [labels[j] for j in places if labels[j] in ("good", "bad") and (blocks[j].main or not region)]
+        return (found or ["good" if region else "bad"])[0]
+
+    kept = []
+    for i, label in enumerate(labels):
+        before, after = nearest(range(i - 1, -1, -1)), nearest(range(i + 1, len(blocks)))
+        if label in ("good", "bad"):
+            kept.append(label == "good")
+        elif before == after:
+            kept.append(before == "good" or label == "near" and "good" not in labels)
+        else:
+            kept.append(bool(region or label == "near" or blocks[i].heading and after == "good"))
+    return kept
+
+
+def test_two_passes_equal_a_plain_version():
+    source, seen = random.Random(3), set()
+    for _ in range(400):
+        share, blocks = source.choice((0.0, 0.3, 1.0)), []
+        for _ in range(source.randrange(1, 12)):
+            text = source.choice(("Short", PLAIN_TEXT[:110], PLAIN_TEXT, "joki nousi " * 20, "\xa9 Firm"))
+            blocks.append(pages.Block(text, source.choice((0, 0, 0, len(text))), source.random() < 0.2, int(source.random() < share), 0))
+        region = pages.trusted_region(blocks, pages.Limits())
+        kept = pages.classify(blocks, pages.Limits())
+        assert kept == plain_second_pass(blocks, region)
+        seen |= {(region, b.label(pages.Limits(), region)) for b in blocks}
+    assert seen == {(region, label) for region in (True, False) for label in ("good", "near", "short", "bad")}
