@@ -21,7 +21,8 @@ PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø
 # Unicode White_Space; Python's str.split() also cuts at 1C-1F, which the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-REMEMBERED = 1_000_000
+# Bytes a memory may take, the dictionary entry of a word in it, and the longest word it keeps.
+REMEMBERED, ENTRY, LONG = 256 << 20, 200, 64
 
 
 def byte_symbols() -> dict[int, str]:
@@ -36,7 +37,9 @@ class Chunks(dict):
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its chunks in order.
     Plain chunks are cut into the tokenizer's own parts and each part is given to its model once; other chunks go
-    through the whole tokenizer.  Bounded: both memories are emptied when full.
+    through the whole tokenizer.  Bounded: a memory is emptied when it has taken `REMEMBERED` bytes, and chunks and parts
+    above `LONG` characters are not kept, so texts without white space do not fill it.  Vocabularies above 65,536 ids are
+    refused, since ids are kept in 16 bits.
     """
 
     def __init__(self, path: str):
@@ -46,25 +49,36 @@ class Chunks(dict):
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
+        self.codes = [i.to_bytes(2, "little") for i in range(1 << 16)]
         self.parts: dict[str, bytes] = {}
+        self.taken = self.parts_taken = 0
         self.symbols = byte_symbols()
 
     def part(self, part: str) -> bytes:
         named = part if part.isascii() else part.encode().decode("latin-1").translate(self.symbols)
-        self.parts[part] = ids = np.array([t.id for t in self.tokenizer.model.tokenize(named)], "<u2").tobytes()
+        codes = self.codes
+        ids = b"".join([codes[t.id] for t in self.tokenizer.model.tokenize(named)])
+        if len(part) <= LONG:
+            self.parts_taken += ENTRY + len(ids)
+            if self.parts_taken > REMEMBERED:
+                self.parts.clear()
+                self.parts_taken = ENTRY + len(ids)
+            self.parts[part] = ids
         return ids
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(self.parts) >= REMEMBERED:
-            self.parts.clear()
         if PLAIN.fullmatch(chunk):
             known = self.parts.get
             ids = b"".join([known(p) or self.part(p) for p in PARTS.findall(chunk.lower())])
         else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
-        self[chunk] = ids
+            codes = self.codes
+            ids = b"".join([codes[i] for i in self.tokenizer.encode(chunk, add_special_tokens=False).ids])
+        if len(chunk) <= LONG:
+            self.taken += ENTRY + len(ids)
+            if self.taken > REMEMBERED:
+                self.clear()
+                self.taken = ENTRY + len(ids)
+            self[chunk] = ids
         return ids
 
     def ids(self, text: str) -> bytes:

@@ -248,6 +248,18 @@ class Plain(HTMLParser):
             self.parts.append(data)
 
 
+def test_packing_memory_is_bounded(monkeypatch):
+    """Ids are the tokenizer's own while the memories are emptied again and again; long chunks are not kept."""
+    monkeypatch.setattr(packing, "REMEMBERED", 3_000)
+    chunks, draw = packing.Chunks(tokenizer_path()), random.Random(8)
+    words = ["".join(draw.choices("abcdé1'-", k=draw.randrange(1, 9))) for _ in range(300)] + ["x" * 500, "\u6f22\u5b57" * 100]
+    for _ in range(20):
+        text = " ".join(draw.choices(words, k=60))
+        assert chunks.ids(text) == np.array(chunks.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        assert len(chunks) <= 3_000 // packing.ENTRY and len(chunks.parts) <= 3_000 // packing.ENTRY
+        assert not any(len(c) > packing.LONG for c in [*chunks, *chunks.parts])
+
+
 def test_pages_equal_the_article(spark):
     got = {r["page_id"]: r for r in pages.extract_pages(spark.read.parquet("/root/testdata/sf0.001/pages.parquet")).collect()}
     for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect():
