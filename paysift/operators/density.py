@@ -32,7 +32,8 @@ def distinct_sets(df: DataFrame, id: str, items: str) -> tuple[DataFrame, DataFr
                        .withColumn("h", F.sha2(F.to_json("s"), 256)))
     grouped = materialise(rows.groupBy("h").agg(F.min("row").alias("sid"), F.count(F.lit(1)).alias("w"), F.first("s").alias("s")))
     exploded = grouped.select("sid", "w", F.explode("s").alias("item"))
-    ranks = ordinal(exploded.groupBy("item").agg(F.sum("w").alias("n")), ["n", "item"], "rank").select("item", F.col("rank").cast("int").alias("rank"))
+    # Stored, so that Spark knows it for the small side and leaves the exploded sets where they lie.
+    ranks = materialise(ordinal(exploded.groupBy("item").agg(F.sum("w").alias("n")), ["n", "item"], "rank").select("item", F.col("rank").cast("int").alias("rank")))
     bit = F.expr(f"shiftleft(1L, pmod(rank, {MASK_BITS}))")
     ranked = exploded.join(ranks, "item").groupBy("sid").agg(F.array_sort(F.collect_list("rank")).alias("r"), F.first("w").alias("w"), F.bit_or(bit).alias("mask"))
     sets = materialise(ranked.withColumn("size", F.size("r")))
@@ -103,7 +104,8 @@ def set_links(queries: DataFrame, sets: DataFrame, h: int) -> DataFrame:
     b = sets.select(*columns).mapInPandas(keyed(False), schema).alias("b")
     apart = F.bit_count(F.col("a.mask").bitwiseXOR(F.col("b.mask")))
     overlap = F.col("a.mask").bitwiseAND(F.col("b.mask")) != 0
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & ~(F.col("a.shortened") & F.col("b.shortened")) & overlap & (apart <= h) & (F.abs(F.col("a.size") - F.col("b.size")) <= h))
+    # Spark judges a side by the size of the sets, not of their keys, so it is told not to broadcast them.
+    met = a.hint("merge").join(b.hint("merge"), (F.col("a.key") == F.col("b.key")) & ~(F.col("a.shortened") & F.col("b.shortened")) & overlap & (apart <= h) & (F.abs(F.col("a.size") - F.col("b.size")) <= h))
     pairs = met.select(F.col("a.sid").alias("sid"), F.col("b.sid").alias("other"), F.col("b.size").alias("ref_size"), F.col("b.w").alias("weight"), apart.alias("distance")).distinct()
     if (sets.agg(F.max(F.element_at("r", -1))).first()[0] or 0) < MASK_BITS:
         return pairs
