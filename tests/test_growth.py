@@ -1,9 +1,16 @@
 """Plans and steps that must not grow faster than their input."""
 
 import contextlib
+import hashlib
 import io
 
-from paysift.operators import density
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
+
+from paysift.operators import density, neighbours
+from paysift.scale import distinct_rows
+from paysift.sources.sinks import file_fingerprints
 
 
 def plan_of(df) -> str:
@@ -20,3 +27,45 @@ def test_set_keys_are_never_broadcast(spark):
     links = density.set_links(sets, sets, 2)
     assert "BroadcastHashJoin" not in plan_of(links)
     assert sorted((r["sid"], r["other"], r["distance"]) for r in links.collect()) == [(1, 1, 0), (1, 2, 1), (2, 1, 1), (2, 2, 0), (3, 3, 0)]
+
+
+def test_rows_are_sent_to_a_bounded_number_of_blocks(spark):
+    rows = spark.range(60_000).withColumn("key", F.lit(0))
+    kernel = lambda q, r: pd.DataFrame({"q": [len(q)], "r": [len(r)], "most": [len(q) * len(r)]})
+    met = neighbours.blocked(rows, rows, "key", "id", "id", kernel, "q long, r long, most long")
+    sent = met.agg(F.sum("q"), F.sum(F.col("q") * F.col("r")), F.max("most")).first()
+    assert sent[0] <= 60_000 * (neighbours.BLOCKS + 1) and sent[1] == 60_000 ** 2 and sent[2] <= neighbours.BLOCK ** 2
+
+
+def test_cosine_sums_are_linear_and_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    data = [(i % 37, rng.normal(size=4).tolist(), i % 3) for i in range(60)] + [(100, [0.0] * 4, 1)]  # repeated ids, a zero vector
+    sums = neighbours.pairwise_cluster_sums(spark.createDataFrame(data, "id long, v array<double>, label int"), "id", "v", "label", "cosine")
+    assert "CoGroup" not in plan_of(sums)
+    unit = {}
+    for at, (_, v, _) in enumerate(data):
+        unit[at] = np.array(v) / max(np.linalg.norm(v), 1e-300)
+    expected = {}
+    for a, (i, _, own) in enumerate(data):
+        for b, (j, _, other) in enumerate(data):
+            total, n = expected.get((i, own, other), (0.0, 0))
+            expected[i, own, other] = (total + (0.0 if i == j else 1 - unit[a] @ unit[b]), n + 1)
+    got = {(r["id"], r["label"], r["other"]): (r["total"], r["n"]) for r in sums.collect()}
+    assert got.keys() == expected.keys()
+    for k, (total, n) in expected.items():
+        assert got[k][1] == n and abs(got[k][0] - total) < 1e-9
+
+
+def test_streamed_files_are_not_loaded_by_spark(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc" * 1000)
+    prints = file_fingerprints(spark, str(tmp_path))
+    assert "content" not in plan_of(prints)
+    assert [(r["file"], r["bytes"], r["sha256"]) for r in prints.collect()] == [("a.bin", 3000, hashlib.sha256(b"abc" * 1000).hexdigest())]
+
+
+def test_distinct_rows_are_dealt_before_they_are_reduced(spark):
+    rows = spark.range(1000).select((F.col("id") % 300).alias("a"), F.when(F.col("id") % 2 == 0, F.lit("x")).alias("b"))
+    found = distinct_rows(rows, ["a", "b"], held=10)
+    plan = plan_of(found)
+    assert plan.count("Exchange") == 1 and "Exchange" not in plan.split("HashAggregate")[1]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, rows.distinct().collect()), key=str)
