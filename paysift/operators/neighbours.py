@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 from ..scale import discard, materialise, md5_number, top_per_key
 
 BLOCK = 2_000
+# A side of many rows is cut into about this many blocks in all, so rows are sent as often whatever their number, until a block has LARGEST rows.
+BLOCKS = 24
+LARGEST = 16_000
 CELL = 16_000
 PIVOTS = 64
 VISITS = 64
@@ -26,9 +29,17 @@ ROUNDING = 1e-9
 
 def blocked(queries: DataFrame, refs: DataFrame, key: str, query_id: str, ref_id: str,
             kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, block: int = BLOCK) -> DataFrame:
-    """Apply `kernel(query block, reference block)` to every pair of blocks that share a key."""
-    blocks = lambda df, name: df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
-    sizes = materialise(blocks(queries, "__nq").join(blocks(refs, "__nr"), key))
+    """Apply `kernel(query block, reference block)` to every pair of blocks that share a key.
+
+    Every row is sent once for each block of the other side, so blocks grow from `block` rows to LARGEST where a side has more
+    than BLOCKS of them: what is sent grows with the rows.  The kernel meets a large query block in slices, so its matrices
+    have the size of a pair of small blocks.
+    """
+    count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    counts = materialise(count(queries, "__nq").join(count(refs, "__nr"), key))
+    totals = counts.agg(F.sum("__nq"), F.sum("__nr")).first()
+    size = [min(max(block, LARGEST), max(block, -(-(n or 0) // BLOCKS))) for n in totals]
+    sizes = counts.select(key, *[F.ceil(F.col(c) / n).cast("int").alias(c) for c, n in zip(("__nq", "__nr"), size)])
     cut = lambda df, id, n: F.pmod(F.xxhash64(id), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     q = queries.join(sizes, key).withColumn("__q", cut(queries, query_id, "__nq")).withColumn("__r", every("__nr")).drop("__nq", "__nr")
@@ -36,7 +47,17 @@ def blocked(queries: DataFrame, refs: DataFrame, key: str, query_id: str, ref_id
     groups = [key, "__q", "__r"]
     # Fresh column identities: both sides may come from the same frame.
     r = r.select([F.col(c).alias(c) for c in r.columns])
-    return q.groupBy(*groups).cogroup(r.groupBy(*groups)).applyInPandas(kernel, schema)
+    return q.groupBy(*groups).cogroup(r.groupBy(*groups)).applyInPandas(sliced(kernel, block), schema)
+
+
+def sliced(kernel: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], block: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """`kernel` for queries in slices, so that a slice and the references span no more pairs than two blocks of `block` rows."""
+    def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        step = max(1, block * block // max(len(r), 1))
+        if len(q) <= step:
+            return kernel(q, r)
+        return pd.concat([kernel(q.iloc[i:i + step], r) for i in range(0, len(q), step)], ignore_index=True)
+    return run
 
 
 def as_matrix(vectors: pd.Series) -> np.ndarray:
@@ -157,6 +178,9 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int = PIVOTS,
         slack = 1e-12 * ((a * a).sum(1) + (b * b).sum(1).max())
         rows, cols = np.nonzero(approximate <= (cut + slack)[:, None])
         distance = np.sqrt(((a[rows] - b[cols]) ** 2).sum(1))
+        if "bound" in q:  # rows farther than the k+1 found before cannot be neighbours
+            near = distance <= q["bound"].to_numpy()[rows] * (1 + ROUNDING)
+            rows, cols, distance = rows[near], cols[near], distance[near]
         return pd.DataFrame({"id": q["id"].to_numpy()[rows], "neighbour": r["id"].to_numpy()[cols], "distance": distance})
 
     schema = f"id {id_type}, neighbour {id_type}, distance double"
@@ -174,7 +198,7 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int = PIVOTS,
         turn = 0
         while True:  # lower bounds rise with the turn, so a query without a cell in reach is done
             reach = F.col("lower") <= F.col("bound") * (1 + ROUNDING)
-            live = materialise(waiting.filter(F.col("turn") == turn).join(bounds(best), "id").filter(reach).select("id", "cell"))
+            live = materialise(waiting.filter(F.col("turn") == turn).join(bounds(best), "id").filter(reach).select("id", "cell", "bound"))
             if live.isEmpty():
                 discard(live, waiting)
                 break
@@ -215,18 +239,16 @@ def chance_purity(labels: DataFrame, label: str) -> DataFrame:
 def pairwise_cluster_sums(df: DataFrame, id: str, vector: str, label: str, metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
     """Per row and cluster: summed distance to the cluster's rows and their number.
 
-    Quadratic work in fixed-size blocks; callers pass a sample of set size.
+    Euclidean distances are quadratic work in blocks; cosine distances are summed in linear time.
     """
+    if metric == "cosine":
+        return cosine_cluster_sums(df, id, vector, label)
     rows = df.select(F.col(id).alias("id"), F.col(vector).alias("v"), F.col(label).alias("label")).withColumn("key", F.lit(0))
     rows = materialise(rows)
 
     def sums(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         a, b = as_matrix(q["v"]), as_matrix(r["v"])
-        if metric == "cosine":
-            unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-            d = 1.0 - unit(a) @ unit(b).T
-        else:
-            d = np.sqrt(squared_distances(a, b))
+        d = np.sqrt(squared_distances(a, b))
         d[q["id"].to_numpy()[:, None] == r["id"].to_numpy()[None, :]] = 0.0
         out = []
         for c in r["label"].unique():
@@ -241,6 +263,26 @@ def pairwise_cluster_sums(df: DataFrame, id: str, vector: str, label: str, metri
     return parts.groupBy("id", "label", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
+def cosine_cluster_sums(df: DataFrame, id: str, vector: str, label: str) -> DataFrame:
+    """Cosine distances summed as in `pairwise_cluster_sums`: a row's are the cluster's size less its product with the sum of unit vectors.
+
+    Rows of one id are at no distance from each other, so their part is taken off again.
+    """
+    rows = materialise(df.select(F.col(id).alias("id"), F.col(label).alias("label"),
+                                 F.transform(F.col(vector).cast("array<double>"), lambda x: F.coalesce(x, F.lit(float("nan")))).alias("v")))
+    size = rows.agg(F.max(F.size("v"))).first()[0] or 0
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    whole = F.when(F.size("v") == size, F.col("v")).otherwise(F.raise_error(F.lit("vectors differ in length")))
+    summed = lambda c: F.array(*[F.sum(F.get(c, F.lit(j))) for j in range(size)])
+    units = rows.withColumn("v", whole).withColumn("l", F.greatest(F.sqrt(dot("v", "v")), F.lit(1e-300))).withColumn("u", F.transform("v", lambda x: x / F.col("l")))
+    own = materialise(units.groupBy("id", "label").agg(F.count(F.lit(1)).alias("m"), summed("u").alias("u")))
+    clusters = materialise(own.groupBy(F.col("label").alias("other")).agg(F.sum("m").alias("size"), summed("u").alias("s")))
+    every = own.crossJoin(clusters).select("id", "label", "other", (F.col("m") * F.col("size") - dot("u", "s")).alias("total"), (F.col("m") * F.col("size")).alias("n"))
+    alike = own.select("id", F.col("label").alias("other"), F.col("m").alias("size"), F.col("u").alias("s"))
+    alike = own.join(alike, "id").select("id", "label", "other", (dot("u", "s") - F.col("m") * F.col("size")).alias("total"), F.lit(0).cast("bigint").alias("n"))
+    return every.unionByName(alike).groupBy("id", "label", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
 def silhouette_samples(df: DataFrame, id: str, vector: str, label: str, metric: str = "euclidean") -> DataFrame:
     """Silhouette of each row; rows labelled below 0 are left out, clusters of one score 0."""
     sums = pairwise_cluster_sums(df.filter(F.col(label) >= 0), id, vector, label, metric)
