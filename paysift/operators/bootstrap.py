@@ -22,6 +22,10 @@ from .rules import basket_items, with_metrics
 
 # Groups whose sums lie in one row of the second step of a draw.
 BLOCK = 256
+# Weights of groups in replicates that are sent along with a function; more of them travel with the rows.
+SENT_WEIGHTS = 1_000_000
+# Rows that a task weighs at a time.
+WEIGHED = 2_000
 
 
 def index_groups(sums: DataFrame, group: str) -> tuple[DataFrame, int]:
@@ -101,39 +105,64 @@ def paired_bootstrap(df: DataFrame, group: str, actual: str, baseline: str, cand
 def auc_bootstrap(df: DataFrame, group: str, actual: str, scores: Mapping[str, str], replicates: int = 200, seed: int = 42) -> DataFrame:
     """Interval of the macro one-versus-rest AUC, from weighted ranks per replicate and class.
 
-    Scores are sorted once.  A row brings its group's weights in all replicates; each range of scores adds up weight, positive
-    weight and the area under its own part, and ranges are put together from these sums.
+    Scores are sorted once.  A row brings its group's number, or its weights in all replicates where groups are many; each range
+    of scores adds up weight, positive weight and the area under its own part, and ranges are put together from these sums.
     """
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(s).cast("double").alias("value"),
                                         (F.col(actual) == c).cast("int").alias("pos")) for c, s in scores.items()]))
     long = df.select(group, rows.alias("r")).groupBy(group, "r.label", "r.value").agg(
         F.count(F.lit(1)).alias("n"), F.sum("r.pos").alias("p"))
     indexed, groups = index_groups(df.select(group).distinct(), group)
-    drawn = draw_weights(df, groups, replicates, seed).groupBy("__g").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "__w"))).alias("__weights"))
-    rates = indexed.join(drawn, "__g").select(group, "__weights")  # a group that is never drawn adds nothing
+    drawn = draw_weights(df, groups, replicates, seed)
+    sent = None
+    if groups * replicates <= SENT_WEIGHTS:
+        sent = np.zeros((groups, replicates))
+        for r in drawn.collect():
+            sent[r["__g"], r["replicate"]] = r["__w"]
+        rates = indexed.select(group, F.col("__g").alias("__weights"))
+    else:
+        held = drawn.groupBy("__g").agg(F.map_from_entries(F.collect_list(F.struct("replicate", "__w"))).alias("__weights"))
+        rates = indexed.join(held, "__g").select(group, "__weights")  # a group that is never drawn adds nothing
     ranged = long.join(rates, group).select("label", "value", "n", "p", "__weights").repartitionByRange("label", "value").sortWithinPartitions("label", "value")
 
+    def matrix(weights: pd.Series) -> np.ndarray:
+        """One row of weights per row."""
+        if sent is not None:
+            return sent[weights.to_numpy(np.int64)]
+        out = np.zeros((len(weights), replicates))
+        for i, w in enumerate(weights):
+            out[i, np.fromiter(w.keys(), np.int64, len(w))] = np.fromiter(w.values(), float, len(w))
+        return out
+
     def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Sums over a range of ordered scores; equal scores lie in one range, and their rows may come in several batches."""
         held: dict[str, list] = {}
 
-        def close(state: list) -> None:
-            state[2] += state[4] * (state[0] + state[3] / 2)
-            state[0] += state[3]
-            state[1] += state[4]
-            state[3], state[4] = np.zeros(replicates), np.zeros(replicates)
+        def add(state: list, n: np.ndarray, p: np.ndarray) -> None:
+            """Closed scores in order: their weights and positive weights, a row each."""
+            upto = np.cumsum(n, axis=0)
+            state[2] += (p * (state[0] + upto - n / 2)).sum(0)
+            state[0] += upto[-1]
+            state[1] += p.sum(0)
 
         for batch in batches:
-            for label, value, n, p, weights in batch.itertuples(index=False):
-                state = held.setdefault(label, [np.zeros(replicates) for _ in range(5)] + [value, value])
-                if value != state[6]:
-                    close(state)
-                    state[6] = value
-                at, w = np.fromiter(weights.keys(), np.int64, len(weights)), np.fromiter(weights.values(), float, len(weights))
-                state[3][at] += w * n
-                state[4][at] += w * p
+            for start in range(0, len(batch), WEIGHED):
+                for label, rows in batch.iloc[start:start + WEIGHED].groupby("label", sort=False):
+                    value, w = rows["value"].to_numpy(float), matrix(rows["__weights"])
+                    n, p = w * rows["n"].to_numpy(float)[:, None], w * rows["p"].to_numpy(float)[:, None]
+                    state = held.setdefault(label, [np.zeros(replicates) for _ in range(5)] + [value[0], value[0]])
+                    if value[0] == state[6]:
+                        n[0] += state[3]
+                        p[0] += state[4]
+                    else:
+                        add(state, state[3][None], state[4][None])
+                    first = np.concatenate([[0], 1 + np.flatnonzero(value[1:] != value[:-1])])
+                    n, p = np.add.reduceat(n, first, axis=0), np.add.reduceat(p, first, axis=0)
+                    if len(first) > 1:
+                        add(state, n[:-1], p[:-1])
+                    state[3], state[4], state[6] = n[-1], p[-1], value[-1]
         for label, state in held.items():
-            close(state)
+            add(state, state[3][None], state[4][None])
             yield pd.DataFrame({"label": label, "first": state[5], "replicate": np.arange(replicates), "n": state[0], "p": state[1], "area": state[2]})
 
     parts = ranged.mapInPandas(areas, "label string, first double, replicate int, n double, p double, area double")
