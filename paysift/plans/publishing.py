@@ -8,7 +8,7 @@ from ..operators import marts as m
 from ..operators import rules as r
 from ..operators.aggregates import cohort
 from ..operators.windows import dense_index
-from ..scale import materialise
+from ..scale import distinct_rows, materialise
 from ..sources.sinks import export_market, export_titles, join_lists, to_facts_json
 from .base import (BASKET, EVENT_POSTS, JOBS, POSTINGS, SNAPSHOTS, TIERS, baskets, event_posts, jobs, mining_jobs, postings, r6,
                    yearly_snapshots)
@@ -118,9 +118,12 @@ def market_export(t: Tables):
     WITH {MARKET} SELECT source, count(*) AS n, count(DISTINCT (id, date)) AS keys, max(date) AS latest, count(*) FILTER (date = (SELECT max(date) FROM market x WHERE x.source = market.source)) AS latest_rows FROM market GROUP BY 1""")
 def posting_mart_keys(t: Tables):
     rows = materialise(market(t))
-    latest = rows.groupBy("source").agg(F.max("date").alias("latest"))
-    return rows.join(latest, "source").groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id", "date").alias("keys"), F.max("latest").alias("latest"),
-                                                             F.count_if(F.col("date") == F.col("latest")).alias("latest_rows"))
+    days = rows.groupBy("source", "date").agg(F.count(F.lit(1)).alias("n"))
+    latest = days.groupBy("source").agg(F.max("date").alias("latest"))
+    counts = days.join(latest, "source").groupBy("source").agg(F.sum("n").alias("n"), F.max("latest").alias("latest"),
+                                                               F.coalesce(F.sum(F.when(F.col("date") == F.col("latest"), F.col("n"))), F.lit(0)).alias("latest_rows"))
+    keys = distinct_rows(rows.filter("id IS NOT NULL AND date IS NOT NULL"), ["source", "id", "date"]).groupBy("source").agg(F.count(F.lit(1)).alias("keys"))
+    return counts.join(keys, "source", "left").select("source", "n", F.coalesce("keys", F.lit(0)).cast("bigint").alias("keys"), "latest", "latest_rows")
 
 
 @query("N9", f"""
