@@ -6,9 +6,10 @@ import io
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import functions as F
 
-from paysift.operators import bootstrap, density, neighbours
+from paysift.operators import bootstrap, density, models, neighbours
 from paysift.plans import load_all
 from paysift.scale import distinct_rows
 from paysift.sources.sinks import file_fingerprints
@@ -86,3 +87,21 @@ def test_auc_bootstrap_agrees_by_both_ways_of_weights(spark, monkeypatch):
     sent = run()
     monkeypatch.setattr(bootstrap, "SENT_WEIGHTS", 0)
     assert sent == run() and sent[0][3] == 20
+
+
+class Spy(Estimator):
+    """Notes what it is fitted on and adds nothing."""
+
+    seen: list = []
+
+    def _fit(self, dataset):
+        Spy.seen.append((dataset.columns, dataset.storageLevel.useDisk))
+        return PipelineModel([])
+
+
+def test_features_are_kept_while_a_model_is_fitted(spark):
+    jobs = spark.createDataFrame([(["a"], "Unknown", 5, "TX", "X", "t", "c", 0.0), (["b"], "Unknown", 7, None, "Y", "u", "d", 1.0)],
+                                 "matched_skills array<string>, experience_level string, employee_count long, state string, industry string, job_title string, company_name string, label double")
+    fitted = models.with_features([Spy()], ["a", "b"]).fit(jobs)
+    assert Spy.seen == [(["label", "features"], True)]
+    assert models.feature_stage(fitted).feature_names[2:4] == ["skill_a", "skill_b"] and fitted.transform(jobs).count() == 2
