@@ -76,58 +76,86 @@ class MTree:
         return len(self.pages) - 1, radius
 
     def search(self, query: np.ndarray, own: int, k: int, least: float) -> list[tuple[int, int]]:
-        """The k best (score, id) with a score of at least `least`; ties to smaller ids; the own id takes no part.
+        """The k best (score, id) of one query with a score of at least `least`; ties to smaller ids; the own id takes no part."""
+        _, ids, scores = self.search_all(np.reshape(query, (1, -1)), np.array([own], np.int64), k, np.array([least]))
+        return list(zip(scores.tolist(), ids.tolist()))
 
-        Pages wait in a queue by the smallest distance they may hold.  |d(q, parent) - d(object, parent)| - radius is known
-        without a computation and skips entries beyond the k-th distance; only the others are measured.
+    def search_all(self, queries: np.ndarray, own: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, score): the k best of every query with a score of at least its `least` (-inf: any), best first.
+
+        Ties go to smaller ids; a query's own id takes no part.  Pages wait in a queue by the smallest distance that they may
+        hold for one of the queries that wait there, and are read once for all of them.  |d(q, parent) - d(object, parent)| -
+        radius is known without a computation and spares queries and entries beyond the k-th distance; the others are measured
+        together, as products of matrices.
         """
-        if not len(self.ids):
-            return []
-        q = query.astype(np.int64)
+        count = len(queries)
+        if not len(self.ids) or not count:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        q = np.asarray(queries).astype(np.int64)
         qf = q.astype(float)
-        square = float((qf ** 2).sum()) + self.m
-        exact = self.exact and float(np.abs(q).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * max(1, len(q)) < 2 ** 52
-        best: list[tuple[int, int]] = []  # min-heap of (score, -id)
-
-        def limit() -> float:
-            floor = best[0][0] if len(best) == k else least
-            reach = np.sqrt(max(0.0, square - 2 * floor)) if floor != -np.inf else np.inf
-            return reach * (1 + 1e-9) + 1e-3
-
-        def measure(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            dots = self.vectors[rows].astype(float) @ qf if exact else self.vectors[rows] @ q
-            return dots, np.sqrt(np.maximum(0.0, square - 2 * dots.astype(float)))
-
-        to_root = float(measure(np.array([self.root_object]))[1][0])
-        queue = [(max(0.0, to_root - self.radius), 0, self.root, to_root)]
+        square = (qf ** 2).sum(axis=1) + self.m
+        exact = self.exact and float(np.abs(q).max(initial=0)) * float(np.abs(self.vectors).max(initial=0)) * max(1, q.shape[1]) < 2 ** 52
+        ids, scores = np.zeros((count, k), np.int64), np.zeros((count, k), np.int64)
+        held = np.zeros(count, np.int64)  # how many of the k places are taken, best first
+        floor = np.asarray(least, float).copy()
+        asked = np.asarray(own, np.int64)
+
+        def limit(at: np.ndarray) -> np.ndarray:
+            """The distance within which a row can still be among the k best."""
+            reach = np.sqrt(np.maximum(0.0, square[at] - 2 * np.where(floor[at] == -np.inf, 0.0, floor[at])))
+            return np.where(floor[at] == -np.inf, np.inf, reach * (1 + 1e-9) + 1e-3)
+
+        def measure(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            dots = qf[at] @ self.vectors[rows].astype(float).T if exact else q[at] @ self.vectors[rows].T
+            return dots, np.sqrt(np.maximum(0.0, square[at][:, None] - 2 * dots.astype(float)))
+
+        def keep(at: np.ndarray, rows: np.ndarray, dots: np.ndarray, open_: np.ndarray) -> None:
+            found = self.ids[rows]
+            some, which = np.nonzero(open_ & (dots >= floor[at][:, None]) & (asked[at][:, None] != found[None, :]))
+            if not len(some):
+                return
+            touched, first = np.unique(some, return_index=True)
+            for i, a, b in zip(at[touched].tolist(), first.tolist(), [*first[1:].tolist(), len(some)]):
+                n = int(held[i])
+                score = np.concatenate([scores[i, :n], dots[some[a:b], which[a:b]].astype(np.int64)])
+                id = np.concatenate([ids[i, :n], found[which[a:b]]])
+                best = np.lexsort((id, -score))[:k]
+                held[i] = n = len(best)
+                scores[i, :n], ids[i, :n] = score[best], id[best]
+                if n == k:
+                    floor[i] = max(floor[i], float(score[best[-1]]))
+
+        every = np.arange(count)
+        to_root = measure(every, np.array([self.root_object]))[1][:, 0]
+        bound = np.maximum(0.0, to_root - self.radius)
+        queue = [(float(bound.min()), 0, self.root, every, bound, to_root)]
         pushed = 1
         while queue:
-            bound, _, number, parent = heapq.heappop(queue)
-            reach = limit()
-            if bound > reach:
-                break
+            _, _, number, at, bound, parent = heapq.heappop(queue)
+            reach = limit(at)
+            alive = bound <= reach
+            at, parent, reach = at[alive], parent[alive], reach[alive]
+            if not len(at):
+                continue
             leaf, rows, away, radii, children = self.pages[number]
-            gap = np.abs(parent - away) - (0.0 if leaf else radii)
-            open_ = np.flatnonzero(gap <= reach)
-            if not len(open_):
+            open_ = np.abs(parent[:, None] - away[None, :]) - (0.0 if leaf else radii[None, :]) <= reach[:, None]
+            some, entries = open_.any(axis=1), np.flatnonzero(open_.any(axis=0))
+            if not len(entries):
                 continue
-            dots, distances = measure(rows[open_])
+            at, reach, open_ = at[some], reach[some], open_[np.ix_(some, entries)]
+            dots, distances = measure(at, rows[entries])
             if leaf:
-                for score, id in zip(dots.astype(np.int64).tolist(), self.ids[rows[open_]].tolist()):
-                    if id == own or score < least:
-                        continue
-                    entry = (score, -id)
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
+                keep(at, rows[entries], dots, open_)
                 continue
-            for e, d in zip(open_, distances):
-                low = max(0.0, float(d) - float(radii[e]))
-                if low <= reach:
-                    heapq.heappush(queue, (low, pushed, int(children[e]), float(d)))
-                    pushed += 1
-        return [(score, -negative) for score, negative in sorted(best, reverse=True)]
+            low = np.maximum(0.0, distances - radii[entries][None, :])
+            near = open_ & (low <= reach[:, None])
+            for e in np.flatnonzero(near.any(axis=0)).tolist():
+                w = np.flatnonzero(near[:, e])
+                heapq.heappush(queue, (float(low[w, e].min()), pushed, int(children[entries[e]]), at[w], low[w, e], distances[w, e]))
+                pushed += 1
+        place = np.repeat(every, held)
+        taken = np.arange(k)[None, :] < held[:, None]
+        return place, ids[taken], scores[taken]
 
 
 def scaled_vectors(df: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
@@ -152,10 +180,11 @@ def grow_trees(vectors: DataFrame, tree_rows: int, routes: int) -> DataFrame:
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = []
-            for v, dim in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                routing = by_dim.get(dim)
-                cells.append(0 if routing is None or not dim else int(np.argmin(((routing - np.array(v, float)) ** 2).sum(axis=1))))
+            cells, dims = np.zeros(batch.num_rows, np.int64), batch.column(2).to_numpy(zero_copy_only=False)
+            for dim in set(dims[dims > 0].tolist()) & by_dim.keys():
+                at = np.flatnonzero(dims == dim)
+                own, routing = batch.column(1).take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(len(at), dim).astype(float), by_dim[dim]
+                cells[at] = np.argmin((routing ** 2).sum(axis=1)[None, :] - 2 * own @ routing.T, axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], names=["id", "v", "dim", "cell"])
 
     celled = materialise(vectors.mapInArrow(assign, "id long, v array<long>, dim int, cell long").withColumn("row", F.monotonically_increasing_id()))
@@ -175,13 +204,13 @@ def search_blocks(pairs: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score): the k best of each query in each tree it meets; rows hold a tree and a block of queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body, queries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tree, found = MTree.load(body), []
-                for q in queries:
-                    least = -np.inf if q["least"] is None else q["least"]
-                    found += [(q["id"], id, score) for score, id in tree.search(np.array(q["v"], np.int64), q["id"], k, least)]
-                columns = list(zip(*found)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "id", "score"])
+            for body, queries in zip(batch.column(0).to_pylist(), batch.column(1)):
+                asked = queries.values.field  # the structs of the block, as columns
+                ids = asked("id").to_numpy(zero_copy_only=False)
+                least = [-np.inf if x is None else x for x in asked("least").to_pylist()]
+                vectors = asked("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                place, found, scores = MTree.load(body).search_all(vectors, ids, k, np.array(least, float))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids[place], found, scores)], names=["query_id", "id", "score"])
 
     return pairs.select("body", "queries").mapInArrow(run, "query_id long, id long, score long")
 

@@ -196,6 +196,28 @@ def test_bounds_hold_in_every_page():
     assert sorted(below(tree.root)) == list(range(500))
 
 
+def test_a_block_of_queries_reads_a_page_once(monkeypatch):
+    """Many queries cost a tree about as many reads of pages as one of them, and each gets what it gets alone."""
+    draw = np.random.RandomState(9)
+    tree = topk.MTree(np.arange(600), draw.randint(-40, 40, (600, 8)), page=8)
+    queries, own = draw.randint(-40, 40, (90, 8)), np.arange(90)
+
+    class Pages(list):
+        read = 0
+
+        def __getitem__(self, at):
+            Pages.read += 1
+            return super().__getitem__(at)
+
+    tree.pages = Pages(tree.pages)
+    place, ids, scores = tree.search_all(queries, own, 10, np.where(own % 3 == 0, 500.0, -np.inf))
+    assert Pages.read <= len(tree.pages)
+    for i, query in enumerate(queries):
+        dots = tree.vectors @ query
+        best = sorted((-int(d), n) for n, d in enumerate(dots) if n != i and (i % 3 or d >= 500))[:10]
+        assert [(-int(s), int(n)) for s, n in zip(scores[place == i], ids[place == i])] == best
+
+
 # Classifier
 
 def test_held_out_accuracy(spark):
