@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scale import discard, grouped_quantiles, materialise, null_safe, ordinal, with_row
-from .neighbours import as_matrix, blocked, squared_distances
+from .neighbours import as_matrix, blocked
 from .splits import star_components
 
 # Up to this radius (in differing items) sets meet through keys and links are listed; beyond it neighbourhoods are dense.
@@ -292,40 +292,85 @@ def cluster_sets(sets: DataFrame, eps: float, min_samples: int, near: DataFrame
 
 
 def dbscan_points(df: DataFrame, id: str, coordinates: Sequence[str], eps: float, min_samples: int) -> DataFrame:
-    """DBSCAN of points in few dimensions: a point meets the cells of side eps around its own."""
-    axes = list(coordinates)
-    point = F.array(*[F.col(c).cast("double") for c in axes])
+    """DBSCAN of points in few dimensions, by cells so small that their points are all within `eps` of each other.
+
+    A cell with `min_samples` rows holds core points only and needs no distances; of other cells fewer than `min_samples` rows
+    meet the points around, so work grows with the rows.  Core points of a cell are one component.  Two cells are linked by
+    their boxes or their outermost points, and only where those leave it open by the points near the other's box.
+    """
+    axes = range(len(coordinates))
+    point = F.array(*[F.col(c).cast("double") for c in coordinates])
     rows = df.select(F.col(id).cast("bigint").alias("row"), point.alias("v"))
-    stacked = materialise(rows.groupBy("v").agg(F.min("row").alias("pid"), F.count(F.lit(1)).alias("w")))
-    cell = lambda shift: F.concat_ws("_", *[(F.floor(F.get("v", F.lit(i)) / eps) + s).cast("string") for i, s in enumerate(shift)])
+    side, wide = eps / np.sqrt(len(axes)) * (1 - 1e-6), eps * (1 + 1 / np.sqrt(len(axes)))
+    reach = eps * eps * (1 + 1e-12)
+    named = lambda xs: F.concat_ws("_", *[x.cast("string") for x in xs])
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    cell = F.when(finite, named([F.floor(F.get("v", F.lit(i)) / side) for i in axes])).otherwise(F.concat(F.lit("none "), F.col("at")))
+    stacked = rows.groupBy("v").agg(F.min("row").alias("pid"), F.count(F.lit(1)).alias("w")).withColumn("at", F.monotonically_increasing_id())
+    stacked = materialise(stacked.withColumns({"cell": cell, "finite": finite}))
+    box = [f(F.get("v", F.lit(i))).alias(f"{name}{i}") for i in axes for name, f in (("lo", F.min), ("hi", F.max))]
+    gap = lambda a, b: sum(F.pow(F.greatest(F.lit(0.0), b(f"lo{i}") - a(f"hi{i}"), a(f"lo{i}") - b(f"hi{i}")), F.lit(2)) for i in axes)
+    span = lambda a, b: sum(F.pow(F.greatest(b(f"hi{i}") - a(f"lo{i}"), a(f"hi{i}") - b(f"lo{i}")), F.lit(2)) for i in axes)
+    one, two = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
+    at_point = lambda c: F.get("v", F.lit(int(c[2:])))
+
+    cells = materialise(stacked.filter("finite").groupBy("cell").agg(F.sum("w").alias("held"), *box))
     around = np.array(np.meshgrid(*[[-1, 0, 1]] * len(axes))).T.reshape(-1, len(axes)).tolist()
-    own = lambda d: d.withColumn("cell", cell([0] * len(axes)))
-    near_cells = lambda d: d.withColumn("cell", F.explode(F.array(*[cell(s) for s in around])))
+    corner = lambda shift: named([F.floor(F.col(f"lo{i}") / wide) + s for i, s in enumerate(shift)])
+    met = cells.withColumn("corner", F.explode(F.array(*[corner(s) for s in around]))).alias("a").join(
+        cells.withColumn("corner", corner([0] * len(axes))).alias("b"), "corner").filter(gap(one, two) <= reach * (1 + 1e-9))
+    near = materialise(met.select(F.col("a.cell").alias("cell"), F.col("b.cell").alias("other"), F.col("a.held").alias("held")))
 
     def within(q: pd.DataFrame, r: pd.DataFrame) -> np.ndarray:
-        return squared_distances(as_matrix(q["v"]), as_matrix(r["v"])) <= eps * eps * (1 + 1e-12)
+        a, b = as_matrix(q["v"]), as_matrix(r["v"])
+        return sum((a[:, i, None] - b[None, :, i]) ** 2 for i in range(a.shape[1])) <= reach
 
     def count(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
-            return pd.DataFrame({"pid": [], "weight": []})
-        return pd.DataFrame({"pid": q["pid"], "weight": (within(q, r) * r["w"].to_numpy()[None, :]).sum(1)})
+            return pd.DataFrame({"at": [], "weight": []})
+        return pd.DataFrame({"at": q["at"], "weight": (within(q, r) * r["w"].to_numpy()[None, :]).sum(1)})
 
-    degree = blocked(near_cells(stacked), own(stacked), "cell", "pid", "pid", count, "pid bigint, weight bigint").groupBy("pid").agg(
-        F.sum("weight").alias("degree"))
-    marked = materialise(stacked.join(degree, "pid").withColumn("core", F.col("degree") >= min_samples).drop("degree"))
+    def any_near(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return pd.DataFrame({"at": [], "cell": []})
+        return pd.DataFrame({"at": q["at"].to_numpy()[within(q, r).any(1)], "cell": r["cell"].iloc[0]})
+
+    def any_pair(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        linked = not q.empty and not r.empty and within(q, r).any()
+        return pd.DataFrame({"u": q["u"].iloc[:1], "v": q["to"].iloc[:1]} if linked else {"u": [], "v": []})
+
+    meeting = lambda points, pairs: points.join(pairs, "cell").select("at", "v", F.col("other").alias("cell"))
+    few = near.filter(F.col("held") < min_samples).select("cell", "other")
+    degree = blocked(meeting(stacked.select("at", "v", "cell"), few), stacked.select("at", "v", "cell", "w"), "cell", "at", "at", count, "at bigint, weight bigint")
+    degree = degree.groupBy("at").agg(F.sum("weight").alias("degree"))
+    full = cells.filter(F.col("held") >= min_samples).select("cell", F.lit(True).alias("full"))
+    marked = stacked.filter(F.col("pid").isNotNull()).join(full, "cell", "left").join(degree, "at", "left")
+    marked = materialise(marked.withColumn("core", F.coalesce("full", F.lit(False)) | (F.coalesce("degree", F.lit(0)) >= min_samples)).drop("full", "degree"))
     core = marked.filter("core")
 
-    def link(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return pd.DataFrame({"u": [], "v": [], "border": []})
-        return _local_links(within(q, r), q["pid"].to_numpy(), r["pid"].to_numpy(), q["core"].to_numpy(dtype=bool))
-
-    links = materialise(blocked(near_cells(marked), own(core), "cell", "pid", "pid", link, "u bigint, v bigint, border boolean").distinct())
-    labels, _ = _number_clusters(core.withColumnRenamed("pid", "sid"), links, "sid")
-    labels = materialise(labels)
-    border = links.filter("border").join(labels.select(F.col("sid").alias("v"), "cluster"), "v").groupBy(F.col("u").alias("pid")).agg(
-        F.min("cluster").alias("b"))
-    joined = (marked.join(labels.select(F.col("sid").alias("pid"), "cluster"), "pid", "left").join(border, "pid", "left")
+    # Core cells, numbered by their smallest row; with the outermost points along axes and, in few dimensions, diagonals.
+    ways = np.concatenate([np.eye(len(axes)), -np.eye(len(axes)), *([np.array(np.meshgrid(*[[-1, 1]] * len(axes))).T.reshape(-1, len(axes))] if 1 < len(axes) <= 3 else [])])
+    along = lambda way: sum((F.get("v", F.lit(i)) * float(x) for i, x in enumerate(way) if x), F.lit(0.0))
+    ends = F.array_distinct(F.array(*[F.max_by("v", along(way)) for way in ways]))
+    kernels = core.groupBy("cell").agg(F.min("pid").alias("pid"), ends.alias("ends"), *box)
+    kernels = materialise(ordinal(kernels, ["pid", "cell"], "node"))
+    apart = lambda p, q: sum(F.pow(F.get(p, F.lit(i)) - F.get(q, F.lit(i)), F.lit(2)) for i in axes)
+    touching = F.exists("a.ends", lambda p: F.exists("b.ends", lambda q: apart(p, q) <= reach))
+    pairs = (near.select("cell", "other").join(kernels.alias("a"), "cell")
+             .join(kernels.withColumnRenamed("cell", "other").alias("b"), "other").filter((one("node") > two("node")) & (gap(one, two) <= reach * (1 + 1e-9))))
+    boxed = [side_(f"{name}{i}").alias(f"{to}{name}{i}") for to, side_ in (("a", one), ("b", two)) for i in axes for name in ("lo", "hi")]
+    pairs = materialise(pairs.select("cell", "other", one("node").alias("u"), two("node").alias("to"), ((span(one, two) <= reach) | touching).alias("sure"), *boxed))
+    sure, unsure = pairs.filter("sure").select("u", F.col("to").alias("v")), pairs.filter("NOT sure").withColumn("pair", F.concat_ws(" ", "cell", "other"))
+    facing = lambda own, to: (core.select("at", "v", F.col("cell").alias(own)).join(unsure, own)
+                              .filter(gap(at_point, lambda c: F.col(f"{to}{c}")) <= reach * (1 + 1e-9)).select("at", "v", "pair", "u", "to"))
+    found = blocked(facing("cell", "b"), facing("other", "a"), "pair", "at", "at", any_pair, "u bigint, v bigint")
+    links = materialise(sure.unionByName(found).distinct().withColumn("border", F.lit(False)))
+    labels, _ = _number_clusters(kernels, links, "node")
+    labelled = materialise(kernels.select("cell", "node").join(labels, "node").select("cell", "cluster"))
+    edge = meeting(marked.filter(~F.col("core")).select("at", "v", "cell"), near.select("cell", "other"))
+    border = blocked(edge, core.select("at", "v", "cell"), "cell", "at", "at", any_near, "at bigint, cell string")
+    border = border.join(labelled, "cell").groupBy("at").agg(F.min("cluster").alias("b"))
+    joined = (marked.join(labelled.withColumn("core", F.lit(True)), ["cell", "core"], "left").join(border, "at", "left")
               .select("v", F.coalesce("cluster", "b", F.lit(-1)).alias("cluster"), "core"))
     return null_safe(rows, joined, ["v"]).select(F.col("row").alias(id), "cluster", "core")
 

@@ -105,3 +105,24 @@ def test_features_are_kept_while_a_model_is_fitted(spark):
     fitted = models.with_features([Spy()], ["a", "b"]).fit(jobs)
     assert Spy.seen == [(["label", "features"], True)]
     assert models.feature_stage(fitted).feature_names[2:4] == ["skill_a", "skill_b"] and fitted.transform(jobs).count() == 2
+
+
+def test_points_of_full_cells_need_no_distances(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    centres = [(0.0, 0.0), (0.9, 0.2), (6.0, 6.0)]
+    points = [(x + dx, y + dy) for x, y in centres for dx, dy in rng.uniform(0, 0.3, (400, 2))] + [(1.9, 0.3), (2.95, 0.3), (30.0, 1.0)]
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(points)] + [(9000, None, 1.0)], "id long, x double, y double")
+    met = []
+    blocked = density.blocked
+
+    def spy(queries, refs, *rest):
+        met.append(queries.count())
+        return blocked(queries, refs, *rest)
+
+    monkeypatch.setattr(density, "blocked", spy)
+    found = {r["id"]: (r["cluster"], r["core"]) for r in density.dbscan_points(df, "id", ["x", "y"], 1.0, 20).collect()}
+    assert sum(met) < 200  # the lonely points, once for each cell around
+    v = np.array(points)
+    near = ((v[:, None] - v[None]) ** 2).sum(2) <= 1.0
+    assert [found[i][1] for i in range(len(points))] == (near.sum(1) >= 20).tolist()
+    assert [found[i][0] for i in (0, 400, 800, 1200, 1201, 1202, 9000)] == [0, 0, 1, 0, -1, -1, -1] and {c for c, _ in found.values()} == {-1, 0, 1}
