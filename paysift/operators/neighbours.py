@@ -22,6 +22,8 @@ BLOCK = 2_000
 BLOCKS = 24
 LARGEST = 16_000
 CELL = 16_000
+# In so few dimensions few cells are in reach of a row, so cells are small and a row meets few others.
+FLAT, FLAT_CELL = 3, 1_000
 PIVOTS = 64
 VISITS = 64
 ROUNDING = 1e-9
@@ -160,11 +162,14 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int = PIVOTS,
 
     Distinct vectors form a pivot tree.  A row first meets its own cell, which bounds its k-th distance; the bound prunes the
     tree level by level, and the cells left are met nearest first, `VISITS` a turn, with the bound of the turn before.  Among
-    equal vectors only the k+1 smallest ids can be neighbours, so copies do not multiply the work.  The driver sees counts only.
+    equal vectors only the k+1 smallest ids can be neighbours, so copies do not multiply the work.  Cells of points in few
+    dimensions are small.  The driver sees counts only.
     """
     base = materialise(df.select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
                        .withColumn("h", F.sha2(F.to_json("v"), 256)))
     id_type = base.schema["id"].dataType.simpleString()
+    if (base.agg(F.max(F.size("v"))).first()[0] or 0) <= FLAT:
+        cell = min(cell, max(FLAT_CELL, 8 * (k + 1)))
 
     def nearest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:

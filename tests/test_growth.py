@@ -126,3 +126,23 @@ def test_points_of_full_cells_need_no_distances(spark, monkeypatch):
     near = ((v[:, None] - v[None]) ** 2).sum(2) <= 1.0
     assert [found[i][1] for i in range(len(points))] == (near.sum(1) >= 20).tolist()
     assert [found[i][0] for i in (0, 400, 800, 1200, 1201, 1202, 9000)] == [0, 0, 1, 0, -1, -1, -1] and {c for c, _ in found.values()} == {-1, 0, 1}
+
+
+def test_points_in_few_dimensions_meet_few_others(spark, monkeypatch):
+    most = []
+    tree = neighbours.pivot_tree
+
+    def spy(*args):
+        placed, levels = tree(*args)
+        most.append(placed.groupBy("cell").count().agg(F.max("count")).first()[0])
+        return placed, levels
+
+    monkeypatch.setattr(neighbours, "pivot_tree", spy)
+    monkeypatch.setattr(neighbours, "FLAT_CELL", 100)
+    flat = np.random.default_rng(12).uniform(0, 9, (600, 2)).round(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(flat)], "id long, v array<double>")
+    found = {(r["id"], r["rank"]): r["neighbour"] for r in neighbours.knn_join(df, "id", "v", 5).collect()}
+    assert most[0] <= 100
+    for i in range(0, 600, 37):
+        d = np.sqrt(((flat - flat[i]) ** 2).sum(1))
+        assert [found[i, r + 1] for r in range(5)] == [n for _, n in sorted((x, n) for n, x in enumerate(d) if n != i)][:5]
