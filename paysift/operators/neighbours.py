@@ -168,7 +168,9 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, pivots: int = PIVOTS,
     base = materialise(df.select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
                        .withColumn("h", F.sha2(F.to_json("v"), 256)))
     id_type = base.schema["id"].dataType.simpleString()
-    if (base.agg(F.max(F.size("v"))).first()[0] or 0) <= FLAT:
+    finite = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    widest, odd = base.agg(F.max(F.size("v")), F.count_if(~finite)).first()
+    if not odd and (widest or 0) <= FLAT:  # a pivot without a place would draw all rows
         cell = min(cell, max(FLAT_CELL, 8 * (k + 1)))
 
     def nearest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
