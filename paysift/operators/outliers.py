@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,26 +103,32 @@ def fit_forest(df: DataFrame, id: str, features: str, trees: int = TREES, sample
     return forest, size
 
 
+def _walkable(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, path: np.ndarray) -> tuple:
+    """A tree to be walked by all rows for `depth` steps: a leaf leads to itself; children alternate, the one above the threshold first."""
+    leaf, here = feature < 0, np.arange(len(feature))
+    child = np.stack([np.where(leaf, here, right), np.where(leaf, here, left)], axis=1).ravel()
+    depth, level = 0, here[:1]
+    while len(level := level[~leaf[level]]):
+        depth, level = depth + 1, np.concatenate([left[level], right[level]])
+    return np.where(leaf, 0, feature), threshold, child, path, depth
+
+
 def anomaly_scores(df: DataFrame, features: str, forest: list, size: int, output: str = "anomaly_score") -> DataFrame:
     """Score in (0, 1), higher is more anomalous: 2 to the minus (mean path over expected path)."""
     normal = max(_path_bonus(size), 1e-9)
-
-    @F.pandas_udf("double")
-    def score(values: pd.Series) -> pd.Series:
-        x = np.array(values.tolist(), dtype=float).reshape(len(values), -1)
-        total = np.zeros(len(x))
-        for feature, threshold, left, right, path in forest:
-            at = np.zeros(len(x), dtype=int)
-            while True:
-                inner = feature[at] >= 0
-                if not inner.any():
-                    break
-                rows = np.flatnonzero(inner)
-                node = at[rows]
-                below = x[rows, feature[node]] <= threshold[node]
-                at[rows] = np.where(below, left[node], right[node])
+    trees = [_walkable(*tree) for tree in forest]
+
+    @F.arrow_udf("double")
+    def score(values: pa.Array) -> pa.Array:
+        flat = values.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+        base = np.arange(len(values)) * (len(flat) // max(len(values), 1))
+        total = np.zeros(len(values))
+        for feature, threshold, child, path, depth in trees:
+            at = np.zeros(len(values), np.int64)
+            for _ in range(depth):
+                at = child[2 * at + (flat[base + feature[at]] <= threshold[at])]
             total += path[at]
-        return pd.Series(np.exp2(-total / len(forest) / normal))
+        return pa.array(np.exp2(-total / len(trees) / normal))
 
     return df.withColumn(output, score(F.col(features)))
 

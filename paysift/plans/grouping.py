@@ -246,11 +246,11 @@ def isolation_flags(t: Tables):
 
 @query("M16 M17 M18")
 def outlier_overlap(t: Tables):
-    base = outlier_jobs(t)
-    main = o.isolation_forest(o.outlier_features(base, "items", BRANDS, "experience", "salary"), "job_id", "x", trees=50).select("job_id", "flagged", "anomaly_score")
-    compact = o.isolation_forest(o.compact_features(base, "job_id", "items", "experience", "salary", 5), "job_id", "x", trees=50).select("job_id", F.col("flagged").alias("compact"))
-    both = materialise(base.join(main, "job_id").join(compact, "job_id"))
-    drivers = o.score_drivers(both.withColumn("n_items", F.size("items")), "anomaly_score", ["n_items", "salary"])
+    base = outlier_jobs(t).select("job_id", "items", "experience", "salary")
+    main = o.isolation_forest(o.outlier_features(base, "items", BRANDS, "experience", "salary").select("job_id", "x"), "job_id", "x", trees=50).select("job_id", "flagged", "anomaly_score")
+    compact = o.isolation_forest(o.compact_features(base, "job_id", "items", "experience", "salary", 5).select("job_id", "x"), "job_id", "x", trees=50).select("job_id", F.col("flagged").alias("compact"))
+    both = materialise(base.select("job_id", F.size("items").alias("n_items"), "salary").join(main, "job_id").join(compact, "job_id"))
+    drivers = o.score_drivers(both, "anomaly_score", ["n_items", "salary"])
     overlap = o.flag_overlap(both, "flagged", "compact")
     return drivers.select("input", "spearman", *[x.alias(y) for x, y in zip([overlap.select("overlap").scalar()], ["overlap"])])
 
