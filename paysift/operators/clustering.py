@@ -73,9 +73,45 @@ def fast_silhouette(labelled: DataFrame, features: str = "features", cluster: st
                                ).evaluate(labelled)
 
 
-def centroids(df: DataFrame, vector: str, cluster: str) -> DataFrame:
-    """Mean vector and size of each cluster (array column)."""
-    long = df.select(cluster, F.posexplode(vector).alias("i", "x")).groupBy(cluster, "i").agg(F.avg("x").alias("m"), F.count(F.lit(1)).alias("n"))
+def counted_vectors(df: DataFrame, vector: str, id: str, profiles: tuple[DataFrame, DataFrame | None]) -> DataFrame:
+    """Stored distinct vectors (as arrays) and the number `n` of their rows, where rows with equal lists (`list_profiles`) have one vector."""
+    some = df.join(one_id_each(profiles, id), id).select(vector, "n").unionByName(df.filter(F.col(id).isNull()).select(vector, F.lit(1).cast("bigint").alias("n")))
+    return materialise(some.select(vector_to_array(F.col(vector)).alias(vector), "n").groupBy(vector).agg(F.sum("n").alias("n")))
+
+
+def label_counted(model, counted: DataFrame, vector: str = "features") -> DataFrame:
+    """Stored `counted` vectors with their `cluster`."""
+    labelled = model.transform(counted.withColumnRenamed(vector, "__v").withColumn(vector, array_to_vector("__v")))
+    return materialise(labelled.select(F.col("__v").alias(vector), "n", "cluster"))
+
+
+def counted_silhouette(labelled: DataFrame, vector: str, cosine: bool = False) -> float | None:
+    """`fast_silhouette` of vectors (arrays) that stand for `n` rows each, each row a neighbour of the others; None with fewer than two clusters."""
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    rows = labelled.select(F.col("cluster").alias("c"), "n", F.col(vector).alias("v"))
+    if cosine:  # half the squared distance of unit vectors; a vector without direction has no distance
+        length = F.sqrt(dot("v", "v"))
+        rows = rows.withColumn("v", F.transform("v", lambda x: F.coalesce(F.try_divide(x, length), F.lit(float("nan")))))
+    rows = rows.withColumn("s", dot("v", "v"))
+    sums = rows.groupBy("c").agg(F.sum("n").cast("double").alias("w"), F.sum(F.col("n") * F.col("s")).alias("q"))
+    stats = sums.join(centroids(rows.select("c", "v", "n"), "v", "c", "n").select("c", "centroid"), "c")
+    every = materialise(stats.agg(F.collect_list(F.struct("c", "w", "q", "centroid")).alias("every")))  # one entry per cluster
+    if every.select(F.size("every")).first()[0] < 2:
+        return None
+    mean = lambda o: F.col("s") + o["q"] / o["w"] - 2 * dot(F.col("v"), o["centroid"])
+    own = F.get(F.filter("every", lambda o: o["c"] == F.col("c")), F.lit(0))
+    apart = with_row(rows, every).select("n", own["w"].alias("w"), (mean(own) * F.try_divide(own["w"], own["w"] - 1)).alias("a"),
+                                         F.array_min(F.transform(F.filter("every", lambda o: o["c"] != F.col("c")), mean)).alias("b"))
+    ratio = lambda x, y: F.coalesce(F.try_divide(F.col(x), F.col(y)), F.lit(0.0))
+    score = F.when(F.col("w") <= 1, 0.0).when(F.col("a") < F.col("b"), 1 - ratio("a", "b")).when(F.col("a") > F.col("b"), ratio("b", "a") - 1).otherwise(
+        F.when(F.isnan("a"), F.col("a")).otherwise(0.0))
+    return apart.agg(F.sum(F.col("n") * score) / F.sum("n")).first()[0]
+
+
+def centroids(df: DataFrame, vector: str, cluster: str, weight: str | None = None) -> DataFrame:
+    """Mean vector and size of each cluster (array column); a row counts `weight` times."""
+    mean, size = (F.avg("x"), F.count(F.lit(1))) if weight is None else (F.sum(F.col("x") * F.col(weight)) / F.sum(weight), F.sum(weight))
+    long = df.select(cluster, *[c for c in [weight] if c], F.posexplode(vector).alias("i", "x")).groupBy(cluster, "i").agg(mean.alias("m"), size.alias("n"))
     return long.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda p: p["m"]).alias("centroid"),
                                      F.max("n").alias("n"))
 
@@ -85,11 +121,13 @@ def _distance(a, b):
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
 
 
-def davies_bouldin(df: DataFrame, vector: str, cluster: str) -> DataFrame:
-    """Mean over clusters of the worst (spread_i + spread_j) / centroid distance; rows below 0 are left out."""
-    kept = df.filter(F.col(cluster) >= 0).select(F.col(cluster).alias("c"), F.col(vector).cast("array<double>").alias("v"))
-    centres = materialise(centroids(kept, "v", "c"))
-    spread = kept.join(centres.select("c", "centroid"), "c").groupBy("c").agg(F.avg(_distance(F.col("v"), F.col("centroid"))).alias("s"))
+def davies_bouldin(df: DataFrame, vector: str, cluster: str, weight: str | None = None) -> DataFrame:
+    """Mean over clusters of the worst (spread_i + spread_j) / centroid distance; rows below 0 are left out; a row counts `weight` times."""
+    times = [F.col(weight).alias("w")] if weight else []
+    kept = df.filter(F.col(cluster) >= 0).select(F.col(cluster).alias("c"), F.col(vector).cast("array<double>").alias("v"), *times)
+    centres = materialise(centroids(kept, "v", "c", "w" if weight else None))
+    far = _distance(F.col("v"), F.col("centroid"))
+    spread = kept.join(centres.select("c", "centroid"), "c").groupBy("c").agg((F.sum(far * F.col("w")) / F.sum("w") if weight else F.avg(far)).alias("s"))
     stats = centres.join(spread, "c").select("c", "centroid", "s")
     every = stats.agg(F.collect_list(F.struct("c", "centroid", "s")).alias("every"))  # one entry per cluster
     rival = lambda o: F.try_divide(F.col("s") + o["s"], _distance(F.col("centroid"), o["centroid"]))
@@ -223,12 +261,39 @@ def combined(rows: DataFrame, key: str, columns: Sequence[str], weights: np.ndar
     return rows.select(key, *columns).mapInPandas(times, schema)
 
 
-def singular_basis(long: DataFrame, id: str, components: int, extra: int = EXTRA_COMPONENTS, tolerance: float = 1e-10, most: int = 100) -> tuple[DataFrame, float]:
+def alike_rows(long: DataFrame) -> DataFrame:
+    """(row, n, item, x): rows of a sparse matrix, equal ones once with their number `n`; stored."""
+    lists = long.filter("row IS NOT NULL AND item IS NOT NULL").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("item", "x"))).alias("cells"))
+    alike = materialise(lists.groupBy("cells").agg(F.count(F.lit(1)).alias("n")).withColumn("row", F.monotonically_increasing_id()))
+    return alike.select("row", "n", F.inline("cells"))
+
+
+def list_profiles(df: DataFrame, id: str, items: str) -> tuple[DataFrame, DataFrame | None]:
+    """(lists, repeated): distinct item lists of ids that occur once, with their number `n` and one of the ids; and the ids that repeat, or None.
+
+    Rows without an id are in neither.
+    """
+    ids = materialise(df.filter(F.col(id).isNotNull()).groupBy(id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id))
+    repeated = None if ids.isEmpty() else ids
+    once = df.filter(F.col(id).isNotNull()) if repeated is None else df.filter(F.col(id).isNotNull()).join(repeated, id, "left_anti")
+    lists = once.groupBy(F.array_sort(F.array_distinct(items)).alias("list")).agg(F.count(F.lit(1)).alias("n"), F.min(id).alias("some_id"))
+    return materialise(lists.withColumn("row", F.monotonically_increasing_id())), repeated
+
+
+def one_id_each(profiles: tuple[DataFrame, DataFrame | None], id: str) -> DataFrame:
+    """One id of each distinct list with the number `n` of ids it stands for, and the ids that repeat, which stand for themselves."""
+    lists, repeated = profiles
+    chosen = lists.select(F.col("some_id").alias(id), "n")
+    return chosen if repeated is None else chosen.unionByName(repeated.withColumn("n", F.lit(1).cast("bigint")))
+
+
+def singular_basis(long: DataFrame, id: str, components: int, extra: int = EXTRA_COMPONENTS, tolerance: float = 1e-10, most: int = 100,
+                   alike: DataFrame | None = None) -> tuple[DataFrame, float]:
     """(basis, explained): leading right singular vectors (item, b) of a sparse matrix (id, item, x), stored, and their share of squares.
 
     Block subspace iteration with Rayleigh-Ritz: a block of `components` + `extra` vectors over the items goes through the
     rows and back, two joins and sums an iteration, until the leading values settle.  The driver sees only products of the
-    block with itself.  Where there are no more items than the block is wide, the first round is exact.
+    block with itself.  `alike` may give equal rows once (`alike_rows`).  Where there are no more items than the block is wide, the first round is exact.
     """
     long = long.select(F.col(id).alias("row"), "item", "x")
     width = components + extra
@@ -236,14 +301,15 @@ def singular_basis(long: DataFrame, id: str, components: int, extra: int = EXTRA
     start = [(F.xxhash64("item", F.lit(j)) / float(1 << 63)).alias(n) for j, n in enumerate(block)]
     vectors, settled = materialise(long.select("item").distinct().select("item", *start)), None
     total = long.agg(F.sum(F.col("x") * F.col("x"))).first()[0] or 0.0
-    through = lambda frame, to, names: frame.groupBy(to).agg(*[F.sum(F.col("x") * F.col(n)).alias(n) for n in names])
+    through = lambda frame, to, x, names: frame.groupBy(to).agg(*[F.sum(x * F.col(n)).alias(n) for n in names])
+    alike = long.withColumn("n", F.lit(1)) if alike is None else alike
     for step in range(most):
         values, axes = np.linalg.eigh(column_gram(vectors, block, block))
         kept = values > max(values.max(initial=0.0), 1e-300) * 1e-13
         names = [f"q{j}" for j in range(int(kept.sum()))]
         orthonormal = materialise(combined(vectors, "item", block, axes[:, kept] / np.sqrt(values[kept]), "q"))
-        rows = through(long.join(orthonormal, "item"), "row", names)
-        image = materialise(through(long.join(rows, "row"), "item", names))
+        rows = through(alike.join(orthonormal, "item"), "row", F.col("x"), names)
+        image = materialise(through(alike.join(rows, "row"), "item", F.col("n") * F.col("x"), names))
         # Ritz values of the block, and the block turned to its Ritz vectors.
         pairs = orthonormal.join(image.select("item", *[F.col(n).alias(f"z{n}") for n in names]), "item")
         ritz, turn = np.linalg.eigh(column_gram(pairs, names, [f"z{n}" for n in names]))
@@ -275,21 +341,40 @@ def project(long: DataFrame, id: str, basis: DataFrame, output: str = "coordinat
     return rows.withColumn("__n", norm).withColumn(output, F.transform(output, lambda x: F.coalesce(F.try_divide(x, F.col("__n")), F.lit(0.0)))).drop("__n")
 
 
-def svd_rows(df: DataFrame, id: str, items: str, components: int = 10, tfidf: bool = True, unit: bool = True) -> DataFrame:
-    """TF-IDF (or indicator) rows projected on the leading singular vectors."""
-    long = materialise(tfidf_rows(df, id, items) if tfidf else df.select(id, F.explode(F.array_distinct(items)).alias("item"), F.lit(1.0).alias("x")))
-    basis, _ = singular_basis(long, id, components)
+def svd_rows(df: DataFrame, id: str, items: str, components: int = 10, tfidf: bool = True, unit: bool = True,
+             profiles: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+    """TF-IDF (or indicator) rows projected on the leading singular vectors.
+
+    Indicator rows of equal lists go into the basis once, with their number; `profiles` may give them (`list_profiles`).
+    TF-IDF rows go in one by one: k-means breaks ties between such rows by the last bits of these sums.
+    """
+    if tfidf:
+        long, alike = materialise(tfidf_rows(df, id, items)), None
+    else:
+        sparse = lambda frame, list, *keys: frame.select(*keys, F.explode(F.array_distinct(list)).alias("item"), F.lit(1.0).alias("x"))
+        long = materialise(sparse(df, items, id))
+        lists, repeated = profiles or list_profiles(df, id, items)
+        alike = sparse(lists, "list", "row", "n")
+        if repeated is not None:
+            more = alike_rows(long.join(repeated, id, "left_semi").select(F.col(id).alias("row"), "item", "x"))
+            alike = alike.unionByName(more.withColumn("row", -1 - F.col("row")))
+        alike = materialise(alike)
+    basis, _ = singular_basis(long, id, components, alike=alike)
     return project(long, id, basis, unit=unit)
 
 
 def compare_representations(df: DataFrame, id: str, items: str, vocabulary: Sequence[str], k: int, restarts: int = 3, seed: int = 42) -> DataFrame:
-    """k-means on indicators and on TF-IDF, SVD and unit length, scored alike."""
+    """k-means on indicators and on TF-IDF, SVD and unit length, scored alike.
+
+    All rows fit a model; equal vectors get their label and score once.
+    """
     rows = []
     hot = materialise(multi_hot(df, items, vocabulary))
+    profiles = list_profiles(df, id, items)
     dense = materialise(vector_column(svd_rows(df, id, items), "coordinates"))
     for name, frame in (("multi-hot", hot), ("tf-idf, svd, unit length", dense)):
-        scores = clustering_scores(fit_kmeans(frame, k, restarts, seed).transform(frame), id, "features", "cluster")
-        rows.append((name, k, scores["silhouette"], scores["davies_bouldin"]))
+        labelled = label_counted(fit_kmeans(frame, k, restarts, seed), counted_vectors(frame, "features", id, profiles))
+        rows.append((name, k, counted_silhouette(labelled, "features"), davies_bouldin(labelled, "features", "cluster", "n").first()[0]))
     return df.sparkSession.createDataFrame(rows, "representation string, k int, silhouette double, davies_bouldin double")
 
 
@@ -302,11 +387,11 @@ def pca_coordinates(df: DataFrame, features: str = "features", k: int = 2, outpu
     return centred, float(sum(model.explainedVariance))
 
 
-def adjusted_rand_index(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Adjusted Rand index of two labellings, from their contingency table."""
+def adjusted_rand_index(df: DataFrame, left: str, right: str, weight: str | None = None) -> DataFrame:
+    """Adjusted Rand index of two labellings, from their contingency table; a row counts `weight` times."""
     pairs = lambda n: n * (n - 1) / 2
     n = F.col("n").cast("double")
-    table = df.groupBy(left, right).agg(F.count(F.lit(1)).alias("n"))
+    table = df.groupBy(left, right).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     both = table.agg(F.sum(pairs(n))).scalar()
     side = lambda c: table.groupBy(c).agg(F.sum("n").alias("n")).agg(F.sum(pairs(n))).scalar()
     out = table.agg(F.sum("n").cast("double").alias("t")).select(
@@ -318,27 +403,41 @@ def adjusted_rand_index(df: DataFrame, left: str, right: str) -> DataFrame:
 
 def robustness_grid(df: DataFrame, id: str, items: str, vocabulary: Sequence[str], ks: Sequence[int] = (3, 5, 7), seeds: Sequence[int] = (42, 43, 44),
                     components: int = 32, max_iter: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(runs, summary): both representations, each k and seed, on all non-empty rows."""
+    """(runs, summary): both representations, each k and seed, on all non-empty rows.
+
+    All rows fit a model.  Labels and scores depend on vectors alone, so rows are joined by id once, and equal vectors are
+    labelled and scored once with the number of their rows.
+    """
     spark = df.sparkSession
     drawn = materialise(df.filter(F.size(items) > 0).select(id, items))
     binary = materialise(multi_hot(drawn, items, vocabulary))
-    original = binary.select(id, F.col("features").alias("original"))
     width = max(1, min(components, len(vocabulary) - 1))
-    dense = materialise(vector_column(svd_rows(drawn, id, items, width, tfidf=False), "coordinates"))
+    profiles = list_profiles(drawn, id, items)
+    dense = materialise(vector_column(svd_rows(drawn, id, items, width, tfidf=False, profiles=profiles), "coordinates"))
+    # An id's indicator vectors (one, where ids are unique) and its dense vector, with the number of such ids.
+    chosen = one_id_each(profiles, id)
+    originals = binary.join(chosen, id).groupBy(id).agg(F.array_sort(F.collect_list(vector_to_array("features"))).alias("originals"), F.first("n").alias("n"))
+    turned = dense.join(chosen.select(id), id).select(id, vector_to_array("features").alias("v"))
+    counted = materialise(originals.join(turned, id, "left").select("originals", "v", "n"))
+    plain = counted.select("n", "originals", F.explode("originals").alias("features")).select("n", "features", F.explode("originals").alias("original"))
+    turned = counted.filter(F.col("v").isNotNull()).select("n", F.col("v").alias("features"), "originals")
     runs, agreement = [], []
-    for name, frame in (("binary", binary), ("svd_l2", dense)):
+    for name, frame, met, twins in (("binary", binary, plain, plain.withColumnRenamed("original", "other")),
+                                    ("svd_l2", dense, turned.select("n", "features", F.explode("originals").alias("original")), turned.select("n", "features", F.col("features").alias("other")))):
+        vectors = counted_vectors(frame, "features", id, profiles)
         for k in ks:
             labels = {}
             for seed in seeds:
                 model = KMeans(k=k, seed=seed, maxIter=max_iter, predictionCol="cluster").fit(frame)
-                labels[seed] = materialise(model.transform(frame).select(id, "cluster", F.col("features").alias("v")))
-                sizes = [r["n"] for r in labels[seed].groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()]
-                part = materialise(labels[seed].join(original, id))
-                scores = [fast_silhouette(part, v, "cluster", cosine) for v, cosine in (("original", True), ("v", True), ("v", False))]
+                labels[seed] = label_counted(model, vectors)
+                sizes = [r["n"] for r in labels[seed].groupBy("cluster").agg(F.sum("n").alias("n")).collect()]
+                part = materialise(met.join(labels[seed].drop("n"), "features"))
+                scores = [counted_silhouette(part, v, cosine) for v, cosine in (("original", True), ("features", True), ("features", False))]
                 runs.append((name, k, seed, *scores, min(sizes) / sum(sizes), max(sizes) / sum(sizes), model.summary.numIter))
             for s, t in combinations(seeds, 2):
-                joined = labels[s].select(id, F.col("cluster").alias("x")).join(labels[t].select(id, F.col("cluster").alias("y")), id)
-                agreement.append((name, k, adjusted_rand_index(joined, "x", "y").first()[0]))
+                joined = (twins.join(labels[s].select("features", F.col("cluster").alias("x")), "features")
+                          .join(labels[t].select(F.col("features").alias("other"), F.col("cluster").alias("y")), "other"))
+                agreement.append((name, k, adjusted_rand_index(joined, "x", "y", "n").first()[0]))
     table = spark.createDataFrame(runs, "representation string, k int, seed int, cosine_original double, cosine double, euclidean double, "
                                         "min_share double, max_share double, iterations int")
     pairs = spark.createDataFrame(agreement, "representation string, k int, ari double") if agreement else None

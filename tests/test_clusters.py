@@ -208,6 +208,29 @@ def test_block_iteration_finds_the_leading_singular_vectors(spark, extra):
     assert got == pytest.approx(want, abs=1e-4) and explained == pytest.approx((singular[:2] ** 2).sum() / (singular ** 2).sum())
 
 
+@pytest.mark.parametrize("cosine", [False, True])
+def test_counted_vectors_score_as_their_rows_do(spark, cosine):
+    vectors = [([1.0, 0.0], 0, 4), ([0.0, 1.0], 1, 1), ([1.0, 1.0], 0, 2), ([2.0, 5.0], 2, 3), ([3.0, 1.0], 2, 1)]
+    counted = spark.createDataFrame([(v, k, n) for v, k, n in vectors], "v array<double>, cluster int, n long")
+    rows = c.vector_column(counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n")))), "v").select("features", "v", "cluster")
+    assert c.counted_silhouette(counted, "v", cosine) == pytest.approx(c.fast_silhouette(rows, cosine=cosine))
+    assert c.davies_bouldin(counted, "v", "cluster", "n").first()[0] == pytest.approx(c.davies_bouldin(rows, "v", "cluster").first()[0])
+    assert c.counted_silhouette(counted.filter("cluster = 0"), "v", cosine) is None
+
+
+def test_equal_lists_go_into_the_basis_once(spark, monkeypatch):
+    lists = [["a"], ["a", "b"], ["b", "c"]]
+    rows = [(i, lists[i % 3]) for i in range(60)] + [(100, ["a"]), (100, ["a", "c"]), (None, ["c"])]
+    df = spark.createDataFrame(rows, "id long, items array<string>")
+    plain = {r["id"]: r["coordinates"] for r in c.project(*(lambda long: (long, "id", c.singular_basis(long, "id", 2)[0]))(
+        df.select("id", F.explode("items").alias("item"), F.lit(1.0).alias("x")))).collect()}
+    seen, basis = [], c.singular_basis
+    monkeypatch.setattr(c, "singular_basis", lambda *a, alike=None, **k: seen.append(alike.select("row").distinct().count()) or basis(*a, alike=alike, **k))
+    got = {r["id"]: r["coordinates"] for r in c.svd_rows(df, "id", "items", 2, tfidf=False, unit=False).collect()}
+    assert seen == [4]  # three lists, and the id that repeats
+    assert got.keys() == plain.keys() and all(got[i] == pytest.approx(plain[i]) for i in got)
+
+
 def test_pca_coordinates_are_centred(spark):
     rng = np.random.default_rng(1)
     df = c.vector_column(points(spark, rng.normal(3, 1, (200, 5)) * [5, 1, 1, 1, 1]), "v")
@@ -226,6 +249,21 @@ def test_isolation_forest_flags_the_planted_outlier(spark):
     assert scored.select("id", "anomaly_score").exceptAll(again.select("id", "anomaly_score")).count() == 0
 
 
+def test_a_walked_tree_ends_where_its_branches_lead():
+    x = np.random.default_rng(8).normal(0, 1, (300, 3))
+    feature, threshold, left, right, path = (np.array(p) for p in zip(*o._grow(x, np.random.default_rng(1), 8)))
+    x = np.concatenate([x, [[np.nan, np.inf, -np.inf]]])
+    *_, child, ends, depth = (walk := o._walkable(feature, threshold, left, right, path))
+    at = np.zeros(len(x), int)
+    for _ in range(depth):
+        at = child[2 * at + (x[np.arange(len(x)), walk[0][at]] <= walk[1][at])]
+    for row, got in zip(x, ends[at]):
+        node = 0
+        while feature[node] >= 0:
+            node = left[node] if row[feature[node]] <= threshold[node] else right[node]
+        assert path[node] == got
+
+
 def test_hotspots_are_found_where_high_rows_gather(spark):
     rng = np.random.default_rng(6)
     xy = np.concatenate([rng.normal((0, 0), 0.5, (80, 2)), rng.normal((20, 20), 0.5, (80, 2))])
