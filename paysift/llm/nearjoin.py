@@ -19,8 +19,12 @@ from .common import Words, begin, chunk_row, mix, over_texts, sum_chunks, widene
 SHINGLE, SIMILARITY = 5, 75  # words; percent
 # A token is a hash of 48 bits of a shingle, kept in six bytes.
 TOKEN_BITS, TOKEN_BYTES = 48, 6
-# Counters of how often tokens occur, in a table of a fixed size; a token above HOT times the mean load is frequent.
+# Counters of how often tokens occur, in a table of a fixed size; a token that lies HOT standard deviations of rare tokens above
+# the mean load is frequent, so the least number of sets that tells grows as the root of the input.
 COUNTERS, COUNTER_CHUNK, HOT = 1 << 20, 1 << 14, 4
+# Classes of sizes between a size and its double, and the most classes that lie between two sets that link.
+SIZE_CLASSES = 16
+SIZE_GAP = int(np.ceil(SIZE_CLASSES * np.log2(100 / SIMILARITY)))
 # Bits of the smallest signature, sets below a node of a signature tree, sets of a block that meet in one task, rounds of star pairs.
 LEAST_BITS, FANOUT, BLOCK, ROUNDS = 1024, 16, 512, 2
 # Joining turns go on while at least one in so many compared pairs links.
@@ -97,8 +101,14 @@ def token_classes(sets: DataFrame) -> np.ndarray:
     counts = np.zeros((COUNTERS // COUNTER_CHUNK, COUNTER_CHUNK), np.int64)
     for row in sum_chunks(parts, COUNTER_CHUNK).collect():
         counts[row["chunk"]] = widened(row["body"], COUNTER_CHUNK)
-    load = counts.ravel() / max(1.0, counts.mean())
-    return np.where(load >= HOT, np.log2(np.maximum(load, 1)).astype(np.int64) - int(np.log2(HOT)) + 1, 0).astype(np.uint8)
+    return classed(counts.ravel())
+
+
+def classed(counts: np.ndarray) -> np.ndarray:
+    """The class of each counter: 0 up to what rare tokens alone would make of it, then one more for each doubling."""
+    mean = counts.mean()
+    above = (counts - mean) / (HOT * max(1.0, mean ** 0.5))
+    return np.where(above >= 1, np.log2(np.maximum(above, 1)) + 1, 0).astype(np.uint8)
 
 
 def prefix(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -109,8 +119,16 @@ def prefix(tokens: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return tokens[order[:keep]]
 
 
-def shared_tokens(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame:
-    """(token, set_id, other): a row per set for each prefix token of three sets or more; for one of two sets the pair, without token.
+def size_classes(sizes: np.ndarray) -> np.ndarray:
+    """A byte for each size; those of two sets that link differ by SIZE_GAP at most."""
+    return np.minimum(np.floor(SIZE_CLASSES * np.log2(sizes)), 255).astype(np.uint8)
+
+
+def shared_blocks(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame:
+    """(block, set_id, other): the sets of a prefix token are a block, cut where sizes leave a gap over which no sets link; two sets are a pair, without block.
+
+    Tokens of one passage have the same sets.  A block is known by the sum of its mixed set ids, so it comes once, however
+    many tokens name it; should two sums be equal, their blocks are one larger block and lose no pair.
 
     Prefix tokens travel packed, one row per batch and part of the token range; a part holds a share of them that does not
     grow with the input, since the number of parts does.
@@ -118,40 +136,47 @@ def shared_tokens(sets: DataFrame, classes: np.ndarray, parts: int) -> DataFrame
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, own in fresh_sets(batches):
             heads = [prefix(s, classes) for s in own]
-            tokens, owners = np.concatenate(heads), np.repeat(np.array(ids, np.int64), [len(h) for h in heads])
+            tokens, counts = np.concatenate(heads), [len(h) for h in heads]
+            owners, widths = np.repeat(np.array(ids, np.int64), counts), np.repeat(size_classes(np.array([len(s) for s in own])), counts)
             where = (tokens % np.uint64(parts)).astype(np.int64)
             order = np.argsort(where, kind="stable")
             edges = np.searchsorted(where[order], np.arange(parts + 1))
             filled = np.flatnonzero(np.diff(edges))
             yield pa.RecordBatch.from_arrays([
                 pa.array(filled, pa.int64()), pa.array([packed(tokens[order[edges[p]:edges[p + 1]]]) for p in filled], pa.binary()),
-                pa.array([owners[order[edges[p]:edges[p + 1]]].tobytes() for p in filled], pa.binary())], names=["part", "tokens", "owners"])
+                pa.array([owners[order[edges[p]:edges[p + 1]]].tobytes() for p in filled], pa.binary()),
+                pa.array([widths[order[edges[p]:edges[p + 1]]].tobytes() for p in filled], pa.binary())], names=["part", "tokens", "owners", "widths"])
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bodies, owners = [], []
+        held: list[list[bytes]] = [[], [], []]
         for batch in batches:
-            bodies += batch.column(1).to_pylist()
-            owners += batch.column(2).to_pylist()
-        if not bodies:
+            for bodies, column in zip(held, batch.columns[1:]):
+                bodies += column.to_pylist()
+        if not held[0]:
             return
-        tokens, sets_ = unpacked(b"".join(bodies)), np.frombuffer(b"".join(owners), np.int64)
-        del bodies, owners
-        order = np.lexsort((sets_, tokens))
-        tokens, sets_ = tokens[order], sets_[order]
+        tokens, sets_, widths = unpacked(b"".join(held[0])), np.frombuffer(b"".join(held[1]), np.int64), np.frombuffer(b"".join(held[2]), np.uint8)
+        del held
+        order = np.lexsort((sets_, widths, tokens))
+        tokens, sets_, widths = tokens[order], sets_[order], widths[order].astype(np.int64)
         first = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (sets_[1:] != sets_[:-1])])  # one row per token and set
-        tokens, sets_ = tokens[first], sets_[first]
-        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        tokens, sets_, widths = tokens[first], sets_[first], widths[first]
+        starts = np.flatnonzero(np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (widths[1:] - widths[:-1] > SIZE_GAP)]))
         sizes = np.diff(np.concatenate([starts, [len(tokens)]]))
         at = starts[sizes == 2]
-        duos = np.unique(np.stack([sets_[at], sets_[at + 1]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(duos), pa.int64()), pa.array(np.ascontiguousarray(duos[:, 0])), pa.array(np.ascontiguousarray(duos[:, 1]))], names=["token", "set_id", "other"])
-        many = np.flatnonzero(np.repeat(sizes, sizes) > 2)
+        duos = np.unique(np.sort(np.stack([sets_[at], sets_[at + 1]], axis=1), axis=1), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(duos), pa.int64()), pa.array(np.ascontiguousarray(duos[:, 0])), pa.array(np.ascontiguousarray(duos[:, 1]))], names=["block", "set_id", "other"])
+        named = np.add.reduceat(mix(sets_), starts)
+        _, once = np.unique(named, return_index=True)
+        kept = np.zeros(len(starts), bool)
+        kept[once] = True
+        kept &= sizes > 2
+        many, named = np.flatnonzero(np.repeat(kept, sizes)), np.repeat(named, sizes).view(np.int64)
         for at in range(0, len(many), 100_000):
             cut = many[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[cut].astype(np.int64)), pa.array(sets_[cut]), pa.nulls(len(cut), pa.int64())], names=["token", "set_id", "other"])
+            yield pa.RecordBatch.from_arrays([pa.array(named[cut]), pa.array(sets_[cut]), pa.nulls(len(cut), pa.int64())], names=["block", "set_id", "other"])
 
-    dealt = sets.select("set_id", "tokens").mapInArrow(deal, "part long, tokens binary, owners binary")
-    return dealt.repartition("part").mapInArrow(share, "token long, set_id long, other long")
+    dealt = sets.select("set_id", "tokens").mapInArrow(deal, "part long, tokens binary, owners binary, widths binary")
+    return dealt.repartition("part").mapInArrow(share, "block long, set_id long, other long").distinct()
 
 
 def signature(tokens: np.ndarray) -> bytes:
@@ -233,7 +258,7 @@ class SignatureTree:
 
 
 def block_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b) that may link among rows (token, left, right, side, set_id, component, n_shingles, signature) of one block and chunk pair."""
+    """(a, b) that may link among rows (block, left, right, side, set_id, component, n_shingles, signature) of one block and chunk pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         key = None
@@ -346,50 +371,47 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def first_pairs(shared: DataFrame) -> DataFrame:
-    """(a, b): sets that share a token with each other alone, and each set with the smallest one that has the same smallest token under one of a few hashes."""
-    rounds = shared.where("other IS NOT NULL").select(F.col("set_id").alias("a"), F.col("other").alias("b"))
-    groups = shared.where("other IS NULL")
-    for r in range(ROUNDS):
-        keyed = groups.groupBy("set_id").agg(F.min(F.xxhash64("token", F.lit(r))).alias("key"))
-        centres = keyed.groupBy("key").agg(F.min("set_id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        pairs = keyed.join(centres, "key").where("set_id <> centre").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b"))
-        rounds = rounds.union(pairs)
-    return rounds.distinct()
+    """(a, b): sets that share a token with each other alone, and each set with the smallest one that has the same smallest block under one of a few hashes."""
+    duos = shared.where("other IS NOT NULL").select(F.col("set_id").alias("a"), F.col("other").alias("b"))
+    smallest = [F.min(F.xxhash64("block", F.lit(r))).alias(f"key{r}") for r in range(ROUNDS)]
+    keys = F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"key{r}").alias("key")) for r in range(ROUNDS)])
+    keyed = shared.where("other IS NULL").groupBy("set_id").agg(*smallest).select("set_id", F.inline(keys))
+    centres = keyed.groupBy("round", "key").agg(F.min("set_id").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    pairs = keyed.join(centres, ["round", "key"]).where("set_id <> centre").select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b"))
+    return duos.union(pairs).distinct()
 
 
 def with_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(token, set_id, component) of all tokens of three sets or more."""
+    """(block, set_id, component) of all blocks of three sets or more."""
     placed = shared.where("other IS NULL").join(labels, "set_id", "left")
-    return placed.select("token", "set_id", F.coalesce("component", "set_id").alias("component"))
+    return placed.select("block", "set_id", F.coalesce("component", "set_id").alias("component"))
 
 
 def joining_pairs(placed: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each set with one set of the component that most sets of its token are in, for every token, if it is in another one.
+    """(a, b): each set with one set of the component that most sets of its block are in, for every block, if it is in another one.
 
-    The one is drawn by a hash of token, set and turn, so a set meets many members of a large group without meeting all.
+    The one is drawn by a hash of block, set and turn, so a set meets many members of a large group without meeting all.
     """
-    draw = F.min(F.struct(F.xxhash64("set_id", "token", F.lit(turn)).alias("draw"), F.col("set_id").alias("member")))
-    counted = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"), draw.alias("drawn"))
-    largest = counted.groupBy("token").agg(F.max(F.struct("n", "component", "drawn.member")).alias("top")).where("top.n > 1")
-    pairs = placed.join(largest, "token").where("component <> top.component")
+    draw = F.min(F.struct(F.xxhash64("set_id", "block", F.lit(turn)).alias("draw"), F.col("set_id").alias("member")))
+    counted = placed.groupBy("block", "component").agg(F.count(F.lit(1)).alias("n"), draw.alias("drawn"))
+    largest = counted.groupBy("block").agg(F.max(F.struct("n", "component", "drawn.member")).alias("top")).where("top.n > 1")
+    pairs = placed.join(largest, "block").where("component <> top.component")
     return pairs.select(F.least("set_id", "top.member").alias("a"), F.greatest("set_id", "top.member").alias("b")).distinct()
 
 
 def open_blocks(placed: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Rows of `block_pairs`: the sets of every token that stands in several components, once per distinct block.
+    """Rows of `block_pairs`: the sets of every block that stands in several components.
 
-    Tokens of one passage have the same sets, and one of them is enough.  A large block is cut into chunks that meet in pairs.
+    A large block is cut into chunks that meet in pairs.
     """
-    blocks = (placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size"),
-                                         F.bit_xor(F.xxhash64("set_id")).alias("x"), F.sum(F.hash("set_id").cast("long")).alias("y"))
-              .where("low <> high").groupBy("size", "x", "y").agg(F.min("token").alias("token")))
+    blocks = placed.groupBy("block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("size")).where("low <> high")
     chunks = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = placed.join(blocks.select("token", chunks.alias("chunks")), "token").withColumn("own", F.pmod(F.hash("set_id"), F.col("chunks")))
+    members = placed.join(blocks.select("block", chunks.alias("chunks")), "block").withColumn("own", F.pmod(F.hash("set_id"), F.col("chunks")))
     met = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    sided = met.select("token", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
+    sided = met.select("block", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
                        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "set_id", "component")
-    return (sided.join(signatures, "set_id").select("token", F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"), "side", "set_id", "component",
-                                                    "n_shingles", "signature").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right"))
+    return (sided.join(signatures, "set_id").select("block", F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"), "side", "set_id", "component",
+                                                    "n_shingles", "signature").repartition("block", "left", "right").sortWithinPartitions("block", "left", "right"))
 
 
 def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
@@ -399,7 +421,7 @@ def near_links(sets: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
     sets meet members of the largest component of their blocks, which joins large groups of copies without all their pairs.
     What stays in different components meets in signature trees, block by block, and is compared exactly.
     """
-    shared = materialise(shared_tokens(sets, token_classes(sets), parts))
+    shared = materialise(shared_blocks(sets, token_classes(sets), parts))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, own in fresh_sets(batches):

@@ -137,6 +137,34 @@ def test_near_duplicates_of_nothing(spark):
     assert [r["component_id"] for r in nearjoin.near_duplicates(documents(spark, [(3, None, "a")])).collect()] == [3]
 
 
+def test_a_passage_is_one_block_and_sizes_far_apart_do_not_meet(spark):
+    """Sets that share many tokens are named once; sets whose sizes cannot link share no block, whatever tokens they share."""
+    passage = np.arange(1, 400, dtype=np.uint64)
+    own = lambda k, n: np.arange(10_000 * k, 10_000 * k + n, dtype=np.uint64)
+    sets = {k: np.concatenate([passage, own(k, n)]) for k, n in ((1, 40), (2, 50), (3, 60), (4, 2_000))}
+    df = spark.createDataFrame([(k, bytearray(nearjoin.packed(s))) for k, s in sets.items()], "set_id long, tokens binary").repartition(2)
+    none = np.zeros(nearjoin.COUNTERS, np.uint8)
+    rows = nearjoin.shared_blocks(df, none, 8).collect()
+    assert sorted(r["set_id"] for r in rows if r["other"] is None) == [1, 2, 3] and len({r["block"] for r in rows if r["other"] is None}) == 1
+    assert all(4 not in (r["set_id"], r["other"]) for r in rows) and len(rows) <= 3 + 3
+
+
+def test_sizes_that_link_lie_within_the_gap():
+    small = np.arange(1, 60_000)
+    for large in (small * 100 // nearjoin.SIMILARITY, np.minimum(small + 1, small * 100 // nearjoin.SIMILARITY)):
+        apart = nearjoin.size_classes(large).astype(int) - nearjoin.size_classes(small)
+        assert apart.min() >= 0 and apart.max() <= nearjoin.SIZE_GAP
+    assert nearjoin.size_classes(np.array([10 ** 9]))[0] == 255
+
+
+def test_frequent_tokens_are_told_from_many_rare_ones():
+    """A token of 600 sets stands out from 10,000 rare ones in its counter; rare ones alone do not."""
+    counts = np.random.RandomState(1).poisson(10_000, 1 << 16)
+    counts[77] = 10_600
+    found = nearjoin.classed(counts)
+    assert found[77] > 0 and (found > 0).sum() < 20 and nearjoin.classed(np.zeros(8, np.int64)).max() == 0
+
+
 def test_trees_keep_every_pair_that_links():
     draw = np.random.RandomState(2)
     base = [np.unique(draw.randint(0, 1 << 40, size).astype(np.uint64)) for size in (300, 60, 1500)]

@@ -73,6 +73,22 @@ def test_components_with_hubs_joined_where_they_lie(spark):
     assert len(got) == 200 + 201 + 41 + 1
 
 
+
+def test_stars_are_told_before_a_round(spark, monkeypatch):
+    """Links that are stars already need no round, and a path ends without a round that moves nothing; empty lists and loops stay."""
+    stored = []
+    keep = s.materialise
+    monkeypatch.setattr(s, "materialise", lambda df: stored.append(1) or keep(df))
+
+    def labelled(edges):
+        stored.clear()
+        return sorted([tuple(r) for r in s.star_components(spark.createDataFrame(edges, "u long, v long")).collect()], key=repr), len(stored)
+
+    assert labelled([(1, 5), (6, 1), (1, 6), (3, 3), (9, 8), (None, 2), (None, None)]) == ([(1, 1), (2, 2), (3, 3), (5, 1), (6, 1), (8, 8), (9, 8), (None, None)], 3)
+    assert labelled([]) == ([], 3)
+    assert labelled([(1, 2), (2, 3)]) == ([(1, 1), (2, 1), (3, 1)], 4)
+
+
 def test_confusion_metrics_on_literal_rows(spark):
     df = spark.createDataFrame([("Low", "Low"), ("Low", "Mid"), ("High", "Mid")], "a string, p string")
     row = m.classification_metrics(df, "a", "p").first()
