@@ -73,7 +73,6 @@ def test_components_with_hubs_joined_where_they_lie(spark):
     assert len(got) == 200 + 201 + 41 + 1
 
 
-
 def test_stars_are_told_before_a_round(spark, monkeypatch):
     """Links that are stars already need no round, and a path ends without a round that moves nothing; empty lists and loops stay."""
     stored = []
