@@ -27,6 +27,8 @@ SIZE_CLASSES = 16
 SIZE_GAP = int(np.ceil(SIZE_CLASSES * np.log2(100 / SIMILARITY)))
 # Bits of the smallest signature, sets below a node of a signature tree, sets of a block that meet in one task, rounds of star pairs.
 LEAST_BITS, FANOUT, BLOCK, ROUNDS = 1024, 16, 512, 2
+# Pairs a task holds to tell those that come again.
+HELD_PAIRS = 1 << 18
 # Joining turns go on while at least one in so many compared pairs links.
 SETTLED = 20
 # A table of a fixed size that tells which sets are wanted; false hits are dropped by the join that follows.
@@ -274,7 +276,23 @@ def block_pairs(rows: DataFrame) -> DataFrame:
         if held:
             yield joined_block(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(lambda batches: once(run(batches)), "a long, b long")
+
+
+def once(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of a task's blocks, without most that come again: blocks that overlap name the same pairs.  At most HELD_PAIRS and one block's are held."""
+    held, count = [], 0
+    for batch in found:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= HELD_PAIRS:
+            table = pa.Table.from_batches(held).group_by(["a", "b"]).aggregate([])
+            held, count = table.to_batches(), table.num_rows
+            if 2 * count >= HELD_PAIRS:
+                yield from held
+                held, count = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).group_by(["a", "b"]).aggregate([]).to_batches()
 
 
 def joined_block(block: pa.Table) -> pa.RecordBatch:

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +150,15 @@ def test_a_passage_is_one_block_and_sizes_far_apart_do_not_meet(spark):
     assert all(4 not in (r["set_id"], r["other"]) for r in rows) and len(rows) <= 3 + 3
 
 
+@pytest.mark.parametrize("most", [1 << 18, 50])
+def test_pairs_of_overlapping_blocks_come_once(monkeypatch, most):
+    monkeypatch.setattr(nearjoin, "HELD_PAIRS", most)
+    block = lambda low, high: pa.RecordBatch.from_pydict({"a": list(range(low, high)), "b": list(range(low + 1, high + 1))}, schema=pa.schema({"a": pa.int64(), "b": pa.int64()}))
+    found = [r for b in nearjoin.once(iter([block(i, i + 20) for i in [*range(30), 0, 0]] + [block(0, 0)])) for r in zip(*b.to_pydict().values())]
+    assert set(found) == {(i, i + 1) for i in range(49)} and len(found) <= (49 if most > 1000 else 400)
+    assert not list(nearjoin.once(iter([])))
+
+
 def test_sizes_that_link_lie_within_the_gap():
     small = np.arange(1, 60_000)
     for large in (small * 100 // nearjoin.SIMILARITY, np.minimum(small + 1, small * 100 // nearjoin.SIMILARITY)):
