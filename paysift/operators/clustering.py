@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.values import lookup, share
 from ..scale import discard, grouped_quantiles, materialise, null_safe, top_per_key, with_row
+from .neighbours import as_matrix, blocked
 
 # Vectors of a block beyond the wanted ones, which speed up the iteration.
 EXTRA_COMPONENTS = 24
+# Up to so many clusters a row meets all of them in one pass; more meet the distinct vectors in blocks.
+FEW_CLUSTERS = 1_000
 
 
 def multi_hot(df: DataFrame, items: str, vocabulary: Sequence[str], output: str = "features") -> DataFrame:
@@ -65,10 +68,17 @@ def clustering_scores(labelled: DataFrame, id: str, features: str, cluster: str)
 
 
 def fast_silhouette(labelled: DataFrame, features: str = "features", cluster: str = "cluster", cosine: bool = False) -> float | None:
-    """Squared-Euclidean or cosine silhouette of all rows in linear time; None with fewer than two clusters."""
-    if labelled.select(cluster).distinct().limit(2).count() < 2:
+    """Squared-Euclidean or cosine silhouette of all rows, in linear time for few clusters; None with fewer than two.
+
+    With many clusters, equal rows of a cluster collapse and meet the other clusters in blocks.
+    """
+    clusters = labelled.select(cluster).distinct().limit(FEW_CLUSTERS + 1).count()
+    if clusters < 2:
         return None
     labelled = labelled.select(features, F.col(cluster).cast("int").alias(cluster))
+    if clusters > FEW_CLUSTERS:
+        stacked = labelled.groupBy(vector_to_array(F.col(features)).alias("v"), F.col(cluster).alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+        return counted_silhouette(materialise(stacked), "v", cosine)
     return ClusteringEvaluator(featuresCol=features, predictionCol=cluster, distanceMeasure="cosine" if cosine else "squaredEuclidean"
                                ).evaluate(labelled)
 
@@ -95,19 +105,40 @@ def counted_silhouette(labelled: DataFrame, vector: str, cosine: bool = False) -
     rows = rows.withColumn("s", dot("v", "v"))
     sums = rows.groupBy("c").agg(F.sum("n").cast("double").alias("w"), F.sum(F.col("n") * F.col("s")).alias("q"))
     stats = sums.join(centroids(rows.select("c", "v", "n"), "v", "c", "n").select("c", "centroid"), "c")
-    every = materialise(stats.agg(F.collect_list(F.struct("c", "w", "q", "centroid")).alias("every")))  # one entry per cluster
-    if every.select(F.size("every")).first()[0] < 2:
+    stats = materialise(stats)
+    clusters = stats.count()
+    if clusters < 2:
         return None
     mean = lambda o: F.col("s") + o["q"] / o["w"] - 2 * dot(F.col("v"), o["centroid"])
-    own = F.get(F.filter("every", lambda o: o["c"] == F.col("c")), F.lit(0))
-    apart = with_row(rows, every).select("n", own["w"].alias("w"), (mean(own) * F.try_divide(own["w"], own["w"] - 1)).alias("a"),
-                                         F.array_min(F.transform(F.filter("every", lambda o: o["c"] != F.col("c")), mean)).alias("b"))
+    inner = lambda o: (mean(o) * F.try_divide(o["w"], o["w"] - 1)).alias("a")
+    if clusters > FEW_CLUSTERS:
+        rows = materialise(rows.withColumn("at", F.monotonically_increasing_id()))
+        own = stats.select("c", F.struct("w", "q", "centroid").alias("own"))
+        apart = rows.join(own, "c").join(nearest_other(rows, stats), "at").select("n", F.col("own")["w"].alias("w"), inner(F.col("own")), "b")
+    else:
+        every = stats.agg(F.collect_list(F.struct("c", "w", "q", "centroid")).alias("every"))  # one entry per cluster
+        own = F.get(F.filter("every", lambda o: o["c"] == F.col("c")), F.lit(0))
+        apart = with_row(rows, every).select("n", own["w"].alias("w"), inner(own), F.array_min(F.transform(F.filter("every", lambda o: o["c"] != F.col("c")), mean)).alias("b"))
     ratio = lambda x, y: F.coalesce(F.try_divide(F.col(x), F.col(y)), F.lit(0.0))
     score = F.when(F.col("w") <= 1, 0.0).when(F.col("a") < F.col("b"), 1 - ratio("a", "b")).when(F.col("a") > F.col("b"), ratio("b", "a") - 1).otherwise(
         F.when(F.isnan("a"), F.col("a")).otherwise(0.0))
     return apart.agg(F.sum(F.col("n") * score) / F.sum("n")).first()[0]
 
 
+def nearest_other(rows: DataFrame, stats: DataFrame) -> DataFrame:
+    """(at, b): the least mean squared distance of each of `rows` (at, c, v, s) to a cluster that is not its own, in blocks of both."""
+    def nearest(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or r.empty:
+            return pd.DataFrame({"at": [], "b": []})
+        means = q["s"].to_numpy()[:, None] + (r["q"] / r["w"]).to_numpy()[None, :] - 2 * as_matrix(q["v"]) @ as_matrix(r["centroid"]).T
+        means[q["c"].to_numpy()[:, None] == r["c"].to_numpy()[None, :]] = np.inf
+        return pd.DataFrame({"at": q["at"], "b": means.min(1)})
+
+    one = F.lit(0).alias("key")
+    met = blocked(rows.select(one, "at", "c", "v", "s"), stats.select(one, "c", "w", "q", "centroid"), "key", "at", "c", nearest, "at bigint, b double")
+    return met.groupBy("at").agg(F.min("b").alias("b"))
+
+
 def centroids(df: DataFrame, vector: str, cluster: str, weight: str | None = None) -> DataFrame:
     """Mean vector and size of each cluster (array column); a row counts `weight` times."""
     mean, size = (F.avg("x"), F.count(F.lit(1))) if weight is None else (F.sum(F.col("x") * F.col(weight)) / F.sum(weight), F.sum(weight))

@@ -275,3 +275,15 @@ def test_hotspots_are_found_where_high_rows_gather(spark):
     shares = spark.createDataFrame([("x", 1.0)], "item string, share double")
     row = h.describe_hotspots(df, spots, "id", ["x", "y"], "tier", "k", "items", "title", shares).first()
     assert row["high_share"] == 1.0 and row["majority_cluster"] == 0 and row["top_items"] == "x" and row["top_titles"] == "t"
+
+
+@pytest.mark.parametrize("cosine", [False, True])
+def test_many_clusters_meet_vectors_in_blocks_with_the_same_silhouette(spark, monkeypatch, cosine):
+    rng = np.random.default_rng(7)
+    vectors = rng.integers(0, 2, (60, 6)) + np.eye(6)[rng.integers(0, 6, 60)]
+    rows = spark.createDataFrame([([float(x) for x in v], int(k)) for v, k in zip(vectors, rng.integers(0, 9, 60))] + [([9.0] * 6, 9)], "v array<double>, cluster int")
+    rows = c.vector_column(rows.unionByName(rows.limit(25)), "v").select("features", "cluster")
+    few = c.fast_silhouette(rows, cosine=cosine)
+    monkeypatch.setattr(c, "FEW_CLUSTERS", 3)
+    monkeypatch.setattr(c, "ClusteringEvaluator", None)
+    assert c.fast_silhouette(rows, cosine=cosine) == pytest.approx(few)
